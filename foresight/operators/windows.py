@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foresight.functions.columns import HOUR_US, block_of, micros
@@ -12,34 +12,79 @@ from foresight.operators.blocks import (
     BLOCK, BLOCK_HOURS, OWN, US, as_list, block_size, block_window, carried_last, previous_rows, running_totals, spread,
 )
 
-_AGGREGATES = {
-    "mean": F.avg,
-    "std": F.stddev_samp,
-    "sum": F.sum,
-    "count": F.count,
-    "min": F.min,
-    "max": F.max,
-}
-
-
-def rolling_column(value: str, agg: str, hours: int, window) -> Column:
-    """Aggregate of `value` over (t - hours, t]; the deviation of a single reading is 0."""
-    frame = window.rangeBetween(-(hours * HOUR_US - 1), 0)
-    out = _AGGREGATES[agg](F.col(value)).over(frame)
-    return F.coalesce(out, F.lit(0.0)) if agg == "std" else out
+def rolling_columns(
+    df: DataFrame, w, stats: Sequence[str], hours: Sequence[int], aggs: Sequence[str] = ("mean", "std"),
+    sums: Sequence[tuple[str, int]] = (), complete: bool = False,
+) -> DataFrame:
+    """Add `{value}_{agg}_{h}h` over (t - h, t] for the rows of one block window `w`.
+
+    Each frame is a difference of two running totals, so the cost per row does not depend on how many readings
+    a frame holds. Totals run over values centred on the block mean; a frame whose values are all equal has a
+    deviation of exactly 0, as has a single value. `sums` lists (value, hours) pairs that only need totals.
+    `complete` states that all values are missing on the same rows, which then share one count.
+    """
+    us = F.col(US)
+    everything = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    rows_upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    upto = w.rangeBetween(Window.unboundedPreceding, 0)
+    count_of = {v: f"_n_{stats[0] if complete else v}" for v in stats}
+    first = {f"_c_{v}": F.avg(v).over(everything) for v in stats}
+    if "std" in aggs:
+        first |= {f"_p_{v}": F.last(v, ignorenulls=True).over(before) for v in stats}
+        first |= {f"_i{count_of[v]}": F.count(v).over(rows_upto) for v in stats}
+    centred = df.withColumns(first)
+    run = {count_of[v]: F.count(v).over(upto) for v in stats}
+    for v in stats:
+        d = F.col(v) - F.col(f"_c_{v}")
+        run[f"_s_{v}"] = F.sum(d).over(upto)
+        if "std" in aggs:
+            run[f"_q_{v}"] = F.sum(d * d).over(upto)
+            changed = F.col(v).isNotNull() & ~F.col(v).eqNullSafe(F.col(f"_p_{v}"))
+            run[f"_r_{v}"] = F.max(F.when(changed, F.col(f"_i{count_of[v]}"))).over(upto)
+    run |= {f"_t_{v}": F.sum(v).over(upto) for v, _ in sums}
+    totals = centred.withColumns(run)
+    back = {}
+    for h in hours:
+        behind = w.rangeBetween(Window.unboundedPreceding, -h * HOUR_US)
+        for c in {*count_of.values(), *(f"_s_{v}" for v in stats), *(f"_q_{v}" for v in stats if "std" in aggs)}:
+            back[f"{c}_{h}"] = F.coalesce(F.last(c, ignorenulls=True).over(behind), F.lit(0))
+    for v, h in sums:
+        behind = w.rangeBetween(Window.unboundedPreceding, -h * HOUR_US)
+        back[f"_t_{v}_{h}"] = F.coalesce(F.last(f"_t_{v}", ignorenulls=True).over(behind), F.lit(0))
+    framed = totals.withColumns(dict(sorted(back.items())))
+    out = {}
+    for h in hours:
+        for v in stats:
+            n_before = F.col(f"{count_of[v]}_{h}")
+            n = F.col(count_of[v]) - n_before
+            s = F.coalesce(F.col(f"_s_{v}"), F.lit(0.0)) - F.col(f"_s_{v}_{h}")
+            if "mean" in aggs:
+                out[f"{v}_mean_{h}h"] = F.when(n > 0, s / n + F.col(f"_c_{v}"))
+            if "count" in aggs:
+                out[f"{v}_count_{h}h"] = n
+            if "sum" in aggs:
+                out[f"{v}_sum_{h}h"] = F.when(n > 0, s + n * F.col(f"_c_{v}"))
+            if "std" in aggs:
+                squares = F.greatest(F.col(f"_q_{v}") - F.col(f"_q_{v}_{h}") - s * s / n, F.lit(0.0))
+                spread_out = (n > 1) & (F.col(f"_r_{v}") > n_before + 1)
+                out[f"{v}_std_{h}h"] = F.when(spread_out, F.sqrt(squares / (n - 1))).otherwise(F.lit(0.0))
+    for v, h in sums:
+        out[f"{v}_sum_{h}h"] = F.coalesce(F.col(f"_t_{v}"), F.lit(0)) - F.col(f"_t_{v}_{h}")
+    scratch = [*first, *run, *back]
+    return framed.withColumns(out).drop(*scratch)
 
 
 def rolling(
     df: DataFrame, key, ts: str, values: Sequence[str], hours: Sequence[int],
     aggs: Sequence[str] = ("mean", "std"), block_hours: int = BLOCK_HOURS,
 ) -> DataFrame:
-    """Add `{value}_{agg}_{h}h` columns computed over the left-open time frame (t - h, t]."""
+    """Add `{value}_{agg}_{h}h` columns (mean, std, sum, count) over the left-open time frame (t - h, t]."""
     back = max(hours) * HOUR_US
     size = block_size(block_hours, back)
-    w = block_window(key)
-    columns = {f"{v}_{a}_{h}h": rolling_column(v, a, h, w) for h in hours for v in values for a in aggs}
     blocks = spread(df.where(F.col(ts).isNotNull()).withColumn(US, micros(ts)), size, back=F.lit(back))
-    return blocks.withColumns(columns).where(F.col(OWN)).drop(US, BLOCK, OWN)
+    rolled = rolling_columns(blocks, block_window(key), list(values), list(hours), aggs)
+    return rolled.where(F.col(OWN)).drop(US, BLOCK, OWN)
 
 
 def ffill(

@@ -9,7 +9,7 @@ from foresight import schema as S
 from foresight.functions.columns import HOUR_US, block_of, clip, coerce, fill_midrange, finite_or_zero, micros
 from foresight.operators.asof import DAY_US
 from foresight.operators.blocks import BLOCK, BLOCK_HOURS, OWN, US, block_size, block_window, carried_last, previous_rows, spread
-from foresight.operators.windows import dedup_last, ffill, rolling_column
+from foresight.operators.windows import dedup_last, ffill, rolling_columns
 from foresight.schema import KEY, LABEL, TS, PlantTables
 
 _READING, _ERROR, _SERVICE, _FAILURE = 0, 1, 2, 3
@@ -137,13 +137,12 @@ def build_features(
                           *S.SOFT_BOUNDS[s]), *S.SOFT_BOUNDS[s]))
         for s in S.SENSORS
     })
+    rolled = rolling_columns(
+        cleaned, w, S.SENSORS, windows, sums=[(e, S.ERROR_WINDOW_HOURS) for e in S.ERROR_IDS], complete=True)
     upto = w.rangeBetween(Window.unboundedPreceding, 0)
     us = F.col(US)
-    columns = {f"{s}_{a}_{h}h": rolling_column(s, a, h, w) for h in windows for s in S.SENSORS for a in ("mean", "std")}
-    columns |= {
-        f"{e}_count_{S.ERROR_WINDOW_HOURS}h": rolling_column(e, "sum", S.ERROR_WINDOW_HOURS, w).cast("double")
-        for e in S.ERROR_IDS
-    }
+    columns = {f"{e}_count_{S.ERROR_WINDOW_HOURS}h": F.col(f"{e}_sum_{S.ERROR_WINDOW_HOURS}h").cast("double")
+               for e in S.ERROR_IDS}
     columns |= {
         f"days_since_{c}": F.coalesce(
             clip((us - F.max(c).over(upto)).cast("double") / F.lit(float(DAY_US)), hi=S.DAYS_SINCE_CAP),
@@ -154,7 +153,7 @@ def build_features(
     if horizon_hours:
         next_failure = F.min("failed").over(w.rangeBetween(1, ahead))
         columns[LABEL] = F.when(next_failure.isNotNull(), 1).otherwise(0)
-    featured = cleaned.withColumns(columns).where(F.col(OWN) & reading)
+    featured = rolled.withColumns(columns).where(F.col(OWN) & reading)
     complete = featured.where(us >= F.col("first_us") + F.lit((max(windows) - 1) * HOUR_US))
     if sample_every:
         complete = complete.where(F.hour(TS) % sample_every == 0)
