@@ -14,14 +14,15 @@ from foresight.operators.blocks import (
 
 def rolling_columns(
     df: DataFrame, w, stats: Sequence[str], hours: Sequence[int], aggs: Sequence[str] = ("mean", "std"),
-    sums: Sequence[tuple[str, int]] = (), complete: bool = False,
+    sums: Sequence[tuple[str, int]] = (), complete: bool = False, extra: dict | None = None,
 ) -> DataFrame:
     """Add `{value}_{agg}_{h}h` over (t - h, t] for the rows of one block window `w`.
 
     Each frame is a difference of two running totals, so the cost per row does not depend on how many readings
     a frame holds. Totals run over values centred on the block mean; a frame whose values are all equal has a
     deviation of exactly 0, as has a single value. `sums` lists (value, hours) pairs that only need totals.
-    `complete` states that all values are missing on the same rows, which then share one count.
+    `complete` states that all values are missing on the same rows, which then share one count. `extra` are
+    further window columns to compute in the same pass.
     """
     us = F.col(US)
     everything = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -44,35 +45,36 @@ def rolling_columns(
             run[f"_r_{v}"] = F.max(F.when(changed, F.col(f"_i{count_of[v]}"))).over(upto)
     run |= {f"_t_{v}": F.sum(v).over(upto) for v, _ in sums}
     totals = centred.withColumns(run)
-    back = {}
-    for h in hours:
-        behind = w.rangeBetween(Window.unboundedPreceding, -h * HOUR_US)
-        for c in {*count_of.values(), *(f"_s_{v}" for v in stats), *(f"_q_{v}" for v in stats if "std" in aggs)}:
-            back[f"{c}_{h}"] = F.coalesce(F.last(c, ignorenulls=True).over(behind), F.lit(0))
-    for v, h in sums:
+    # all totals at the frame's lower end travel as one struct per window length
+    per_window = {}
+    for h in sorted({*hours, *(h for _, h in sums)}):
+        fields = [c for c in run if not c.startswith(("_r_", "_t_"))] if h in hours else []
+        fields += [f"_t_{v}" for v, hv in sums if hv == h]
         behind = w.rangeBetween(Window.unboundedPreceding, -h * HOUR_US)
-        back[f"_t_{v}_{h}"] = F.coalesce(F.last(f"_t_{v}", ignorenulls=True).over(behind), F.lit(0))
-    framed = totals.withColumns(dict(sorted(back.items())))
+        per_window[f"_b_{h}"] = F.last(F.struct(*fields)).over(behind)
+    framed = totals.withColumns({**per_window, **(extra or {})})
+
+    def within(c: str, h: int):
+        return F.coalesce(F.col(c), F.lit(0)) - F.coalesce(F.col(f"_b_{h}.{c}"), F.lit(0))
+
     out = {}
     for h in hours:
         for v in stats:
-            n_before = F.col(f"{count_of[v]}_{h}")
-            n = F.col(count_of[v]) - n_before
-            s = F.coalesce(F.col(f"_s_{v}"), F.lit(0.0)) - F.col(f"_s_{v}_{h}")
+            n, s = within(count_of[v], h), within(f"_s_{v}", h)
             if "mean" in aggs:
-                out[f"{v}_mean_{h}h"] = F.when(n > 0, s / n + F.col(f"_c_{v}"))
+                out[f"{v}_mean_{h}h"] = F.when(n > 0, F.try_divide(s, n) + F.col(f"_c_{v}"))
             if "count" in aggs:
                 out[f"{v}_count_{h}h"] = n
             if "sum" in aggs:
                 out[f"{v}_sum_{h}h"] = F.when(n > 0, s + n * F.col(f"_c_{v}"))
             if "std" in aggs:
-                squares = F.greatest(F.col(f"_q_{v}") - F.col(f"_q_{v}_{h}") - s * s / n, F.lit(0.0))
-                spread_out = (n > 1) & (F.col(f"_r_{v}") > n_before + 1)
-                out[f"{v}_std_{h}h"] = F.when(spread_out, F.sqrt(squares / (n - 1))).otherwise(F.lit(0.0))
+                squares = F.greatest(within(f"_q_{v}", h) - F.try_divide(s * s, n), F.lit(0.0))
+                varied = F.col(f"_r_{v}") > F.coalesce(F.col(f"_b_{h}.{count_of[v]}"), F.lit(0)) + 1
+                out[f"{v}_std_{h}h"] = F.coalesce(
+                    F.when(varied, F.sqrt(F.try_divide(squares, n - 1))), F.lit(0.0))
     for v, h in sums:
-        out[f"{v}_sum_{h}h"] = F.coalesce(F.col(f"_t_{v}"), F.lit(0)) - F.col(f"_t_{v}_{h}")
-    scratch = [*first, *run, *back]
-    return framed.withColumns(out).drop(*scratch)
+        out[f"{v}_sum_{h}h"] = within(f"_t_{v}", h)
+    return framed.withColumns(out).drop(*first, *run, *per_window)
 
 
 def rolling(

@@ -137,22 +137,25 @@ def build_features(
                           *S.SOFT_BOUNDS[s]), *S.SOFT_BOUNDS[s]))
         for s in S.SENSORS
     })
-    rolled = rolling_columns(
-        cleaned, w, S.SENSORS, windows, sums=[(e, S.ERROR_WINDOW_HOURS) for e in S.ERROR_IDS], complete=True)
     upto = w.rangeBetween(Window.unboundedPreceding, 0)
     us = F.col(US)
+    extra = {f"_last_{c}": F.max(c).over(upto) for c in S.COMPONENTS}
+    extra |= {c: F.last(c, ignorenulls=True).over(upto) for c in ("model", "age", "first_us")}
+    if horizon_hours:
+        extra["_next"] = F.min("failed").over(w.rangeBetween(1, ahead))
+    rolled = rolling_columns(
+        cleaned, w, S.SENSORS, windows, sums=[(e, S.ERROR_WINDOW_HOURS) for e in S.ERROR_IDS], complete=True,
+        extra=extra)
     columns = {f"{e}_count_{S.ERROR_WINDOW_HOURS}h": F.col(f"{e}_sum_{S.ERROR_WINDOW_HOURS}h").cast("double")
                for e in S.ERROR_IDS}
     columns |= {
         f"days_since_{c}": F.coalesce(
-            clip((us - F.max(c).over(upto)).cast("double") / F.lit(float(DAY_US)), hi=S.DAYS_SINCE_CAP),
+            clip((us - F.col(f"_last_{c}")).cast("double") / F.lit(float(DAY_US)), hi=S.DAYS_SINCE_CAP),
             F.lit(S.DAYS_SINCE_CAP))
         for c in S.COMPONENTS
     }
-    columns |= {c: F.last(c, ignorenulls=True).over(upto) for c in ("model", "age", "first_us")}
     if horizon_hours:
-        next_failure = F.min("failed").over(w.rangeBetween(1, ahead))
-        columns[LABEL] = F.when(next_failure.isNotNull(), 1).otherwise(0)
+        columns[LABEL] = F.when(F.col("_next").isNotNull(), 1).otherwise(0)
     featured = rolled.withColumns(columns).where(F.col(OWN) & reading)
     complete = featured.where(us >= F.col("first_us") + F.lit((max(windows) - 1) * HOUR_US))
     if sample_every:
