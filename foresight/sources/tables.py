@@ -41,14 +41,15 @@ def typed(df: DataFrame, rule: S.TableRule) -> DataFrame:
 def load_plant_csv(spark: SparkSession, folder: str, files: dict[str, str] | None = None, with_seq: bool = False) -> PlantTables:
     """The five plant tables of a folder.
 
-    `with_seq` adds the arrival order of telemetry rows (file block start and row number within it), which
-    "keep the last reading" needs when a file repeats (machine, time).
+    `with_seq` adds the order of telemetry rows in their file (start of the file block plus a row counter, which
+    stays below the block's length), which "keep the last reading" needs when a file repeats (machine, time).
     """
     contract, tables = S.raw_contract(), {}
     for name, file in {**CSV_FILES, **(files or {})}.items():
         raw = read_raw_csv(spark, f"{folder}/{file}")
         if with_seq and name == "telemetry":
-            raw = raw.withColumn("seq", F.monotonically_increasing_id())
+            counter = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+            raw = raw.withColumn("seq", F.col("_metadata.file_block_start") + counter)
         tables[name] = typed(raw, contract[name])
     return PlantTables(**tables)
 
