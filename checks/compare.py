@@ -25,7 +25,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(x):
-    if x is None or x is pd.NaT or (isinstance(x, float) and math.isnan(x)):
+    if x is None or x is pd.NaT or x is pd.NA or (isinstance(x, float) and math.isnan(x)):
         return ""
     if isinstance(x, (list, tuple)) or hasattr(x, "tolist") and not isinstance(x, (int, float)):
         x = x.tolist() if hasattr(x, "tolist") else x
@@ -43,13 +43,16 @@ def rows_of(pdf: pd.DataFrame) -> list[tuple]:
 
 
 def compare(spark, con, name: str, sf_dir: str, sql: str) -> tuple[bool, str]:
+    t0 = time.time()
     got = REGISTRY[name](spark, sf_dir).toPandas()
+    t1 = time.time()
     want = con.execute(sql).fetchdf()
+    times = f"spark {t1 - t0:.1f}s sql {time.time() - t1:.1f}s"
     if sorted(got.columns) != sorted(want.columns):
         return False, f"columns {sorted(got.columns)} != {sorted(want.columns)}"
     a, b = rows_of(got), rows_of(want)
     if a == b:
-        return True, f"{len(a)} rows"
+        return True, f"{len(a)} rows, {times}"
     differing = [(x, y) for x, y in zip(a, b) if x != y]
     return False, f"rows {len(a)} vs {len(b)}; differing {len(differing)}; first {differing[:1]}"
 

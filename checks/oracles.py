@@ -133,7 +133,7 @@ SELECT '{c}' AS feature, (
   b AS (
     SELECT r, bin, count(*) AS n FROM (
       SELECT r, CASE WHEN len(e) < 2 THEN CAST(x <> e[1] AS INTEGER)
-                     ELSE len(list_filter(e[2:len(e) - 1], v -> x >= v)) END AS bin
+                     ELSE len(list_filter(e[2:len(e) - 1], lambda v: x >= v)) END AS bin
       FROM (SELECT 1 AS r, {c} AS x FROM {ref} WHERE {c} IS NOT NULL UNION ALL
             SELECT 0, {c} FROM {cur} WHERE {c} IS NOT NULL), q) GROUP BY 1, 2),
   s AS (
@@ -433,7 +433,7 @@ SELECT split, sample_weight, count(*) AS n, min(datetime) AS first_ts, max(datet
 e AS (SELECT list_sort(list_distinct(quantile_cont(value, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1]))) AS e FROM ref),
 binned AS (
   SELECT 'value' AS feature, date_trunc('day', ts) AS d, ts < TIMESTAMP '2024-01-08' AS r,
-         CAST(len(list_filter(e[2:len(e) - 1], v -> value >= v)) AS VARCHAR) AS bin FROM events, e
+         CAST(len(list_filter(e[2:len(e) - 1], lambda v: value >= v)) AS VARCHAR) AS bin FROM events, e
   UNION ALL SELECT 'event_type', date_trunc('day', ts), ts < TIMESTAMP '2024-01-08', event_type FROM events)"""
     q["drift_per_day"] = f"""WITH ref AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-08'), {day_value},
 rs AS (SELECT feature, bin, count(*) / sum(count(*)) OVER (PARTITION BY feature) AS r FROM binned WHERE r GROUP BY 1, 2),
@@ -466,13 +466,13 @@ reasons AS (
     q["request_features"] = f"""{plant}, {reasons}, {latest_features(AS_OF)}
 SELECT {M}, datetime, {rounded(NUMERIC)}, model FROM features
 WHERE {M} IN (SELECT {M} FROM reasons WHERE reasons = '') QUALIFY row_number() OVER (PARTITION BY {M} ORDER BY datetime DESC) = 1"""
-    score = f"least(greatest(({RULE} - 30) / 20, 0), 1)"
+    score = f"least(greatest(({RULE} - 30) / 21, 0), 1)"
     q["score_all"] = f"""{plant}, {latest_features(now)}
 SELECT {M}, datetime, round({score}, 6) AS failure_probability, CAST({score} >= 0.5 AS INTEGER) AS will_fail_24h,
        '7' AS model_version, model, age FROM features WHERE datetime = {now}"""
     q["prediction_log_window"] = f"""{plant}, {latest_features(now)}
 SELECT {M} AS machine_id, datetime AS as_of, CAST({score} >= 0.5 AS INTEGER) AS prediction, round({score}, 4) AS probability,
-       CASE WHEN {M} % 3 <> 0 THEN CAST({M} % 2 = 0 AS INTEGER) END AS will_fail_24h, {rounded(NUMERIC, 4)}, model, '7' AS model_version
+       CASE WHEN {M} % 3 <> 0 THEN CAST({M} % 2 = 0 AS INTEGER) END AS will_fail_24h, {rounded(NUMERIC)}, model, '7' AS model_version
 FROM features WHERE datetime = {now}"""
     columns = {"events": "event_id,ts,user_id,event_type,value,props",
                "orders": "o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority",

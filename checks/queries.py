@@ -526,13 +526,13 @@ def request_features(spark, sf_dir):
 
 def latest_scores(spark, sf_dir):
     t = plant_tables(spark, sf_dir)
-    rule = models.Scorer("rule", None, RULE_FEATURE, 30.0, 50.0, 0.5, "7")
+    rule = models.Scorer("rule", None, RULE_FEATURE, 30.0, 51.0, 0.5, "7")
     return rule.score(scoring.features_at(t))
 
 
 @query
 def score_all(spark, sf_dir):
-    rule = models.Scorer("rule", None, RULE_FEATURE, 30.0, 50.0, 0.5, "7")
+    rule = models.Scorer("rule", None, RULE_FEATURE, 30.0, 51.0, 0.5, "7")
     df = scoring.score_all(plant_tables(spark, sf_dir), rule)
     return df.select(KEY, TS, F.round(models.PROBABILITY, 6).alias(models.PROBABILITY), LABEL, "model_version", "model", "age")
 
@@ -547,7 +547,7 @@ def prediction_log_window(spark, sf_dir):
         "logged_at", "request_id", (F.col("machine_id") % 2 == 0).alias("actual_failure"))
     logs.append_log(answers, folder, "feedback")
     df = logs.load_prediction_log(spark, folder)
-    return df.select("machine_id", "as_of", "prediction", "probability", LABEL, *rounded(NUMERIC, 4), "model", "model_version")
+    return df.select("machine_id", "as_of", "prediction", "probability", LABEL, *rounded(NUMERIC), "model", "model_version")
 
 
 @query

@@ -12,69 +12,84 @@ from foresight.operators.blocks import (
     BLOCK, BLOCK_HOURS, OWN, US, as_list, block_size, block_window, carried_last, previous_rows, running_totals, spread,
 )
 
+def over(keys, frame: str, order: str = US) -> str:
+    """SQL window over the rows of one key and block."""
+    return f"OVER (PARTITION BY {', '.join([*as_list(keys), BLOCK])} ORDER BY {order} {frame})"
+
+
+ALL_ROWS = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+ROWS_BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+ROWS_UP_TO = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+UP_TO = "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+
+
+def behind(hours: int) -> str:
+    """Frame of the rows at or before t - hours: what a left-open window of that length leaves out."""
+    return f"RANGE BETWEEN UNBOUNDED PRECEDING AND {hours * HOUR_US}L PRECEDING"
+
+
 def rolling_columns(
-    df: DataFrame, w, stats: Sequence[str], hours: Sequence[int], aggs: Sequence[str] = ("mean", "std"),
-    sums: Sequence[tuple[str, int]] = (), complete: bool = False, extra: dict | None = None,
+    df: DataFrame, keys, stats: Sequence[str], hours: Sequence[int], aggs: Sequence[str] = ("mean", "std"),
+    sums: Sequence[tuple[str, int]] = (), complete: bool = False, extra: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Add `{value}_{agg}_{h}h` over (t - h, t] for the rows of one block window `w`.
+    """Add `{value}_{agg}_{h}h` over (t - h, t] to rows that carry block columns.
 
     Each frame is a difference of two running totals, so the cost per row does not depend on how many readings
     a frame holds. Totals run over values centred on the block mean; a frame whose values are all equal has a
     deviation of exactly 0, as has a single value. `sums` lists (value, hours) pairs that only need totals.
     `complete` states that all values are missing on the same rows, which then share one count. `extra` are
-    further window columns to compute in the same pass.
+    further SQL window columns to compute in the same pass.
     """
-    us = F.col(US)
-    everything = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    rows_upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    upto = w.rangeBetween(Window.unboundedPreceding, 0)
     count_of = {v: f"_n_{stats[0] if complete else v}" for v in stats}
-    first = {f"_c_{v}": F.avg(v).over(everything) for v in stats}
-    if "std" in aggs:
-        first |= {f"_p_{v}": F.last(v, ignorenulls=True).over(before) for v in stats}
-        first |= {f"_i{count_of[v]}": F.count(v).over(rows_upto) for v in stats}
-    centred = df.withColumns(first)
-    run = {count_of[v]: F.count(v).over(upto) for v in stats}
+    counted = {n: v for v, n in reversed(count_of.items())}
+    with_std = "std" in aggs
+    first = {f"_c_{v}": f"avg({v}) {over(keys, ALL_ROWS)}" for v in stats}
+    if with_std:
+        first |= {f"_p_{v}": f"last({v}, true) {over(keys, ROWS_BEFORE)}" for v in stats}
+        first |= {f"_i{n}": f"count({v}) {over(keys, ROWS_UP_TO)}" for n, v in counted.items()}
+    run = {n: f"count({v}) {over(keys, UP_TO)}" for n, v in counted.items()}
     for v in stats:
-        d = F.col(v) - F.col(f"_c_{v}")
-        run[f"_s_{v}"] = F.sum(d).over(upto)
-        if "std" in aggs:
-            run[f"_q_{v}"] = F.sum(d * d).over(upto)
-            changed = F.col(v).isNotNull() & ~F.col(v).eqNullSafe(F.col(f"_p_{v}"))
-            run[f"_r_{v}"] = F.max(F.when(changed, F.col(f"_i{count_of[v]}"))).over(upto)
-    run |= {f"_t_{v}": F.sum(v).over(upto) for v, _ in sums}
-    totals = centred.withColumns(run)
+        run[f"_s_{v}"] = f"sum({v} - _c_{v}) {over(keys, UP_TO)}"
+        if with_std:
+            run[f"_q_{v}"] = f"sum(({v} - _c_{v}) * ({v} - _c_{v})) {over(keys, UP_TO)}"
+            changed = f"{v} IS NOT NULL AND NOT ({v} <=> _p_{v})"
+            run[f"_r_{v}"] = f"max(CASE WHEN {changed} THEN _i{count_of[v]} END) {over(keys, UP_TO)}"
+    run |= {f"_t_{v}": f"sum({v}) {over(keys, UP_TO)}" for v, _ in sums}
     # all totals at the frame's lower end travel as one struct per window length
-    per_window = {}
+    lower = {}
     for h in sorted({*hours, *(h for _, h in sums)}):
         fields = [c for c in run if not c.startswith(("_r_", "_t_"))] if h in hours else []
         fields += [f"_t_{v}" for v, hv in sums if hv == h]
-        behind = w.rangeBetween(Window.unboundedPreceding, -h * HOUR_US)
-        per_window[f"_b_{h}"] = F.last(F.struct(*fields)).over(behind)
-    framed = totals.withColumns({**per_window, **(extra or {})})
+        lower[f"_b_{h}"] = f"last(struct({', '.join(fields)})) {over(keys, behind(h))}"
 
-    def within(c: str, h: int):
-        return F.coalesce(F.col(c), F.lit(0)) - F.coalesce(F.col(f"_b_{h}.{c}"), F.lit(0))
+    def within(c: str, h: int) -> str:
+        return f"(coalesce({c}, 0) - coalesce(_b_{h}.{c}, 0))"
 
     out = {}
     for h in hours:
         for v in stats:
             n, s = within(count_of[v], h), within(f"_s_{v}", h)
             if "mean" in aggs:
-                out[f"{v}_mean_{h}h"] = F.when(n > 0, F.try_divide(s, n) + F.col(f"_c_{v}"))
+                out[f"{v}_mean_{h}h"] = f"try_divide({s}, {n}) + _c_{v}"
             if "count" in aggs:
                 out[f"{v}_count_{h}h"] = n
             if "sum" in aggs:
-                out[f"{v}_sum_{h}h"] = F.when(n > 0, s + n * F.col(f"_c_{v}"))
-            if "std" in aggs:
-                squares = F.greatest(within(f"_q_{v}", h) - F.try_divide(s * s, n), F.lit(0.0))
-                varied = F.col(f"_r_{v}") > F.coalesce(F.col(f"_b_{h}.{count_of[v]}"), F.lit(0)) + 1
-                out[f"{v}_std_{h}h"] = F.coalesce(
-                    F.when(varied, F.sqrt(F.try_divide(squares, n - 1))), F.lit(0.0))
+                out[f"{v}_sum_{h}h"] = f"CASE WHEN {n} > 0 THEN {s} + {n} * _c_{v} END"
+            if with_std:
+                squares = f"greatest({within(f'_q_{v}', h)} - try_divide({s} * {s}, {n}), 0D)"
+                varied = f"_r_{v} > coalesce(_b_{h}.{count_of[v]}, 0) + 1"
+                out[f"{v}_std_{h}h"] = f"coalesce(CASE WHEN {varied} THEN sqrt(try_divide({squares}, {n} - 1)) END, 0D)"
     for v, h in sums:
         out[f"{v}_sum_{h}h"] = within(f"_t_{v}", h)
-    return framed.withColumns(out).drop(*first, *run, *per_window)
+    for columns in (first, run, {**lower, **(extra or {})}):
+        df = with_expressions(df, columns)
+    kept = [c for c in df.columns if c not in {*first, *run, *lower}]
+    return df.selectExpr(*kept, *[f"{e} AS {c}" for c, e in out.items()])
+
+
+def with_expressions(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Add columns given as SQL text in one projection."""
+    return df.selectExpr("*", *[f"{e} AS {c}" for c, e in columns.items()])
 
 
 def rolling(
@@ -85,7 +100,7 @@ def rolling(
     back = max(hours) * HOUR_US
     size = block_size(block_hours, back)
     blocks = spread(df.where(F.col(ts).isNotNull()).withColumn(US, micros(ts)), size, back=F.lit(back))
-    rolled = rolling_columns(blocks, block_window(key), list(values), list(hours), aggs)
+    rolled = rolling_columns(blocks, key, list(values), list(hours), aggs)
     return rolled.where(F.col(OWN)).drop(US, BLOCK, OWN)
 
 

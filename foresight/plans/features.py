@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foresight import schema as S
-from foresight.functions.columns import HOUR_US, block_of, clip, coerce, fill_midrange, finite_or_zero, micros
+from foresight.functions.columns import HOUR_US, block_of, clip, coerce, fill_midrange
 from foresight.operators.asof import DAY_US
-from foresight.operators.blocks import BLOCK, BLOCK_HOURS, OWN, US, block_size, block_window, carried_last, previous_rows, spread
-from foresight.operators.windows import dedup_last, ffill, rolling_columns
+from foresight.operators.blocks import BLOCK, BLOCK_HOURS, OWN, US, block_size, previous_rows, spread
+from foresight.operators.windows import ROWS_UP_TO, UP_TO, dedup_last, ffill, over, rolling_columns, with_expressions
 from foresight.schema import KEY, LABEL, TS, PlantTables
 
 _READING, _ERROR, _SERVICE, _FAILURE = 0, 1, 2, 3
@@ -43,60 +43,56 @@ def _observations(t: PlantTables, floor_errors: bool) -> DataFrame:
     One aggregation deduplicates readings, counts errors per hour and merges repeated services; copies are
     combined before the shuffle.
     """
-    nothing = [F.lit(None).cast("double").alias(s) for s in S.SENSORS]
-    no_seq = F.lit(None).cast("bigint").alias("seq")
+    nothing = [f"CAST(NULL AS DOUBLE) AS {s}" for s in S.SENSORS]
 
-    def events(df: DataFrame, kind: int, code: str, when: Column | str = TS) -> DataFrame:
-        at = F.col(when) if isinstance(when, str) else when
-        return df.select(KEY, at.alias(TS), F.lit(kind).alias("kind"), F.col(code).alias("code"), no_seq, *nothing)
+    def events(df: DataFrame, kind: int, code: str, when: str = TS) -> DataFrame:
+        return df.selectExpr(KEY, f"{when} AS {TS}", f"{kind} AS kind", f"{code} AS code", "CAST(NULL AS BIGINT) AS seq", *nothing)
 
-    readings = with_seq(t.telemetry).select(
-        KEY, TS, F.lit(_READING).alias("kind"), F.lit(None).cast("string").alias("code"), "seq",
-        *[coerce(s).alias(s) for s in S.SENSORS],
-    )
-    hour = F.date_trunc("hour", F.col(TS)).cast("timestamp_ntz") if floor_errors else F.col(TS)
+    readings = with_seq(t.telemetry).selectExpr(
+        KEY, TS, f"{_READING} AS kind", "CAST(NULL AS STRING) AS code", "seq",
+        *[f"nullif(try_cast({s} AS DOUBLE), double('NaN')) AS {s}" for s in S.SENSORS])
+    hour = f"CAST(date_trunc('hour', {TS}) AS TIMESTAMP_NTZ)" if floor_errors else TS
     parts = readings.union(events(t.errors, _ERROR, "errorID", hour)).union(events(t.maint, _SERVICE, "comp"))
     if t.failures is not None:
         parts = parts.union(events(t.failures, _FAILURE, "failure"))
-    kind, code = F.col("kind"), F.col("code")
-    merged = parts.where(F.col(TS).isNotNull()).groupBy(KEY, TS).agg(
-        F.count_if(kind == _READING).alias("readings"),
-        *[F.max_by(s, "seq").alias(s) for s in S.SENSORS],
-        *[F.count_if((kind == _ERROR) & (code == e)).alias(e) for e in S.ERROR_IDS],
-        *[F.count_if(kind.isin(_SERVICE, _FAILURE) & (code == c)).alias(c) for c in S.COMPONENTS],
-        F.count_if(kind == _FAILURE).alias("failed"),
-    )
-    us = F.col(US)
-    serviced = {c: F.when(F.col(c) > 0, us) for c in S.COMPONENTS}
-    return (
-        merged.withColumn(US, micros(TS))
-        .withColumns({e: F.when(F.col("readings") > 0, F.col(e)) for e in S.ERROR_IDS})
-        .withColumns(serviced)
-        .withColumn("failed", F.when(F.col("failed") > 0, us))
-        .where((F.col("readings") > 0) | F.col("failed").isNotNull() | F.coalesce(*S.COMPONENTS).isNotNull())
-    )
+    aggregates = {
+        "readings": f"count_if(kind = {_READING})",
+        **{s: f"max_by({s}, seq)" for s in S.SENSORS},
+        **{e: f"count_if(kind = {_ERROR} AND code = '{e}')" for e in S.ERROR_IDS},
+        **{c: f"count_if(kind IN ({_SERVICE}, {_FAILURE}) AND code = '{c}')" for c in S.COMPONENTS},
+        "failed": f"count_if(kind = {_FAILURE})",
+    }
+    merged = parts.where(f"{TS} IS NOT NULL").groupBy(KEY, TS).agg(
+        *[F.expr(f"{e} AS {c}") for c, e in aggregates.items()])
+    us = f"unix_micros(CAST({TS} AS TIMESTAMP))"
+    return merged.selectExpr(
+        KEY, TS, f"{us} AS {US}", "readings", *S.SENSORS,
+        *[f"CASE WHEN readings > 0 THEN {e} END AS {e}" for e in S.ERROR_IDS],
+        *[f"CASE WHEN {c} > 0 THEN {us} END AS {c}" for c in (*S.COMPONENTS, "failed")],
+    ).where(f"readings > 0 OR coalesce(failed, {', '.join(S.COMPONENTS)}) IS NOT NULL")
 
 
 def _machine_state(t: PlantTables, size: int, back: int) -> DataFrame:
     """One row per (machine, block): attributes, first reading, last service of each component before the block."""
-    services = maint_with_failures(t.maint, t.failures).where(F.col(TS).isNotNull()).withColumn(US, micros(TS))
-    seen = t.telemetry.where(F.col(TS).isNotNull()).select(KEY, micros(TS).alias(US)).withColumn(
-        BLOCK, block_of(F.col(US), size)
-    ).groupBy(KEY, BLOCK).agg(F.min(US).alias("first_us"))
-    done = services.withColumn(BLOCK, block_of(F.col(US), size)).groupBy(KEY, BLOCK).agg(
-        *[F.max(F.when(F.col("comp") == c, F.col(US))).alias(c) for c in S.COMPONENTS]
-    )
-    per_block = seen.unionByName(done, allowMissingColumns=True).groupBy(KEY, BLOCK).agg(
-        F.min("first_us").alias("first_us"), *[F.max(c).alias(c) for c in S.COMPONENTS]
-    )
-    first = per_block.groupBy(KEY).agg(F.min("first_us").alias("first_us"))
-    machines = t.machines.select(KEY, "model", F.col("age").cast("double").alias("age"))
-    carried = carried_last(per_block, KEY, S.COMPONENTS)
-    return (
-        carried.join(first, KEY).join(machines, KEY, "left")
-        .withColumn(US, F.col(BLOCK) * size - back - 1)
-        .withColumn(OWN, F.lit(False))
-    )
+    us = f"unix_micros(CAST({TS} AS TIMESTAMP)) AS {US}"
+    parts = t.telemetry.selectExpr(KEY, us, "CAST(NULL AS STRING) AS comp").union(t.maint.selectExpr(KEY, us, "comp"))
+    if t.failures is not None:
+        parts = parts.union(t.failures.selectExpr(KEY, us, "failure"))
+    per_block = parts.where(f"{US} IS NOT NULL").groupBy(KEY, block_of(F.col(US), size).alias(BLOCK)).agg(
+        F.expr(f"min(CASE WHEN comp IS NULL THEN {US} END) AS first_us"),
+        *[F.expr(f"max(CASE WHEN comp = '{c}' THEN {US} END) AS {c}") for c in S.COMPONENTS])
+    before = f"OVER (PARTITION BY {KEY} ORDER BY {BLOCK} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    carried = per_block.selectExpr(
+        KEY, BLOCK, f"{BLOCK} * {size}L - {back + 1}L AS {US}", "false AS " + OWN,
+        f"min(first_us) OVER (PARTITION BY {KEY}) AS first_us", *[f"max({c}) {before} AS {c}" for c in S.COMPONENTS])
+    return carried.join(t.machines.selectExpr(KEY, "model", "CAST(age AS DOUBLE) AS age"), KEY, "left")
+
+
+def _clean_expression(sensor: str) -> str:
+    """Reading, else the last one of the previous rows, else mid-range; limited to the soft bounds."""
+    lo, hi = S.SOFT_BOUNDS[sensor]
+    near = f"CASE WHEN _rn - _at_{sensor} <= {S.FFILL_ROWS} THEN _last_{sensor} END"
+    return f"CASE WHEN readings > 0 THEN least(greatest(coalesce({near}, {(lo + hi) / 2}D), {lo}D), {hi}D) END"
 
 
 def build_features(
@@ -113,56 +109,38 @@ def build_features(
     ahead = (horizon_hours or 0) * HOUR_US
     size = block_size(block_hours, back, ahead)
     obs = _observations(t, floor_errors)
-    reading = F.col("readings") > 0
     blocks = spread(
         obs, size,
-        back=F.when(reading, F.lit(back)).otherwise(F.lit(0)),
-        ahead=F.when(F.col("failed").isNotNull(), F.lit(ahead)).otherwise(F.lit(0)),
+        back=F.expr(f"CASE WHEN readings > 0 THEN {back}L ELSE 0L END"),
+        ahead=F.expr(f"CASE WHEN failed IS NOT NULL THEN {ahead}L ELSE 0L END"),
     )
-    earlier = previous_rows(obs.where(reading), KEY, size, S.FFILL_ROWS, back)
-    state = _machine_state(t, size, back)
-    rows = blocks.unionByName(earlier).unionByName(state, allowMissingColumns=True)
-
-    w = block_window(KEY)
-    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    numbered = rows.withColumn("_rn", F.sum(F.when(reading, 1).otherwise(0)).over(so_far))
-    known = {}
-    for s in S.SENSORS:
-        known[f"_at_{s}"] = F.max(F.when(F.col(s).isNotNull(), F.col("_rn"))).over(so_far)
-        known[f"_last_{s}"] = F.last(s, ignorenulls=True).over(so_far)
-    filled = numbered.withColumns(known)
-    cleaned = filled.withColumns({
-        s: F.when(reading, clip(
-            fill_midrange(F.when(F.col("_rn") - F.col(f"_at_{s}") <= S.FFILL_ROWS, F.col(f"_last_{s}")),
-                          *S.SOFT_BOUNDS[s]), *S.SOFT_BOUNDS[s]))
-        for s in S.SENSORS
-    })
-    upto = w.rangeBetween(Window.unboundedPreceding, 0)
-    us = F.col(US)
-    extra = {f"_last_{c}": F.max(c).over(upto) for c in S.COMPONENTS}
-    extra |= {c: F.last(c, ignorenulls=True).over(upto) for c in ("model", "age", "first_us")}
+    earlier = previous_rows(obs.where("readings > 0"), KEY, size, S.FFILL_ROWS, back)
+    rows = blocks.unionByName(earlier).unionByName(_machine_state(t, size, back), allowMissingColumns=True)
+
+    numbered = with_expressions(rows, {"_rn": f"sum(CASE WHEN readings > 0 THEN 1 ELSE 0 END) {over(KEY, ROWS_UP_TO)}"})
+    known = {f"_at_{s}": f"max(CASE WHEN {s} IS NOT NULL THEN _rn END) {over(KEY, ROWS_UP_TO)}" for s in S.SENSORS}
+    known |= {f"_last_{s}": f"last({s}, true) {over(KEY, ROWS_UP_TO)}" for s in S.SENSORS}
+    base = [KEY, TS, US, BLOCK, OWN, "readings", *S.ERROR_IDS, *S.COMPONENTS, "failed", "model", "age", "first_us"]
+    cleaned = with_expressions(numbered, known).selectExpr(*base, *[f"{_clean_expression(s)} AS {s}" for s in S.SENSORS])
+    state = {f"_since_{c}": f"max({c}) {over(KEY, UP_TO)}" for c in S.COMPONENTS}
+    state |= {f"_{c}": f"last({c}, true) {over(KEY, UP_TO)}" for c in ("model", "age", "first_us")}
     if horizon_hours:
-        extra["_next"] = F.min("failed").over(w.rangeBetween(1, ahead))
+        state["_next"] = f"min(failed) {over(KEY, f'RANGE BETWEEN 1L FOLLOWING AND {ahead}L FOLLOWING')}"
     rolled = rolling_columns(
-        cleaned, w, S.SENSORS, windows, sums=[(e, S.ERROR_WINDOW_HOURS) for e in S.ERROR_IDS], complete=True,
-        extra=extra)
-    columns = {f"{e}_count_{S.ERROR_WINDOW_HOURS}h": F.col(f"{e}_sum_{S.ERROR_WINDOW_HOURS}h").cast("double")
-               for e in S.ERROR_IDS}
-    columns |= {
-        f"days_since_{c}": F.coalesce(
-            clip((us - F.col(f"_last_{c}")).cast("double") / F.lit(float(DAY_US)), hi=S.DAYS_SINCE_CAP),
-            F.lit(S.DAYS_SINCE_CAP))
-        for c in S.COMPONENTS
-    }
-    if horizon_hours:
-        columns[LABEL] = F.when(F.col("_next").isNotNull(), 1).otherwise(0)
-    featured = rolled.withColumns(columns).where(F.col(OWN) & reading)
-    complete = featured.where(us >= F.col("first_us") + F.lit((max(windows) - 1) * HOUR_US))
+        cleaned, KEY, S.SENSORS, windows, sums=[(e, S.ERROR_WINDOW_HOURS) for e in S.ERROR_IDS], complete=True, extra=state)
+    complete = rolled.where(f"{OWN} AND readings > 0 AND {US} >= _first_us + {(max(windows) - 1) * HOUR_US}L")
     if sample_every:
-        complete = complete.where(F.hour(TS) % sample_every == 0)
-    numeric, categorical = S.feature_columns(windows)
-    label = [LABEL] if horizon_hours else []
-    return complete.select(KEY, TS, *[finite_or_zero(c).alias(c) for c in numeric], *categorical, *label)
+        complete = complete.where(f"hour({TS}) % {sample_every} = 0")
+    numeric, _ = S.feature_columns(windows)
+    source = {c: c for c in numeric}
+    source |= {f"{e}_count_{S.ERROR_WINDOW_HOURS}h": f"CAST({e}_sum_{S.ERROR_WINDOW_HOURS}h AS DOUBLE)" for e in S.ERROR_IDS}
+    cap = f"{S.DAYS_SINCE_CAP}D"
+    source |= {f"days_since_{c}": f"least(coalesce(({US} - _since_{c}) / {float(DAY_US)}D, {cap}), {cap})" for c in S.COMPONENTS}
+    source["age"] = "_age"
+    finite = "coalesce(CASE WHEN NOT isnan({0}) AND abs({0}) < double('Infinity') THEN {0} END, 0D)"
+    label = [f"CASE WHEN _next IS NULL THEN 0 ELSE 1 END AS {LABEL}"] if horizon_hours else []
+    return complete.selectExpr(KEY, TS, *[f"{e} AS {c}" for c, e in source.items()], "_model AS model", *label).selectExpr(
+        KEY, TS, *[f"{finite.format(c)} AS {c}" for c in numeric], "model", *([LABEL] if horizon_hours else []))
 
 
 def build_training_table(

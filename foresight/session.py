@@ -19,6 +19,8 @@ def get_session(app: str = "foresight", master: str | None = None, conf: dict |
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # no call-site capture for every column expression
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         # keeps generated methods of wide projections small enough for the JIT compiler
         "spark.sql.codegen.hugeMethodLimit": "8000",
         **(conf or {}),
