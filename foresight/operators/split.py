@@ -13,17 +13,15 @@ def ntz(value) -> Column:
     return value if isinstance(value, Column) else F.lit(str(value)).cast("timestamp_ntz")
 
 
-def split_column(ranges: dict[str, tuple], ts: str = TS) -> Column:
-    """Name of the half-open range [start, end) that holds the time, else null."""
-    out = F.lit(None).cast("string")
-    for name, (start, end) in reversed(ranges.items()):
-        out = F.when((F.col(ts) >= ntz(start)) & (F.col(ts) < ntz(end)), F.lit(name)).otherwise(out)
-    return out
+def splits_of(ranges: dict[str, tuple], ts: str = TS) -> Column:
+    """Names of the half-open ranges [start, end) that hold the time: one, none, or several if ranges overlap."""
+    hits = [F.when((F.col(ts) >= ntz(a)) & (F.col(ts) < ntz(b)), F.lit(n)) for n, (a, b) in ranges.items()]
+    return F.filter(F.array(*hits), lambda n: n.isNotNull())
 
 
 def split_summary(df: DataFrame, ranges: dict[str, tuple], ts: str = TS) -> DataFrame:
     """Rows, first and last time per split, and whether a split reaches into the next one."""
-    tagged = df.select(split_column(ranges, ts).alias("split"), ts).where(F.col("split").isNotNull())
+    tagged = df.select(F.explode(splits_of(ranges, ts)).alias("split"), ts)
     stats = tagged.groupBy("split").agg(
         F.count(F.lit(1)).alias("n"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")
     )
