@@ -490,7 +490,8 @@ REQUEST_TIME = "2024-01-20 06:00:00"
 
 
 def plant_requests(spark, sf_dir):
-    return requests.make_requests(plant_tables(spark, sf_dir), REQUEST_TIME)
+    """Requests of the whole plant, written once: they are the stored input of the request jobs."""
+    return materialize(requests.make_requests(plant_tables(spark, sf_dir), REQUEST_TIME), "requests")
 
 
 @query

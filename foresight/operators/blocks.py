@@ -72,8 +72,15 @@ def carried_last(summary: DataFrame, keys, values: Sequence[str]) -> DataFrame:
     return summary.select(*as_list(keys), BLOCK, *[F.last(v, ignorenulls=True).over(w).alias(v) for v in values])
 
 
+def edges_below(edges: str, value: str, most: int) -> Column:
+    """How many of the sorted `edges` (at most `most`) lie below `value`, by binary search."""
+    steps = ", ".join(str(1 << i) for i in reversed(range(max(most - 1, 1).bit_length())))
+    step = f"CASE WHEN b + s <= size({edges}) AND {edges}[b + s - 1] < {value} THEN b + s ELSE b END"
+    return F.expr(f"aggregate(array({steps}), 0, (b, s) -> {step})")
+
+
 def running_totals(
-    df: DataFrame, order: str, sums: Sequence[str], by: Sequence[str] = (), descending: bool = False, buckets: int = 200
+    df: DataFrame, order: str, sums: Sequence[str], by: Sequence[str] = (), descending: bool = False, buckets: int = 256
 ) -> DataFrame:
     """Running and overall totals of `sums` along `order`, without one task seeing all rows.
 
@@ -84,15 +91,14 @@ def running_totals(
     group = F.concat_ws("\u0001", *[F.col(b).cast("string") for b in by]) if by else F.lit("")
     base = df.withColumn("_g", group)
     probs = F.array(*[F.lit((i + 1) / buckets) for i in range(buckets - 1)])
+    edges = F.array_sort(F.array_distinct(F.percentile_approx(order, probs, F.lit(10000))))
     # sums are kept here so that this branch and the main one share one exchange
-    cuts = base.groupBy("_g").agg(
-        F.percentile_approx(order, probs, F.lit(10000)).alias("edges"), *[F.sum(c).alias(f"{c}_all") for c in sums]
-    )
+    cuts = base.groupBy("_g").agg(edges.alias("edges"), *[F.sum(c).alias(f"{c}_all") for c in sums])
     lookup = cuts.agg(
         F.map_from_entries(F.collect_list(F.struct("_g", F.struct("edges", *[f"{c}_all" for c in sums]))))
     ).scalar()
     binned = base.withColumn("_cut", F.element_at(lookup, F.col("_g"))).withColumn(
-        "_b", F.size(F.filter(F.array_distinct("_cut.edges"), lambda e: F.col(order) > e))
+        "_b", edges_below("_cut.edges", order, buckets)
     )
     direction = F.col("_b").desc() if descending else F.col("_b").asc()
     before = Window.partitionBy("_g").orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foresight import schema as S
@@ -43,23 +43,24 @@ def psi_numeric(
     a constant reference compares equality instead.
     """
     limits = quantile_edges(ref, numeric, bins) if edges is None else edges
-    lookup = limits.agg(F.map_from_entries(F.collect_list(F.struct("feature", "edges")))).scalar()  # one per feature
-    both = _both(ref, cur, numeric).withColumn("_edges", lookup)
-
-    def place(c: str) -> Column:
-        x, e = F.col(c).cast("double"), F.col("_edges")[F.lit(c)]
-        last = F.when((F.size(e) == 2) & F.lit(strict_bins), F.size(e)).otherwise(F.size(e) - 1)
-        bin_no = F.size(F.filter(e, lambda v, i: (i >= 1) & (i < last) & (x >= v)))
-        far = F.abs(x - e[0]) > F.lit(1e-8) + F.lit(1e-5) * F.abs(e[0])
-        return F.when(x.isNotNull() & ~F.isnan(x), F.struct(
-            F.lit(c).alias("feature"), bin_no.alias("bin"), far.alias("far"), (x != e[0]).alias("other"),
-            (F.size(e) < 2).alias("constant")))
-
-    placed = both.select("is_ref", F.explode(F.array(*[place(c) for c in numeric])).alias("p"))
-    counts = placed.where(F.col("p").isNotNull()).groupBy("p.feature", "p.bin", "p.constant").agg(
+    by_name = limits.agg(F.map_from_entries(F.collect_list(F.struct("feature", "edges"))).alias("m"))  # one per feature
+    lookup = by_name.select(F.array(*[F.col("m")[c] for c in numeric])).scalar()
+    names = F.array(*[F.lit(c) for c in numeric])
+    cells = _both(ref, cur, numeric).select(
+        "is_ref", F.posexplode(F.array(*[F.col(c).cast("double") for c in numeric])).alias("pos", "x")
+    ).where("x IS NOT NULL AND NOT isnan(x)").withColumn("e", lookup[F.col("pos")])
+    # inner limits at or below the value; bins are [a, b)
+    last = "size(e)" if strict_bins else "size(e) - 1"
+    last = f"CASE WHEN size(e) = 2 THEN {last} ELSE size(e) - 1 END"
+    bin_no = " + ".join(f"CASE WHEN {i} < {last} AND x >= get(e, {i}) THEN 1 ELSE 0 END" for i in range(1, bins + 1))
+    placed = cells.selectExpr(
+        "is_ref", "pos", f"{bin_no} AS bin", "size(e) < 2 AS constant", "x <> e[0] AS other",
+        "abs(x - e[0]) > 1e-8D + 1e-5D * abs(e[0]) AS far")
+    counts = placed.groupBy("pos", "bin", "constant").agg(
         F.count_if("is_ref").alias("r"), F.count_if(~F.col("is_ref")).alias("c"),
-        F.count_if(~F.col("is_ref") & F.col("p.far")).alias("far"),
-        F.count_if(~F.col("is_ref") & F.col("p.other")).alias("other"))
+        F.count_if(~F.col("is_ref") & F.col("far")).alias("far"),
+        F.count_if(~F.col("is_ref") & F.col("other")).alias("other"),
+    ).withColumn("feature", names[F.col("pos")])
     binned = _index(counts.where(~F.col("constant")))
     moved = F.when(F.sum("far") == 0, 0.0).otherwise(
         F.try_divide(F.sum("other").cast("double"), F.sum("c")) * F.ln(F.lit(1 / SHARE_FLOOR)))
