@@ -97,9 +97,10 @@ def running_totals(
     lookup = cuts.agg(
         F.map_from_entries(F.collect_list(F.struct("_g", F.struct("edges", *[f"{c}_all" for c in sums]))))
     ).scalar()
-    binned = base.withColumn("_cut", F.element_at(lookup, F.col("_g"))).withColumn(
-        "_b", edges_below("_cut.edges", order, buckets)
-    )
+    cut = base.withColumn("_cut", F.element_at(lookup, F.col("_g")))
+    # never null, so that no join filter on it moves below the aggregation that made `df`
+    bucket = F.coalesce(edges_below("_cut.edges", order, buckets), F.lit(0))
+    binned = cut.select(*base.columns, bucket.alias("_b"), *[F.col(f"_cut.{c}_all").alias(f"{c}_all") for c in sums])
     direction = F.col("_b").desc() if descending else F.col("_b").asc()
     before = Window.partitionBy("_g").orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -114,13 +115,11 @@ def running_totals(
     )
     out = binned.join(offsets, ["_g", "_b"])
     totals = reduce(
-        lambda d, c: d.withColumn(f"{c}_run", F.col(f"{c}_before") + F.sum(c).over(inside)).withColumn(
-            f"{c}_all", F.col(f"_cut.{c}_all")
-        ),
+        lambda d, c: d.withColumn(f"{c}_run", F.col(f"{c}_before") + F.sum(c).over(inside)),
         sums,
         out,
     )
-    return totals.drop("_g", "_b", "_cut", *[f"{c}_before" for c in sums])
+    return totals.drop("_g", "_b", *[f"{c}_before" for c in sums])
 
 
 def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), as_type: str = "double") -> DataFrame:

@@ -32,10 +32,10 @@ def get_session(app: str = "foresight", master: str | None = None, conf: dict |
 
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: `spark.checkpoint.dir`, or a temporary one on a local master."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if shared:
         return shared.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _own_dirs:
