@@ -321,7 +321,7 @@ UNION ALL SELECT 'failures', {M}, datetime FROM failures WHERE datetime <= {AS_O
 SELECT {M}, datetime, seq, {', '.join(SENSORS)} FROM telemetry WHERE datetime = (SELECT max(datetime) FROM telemetry)"""
     q["hour_grid"] = "SELECT event_id, ts FROM events WHERE hour(ts) % 3 = 0"
     q["seeded_sample"] = """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
-ORDER BY md5(l_orderkey || '|' || l_linenumber || '|42') LIMIT 5000"""
+ORDER BY md5(l_orderkey || '|' || l_linenumber || '|42'), l_orderkey, l_linenumber, l_quantity LIMIT 5000"""
     inside = "datetime >= TIMESTAMP '2024-01-15' AND datetime < TIMESTAMP '2024-01-20'"
     scaled = ", ".join(
         f"round(CASE WHEN {inside} THEN {c} * CAST({f} AS DOUBLE) ELSE {c} END, 6) AS {c}"

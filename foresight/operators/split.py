@@ -83,7 +83,8 @@ def sample_rows(df: DataFrame, n: int, keys=(KEY, TS), seed: int = S.SEED) -> Da
         .agg(F.max("_p"))
         .scalar()
     )
-    return hashed.where(F.col("_p") <= last_prefix).orderBy("_h").limit(n).drop("_h", "_p")
+    # rows that share their keys are told apart by their other columns
+    return hashed.where(F.col("_p") <= last_prefix).orderBy("_h", *df.columns).limit(n).drop("_h", "_p")
 
 
 def drop_columns(df: DataFrame, names=("probability", "prediction", "model_version")) -> DataFrame:
