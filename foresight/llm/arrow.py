@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -25,3 +26,24 @@ def map_texts(df: DataFrame, text: str, fn, schema: str, limit: int | None = Non
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, out)], schema=out)
 
     return df.mapInArrow(run, schema)
+
+
+def by_group(batches, order, fn):
+    """Calls fn(table) for every run of rows that agree in `order`; the input is sorted by it. Yields fn's batches.
+
+    Only the rows of one group and one batch are held."""
+    held = None
+    for batch in batches:
+        new = pa.Table.from_batches([batch])
+        t = (new if held is None else pa.concat_tables([held, new])).combine_chunks()
+        if not t.num_rows:
+            continue
+        keys = np.stack([t[k].to_numpy() for k in order])
+        cut = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1, [t.num_rows]])
+        for a, b in zip(cut[:-2], cut[1:-1]):  # the last group may go on
+            for out in fn(t.slice(a, b - a)):
+                yield from out.to_batches()
+        held = t.slice(cut[-2], cut[-1] - cut[-2])
+    if held is not None and held.num_rows:
+        for out in fn(held):
+            yield from out.to_batches()

@@ -6,10 +6,10 @@
    checked on the full shingle sets, at most two per member: the best estimate and the smallest partner. Links give
    components.
 3. What is left are candidate pairs between different components. Buckets that hold several components are compared
-   completely, in blocks inside tasks, by sketch; pairs that the estimate keeps are checked on the full sets too. So a
-   pair is left out only if it is already connected, shares no band or is ruled out by its sketch.
+   completely, in blocks inside tasks, first by sketch, then on the full sets of the rows the sketches keep. So a pair
+   is left out only if it is already connected, shares no band or is ruled out by its sketch.
 
-Miss probability of a pair at the limit: (1 - 0.8^6)^42 < 3e-6 for the bands, and below 1e-6 for the estimate
+Miss probability of a pair at the limit: (1 - 0.8^8)^64 < 8e-6 for the bands, and below 1e-5 for the estimates
 (five standard deviations below the limit).
 """
 
@@ -22,27 +22,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from foresight.llm import graph
-from foresight.llm.arrow import map_texts
+from foresight.llm.arrow import by_group, map_texts
 from foresight.llm.bpe_job import _narrow
-from foresight.llm.setsketch import REGISTERS, joint_estimate, sketch
+from foresight.llm.setsketch import REGISTERS, equal_low_bits, joint_estimate, low_bits, sketch
 from foresight.llm.text import shingles, words
 from foresight.session import materialize
 
-ROWS, BANDS = 6, 42
+ROWS, BANDS = 8, 64     # the registers of a band are one 64-bit word
 SLACK = 5 * (0.16 / REGISTERS) ** 0.5   # five standard deviations of the estimate near the limit
-BLOCK = 512
+BLOCK = 1024
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """(id, n, fingerprint of the shingle set, registers)."""
+    """(id, n, fingerprint of the shingle set, registers, low bits of the registers)."""
     def run(rows, data, offsets):
         flat, first = shingles(*words(data, offsets), size)
         registers = sketch(flat, first)
         raw = flat.tobytes()
         prints = [hashlib.blake2b(raw[8 * a:8 * b], digest_size=16).digest() for a, b in zip(first[:-1], first[1:])]
-        return [rows.column(0), np.diff(first), pa.array(prints, pa.binary()), pa.array([r.tobytes() for r in registers], pa.binary())]
+        return [rows.column(0), np.diff(first), pa.array(prints, pa.binary()), pa.array([r.tobytes() for r in registers], pa.binary()), pa.array([r.tobytes() for r in low_bits(registers)], pa.binary())]
 
-    return map_texts(docs, "_text", run, "id bigint, n bigint, print binary, registers binary")
+    return map_texts(docs, "_text", run, "id bigint, n bigint, print binary, registers binary, bits binary")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -82,53 +82,83 @@ def _estimated(batches_of_pairs: DataFrame, percent: int) -> DataFrame:
     return batches_of_pairs.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a bigint, b bigint, estimate double")
 
 
-def _blocks(bands: DataFrame, reps: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in one bucket that the sketches do not rule out, each from its first common band."""
-    least = percent / 100 - SLACK
+def _rest(bands: DataFrame, base: DataFrame, docs: DataFrame, labels: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between different components that share a bucket: sketches choose the rows, full sets decide.
+
+    No pair leaves a task: the first pass returns rows that have a promising partner in their block, the second only
+    links that join components not yet joined within its block."""
+    least = 0.25 + 0.75 * (percent / 100 - 1.25 * SLACK)  # low bits of unequal registers agree in a quarter of cases
     member = bands.join(labels, bands.id == labels.node, "left").select("band", "key", "id", F.coalesce("component", "id").alias("c"))
-    mixed = (member.groupBy("band", "key").agg(F.count("*").alias("m"), F.min("c").alias("low"), F.max("c").alias("high"))
-             .where("low < high").select("band", "key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
-    rows = (materialize(member.join(materialize(mixed, "mixed"), ["band", "key"]), "mixed-members")
-            .join(reps.select("id", "n", "registers"), "id"))
-    mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    rows = (rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("band", "key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "id", "n", "c", "registers"))
+    mixed = materialize(member.groupBy("band", "key").agg(F.count("*").alias("m"), F.min("c").alias("low"), F.max("c").alias("high"))
+                        .where("low < high").select("band", "key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "mixed")
+    rows = materialize(member.join(mixed, ["band", "key"]), "mixed-members").join(base.select("id", "n", "bits"), "id")
+    rows = (rows.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("band", "key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "id", "n", "c", "bits"))
     order = ["band", "key", "x", "y"]
-
-    def run(batches):
-        def pairs(t):
-            band, mine = t["band"][0].as_py(), t["mine"].to_numpy()
-            ids, n, c = (t[k].to_numpy() for k in ("id", "n", "c"))
-            r = np.frombuffer(b"".join(t["registers"].to_pylist()), np.uint8).reshape(-1, REGISTERS)
-            x, y = t["x"][0].as_py(), t["y"][0].as_py()
-            left = np.flatnonzero(mine == x)
-            for i in left.tolist():
-                right = np.flatnonzero((mine == y) & (c != c[i]) & (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent))
-                if x == y:
-                    right = right[right > i]
-                if not len(right):
+    names = [*order, "mine", "id", "n", "c"]
+
+    def sides(t):
+        mine = t["mine"].to_numpy()
+        x, y = t["x"][0].as_py(), t["y"][0].as_py()
+        return np.flatnonzero(mine == x), np.flatnonzero(mine == y), x == y
+
+    def possible(t, i, right, same):
+        ids, n, c = (t[k].to_numpy() for k in ("id", "n", "c"))
+        if same:
+            right = right[right > i]
+        return right[(c[right] != c[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * percent)]
+
+    def promising(t):
+        bits = np.frombuffer(b"".join(t["bits"].to_pylist()), np.uint64).reshape(t.num_rows, -1)
+        left, right, same = sides(t)
+        active = np.zeros(t.num_rows, bool)
+        for i in left.tolist():
+            j = possible(t, i, right, same)
+            j = j[equal_low_bits(bits[j], bits[i]) >= least * REGISTERS]
+            active[j] = True
+            active[i] |= len(j) > 0
+        if active.any():
+            yield t.select(names).filter(pa.array(active))
+
+    def linked(t):
+        bits = np.frombuffer(b"".join(t["bits"].to_pylist()), np.uint64).reshape(t.num_rows, -1)
+        items = [np.sort(v.values.to_numpy().view(np.uint64)) for v in t["items"]]
+        registers = np.frombuffer(b"".join(t["registers"].to_pylist()), np.uint8).reshape(t.num_rows, -1)
+        keys = np.ascontiguousarray(registers[:, :ROWS * BANDS]).view(np.uint64)  # one word per band
+        c, ids, n, band = t["c"].to_numpy(), t["id"].to_numpy(), t["n"].to_numpy(), t["band"][0].as_py()
+        parent = {int(k): int(k) for k in c}
+
+        def find(k):
+            while parent[k] != k:
+                parent[k] = parent[parent[k]]
+                k = parent[k]
+            return k
+
+        out = []
+        left, right, same = sides(t)
+        for i in left.tolist():
+            j = possible(t, i, right, same)
+            j = j[equal_low_bits(bits[j], bits[i]) >= least * REGISTERS]
+            j = j[~(keys[j, :band] == keys[i, :band]).any(1)]  # compared in an earlier band
+            for k in j[np.argsort(-equal_low_bits(bits[j], bits[i]), kind="stable")].tolist():
+                a, b = find(int(c[i])), find(int(c[k]))
+                if a == b:
                     continue
-                same = (r[right] == r[i]).reshape(-1, REGISTERS)
-                earlier = same[:, :band * ROWS].reshape(len(right), band, ROWS).all(2).any(1) if band else np.zeros(len(right), bool)
-                right = right[~earlier]
-                j = joint_estimate(r[right], np.broadcast_to(r[i], (len(right), REGISTERS)), n[right], np.full(len(right), n[i]))
-                right = right[j >= least]
-                if len(right):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(ids[right], ids[i])), pa.array(np.minimum(ids[right], ids[i]))], names=["a", "b"])
-
-        held = None
-        for batch in batches:
-            t = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            t = t.combine_chunks()
-            keys = np.stack([t[k].to_numpy() for k in order])
-            cut = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1, [t.num_rows]])
-            for a, b in zip(cut[:-2], cut[1:-1]):  # the last group may go on
-                yield from pairs(t.slice(a, b - a))
-            held = t.slice(cut[-2], cut[-1] - cut[-2])
-        if held is not None and held.num_rows:
-            yield from pairs(held)
-
-    return rows.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "a bigint, b bigint").where("a <> b").distinct()
+                common = len(items[i]) + len(items[k]) - len(np.union1d(items[i], items[k]))
+                if common * 100 >= (n[i] + n[k] - common) * percent:
+                    parent[a] = b
+                    out.append((int(ids[i]), int(ids[k])))
+        if out:
+            yield pa.table({"a": [p[0] for p in out], "b": [p[1] for p in out]})
+
+    first = rows.repartition(*order).sortWithinPartitions(*order).mapInArrow(
+        lambda batches: by_group(batches, order, promising), "band int, key bigint, x int, y int, mine int, id bigint, n bigint, c bigint")
+    first = materialize(first, "promising")
+    sets = materialize(_sets(docs, first.select("id").distinct(), size), "shingle-sets").dropDuplicates(["id"])
+    rows = first.join(base.select("id", "bits", "registers"), "id").join(sets, "id")
+    return (rows.repartition(*order).sortWithinPartitions(*order)
+            .mapInArrow(lambda batches: by_group(batches, order, linked), "a bigint, b bigint").distinct())
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -141,7 +171,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     every = _narrow(df, key, text).select(F.col(key).cast("bigint").alias("id"), "_text")
     docs = every.where("id is not null")
     base = materialize(sketches(docs, size), "sketches")
-    reps = materialize(base.where("n > 0").groupBy("print").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("registers").alias("registers")), "classes")
+    reps = materialize(base.where("n > 0").groupBy("print").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("registers").alias("registers"), F.first("bits").alias("bits")), "classes")
     bands = reps.select("id", F.posexplode(F.array(*[F.xxhash64(F.expr(f"substring(registers, {ROWS * b + 1}, {ROWS})")) for b in range(BANDS)])).alias("band", "key"))
     hubs = materialize(bands.groupBy("band", "key").agg(F.min("id").alias("hub"), F.count("*").alias("m")).where("m > 1").drop("m"), "hubs")
     bands = materialize(bands.join(hubs, ["band", "key"]), "bands")
@@ -153,8 +183,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     classes = base.where("n > 0").join(reps.select("print", F.col("id").alias("rep")), "print").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     links = materialize(_confirmed(docs, first, size, percent), "links")
     labels = materialize(graph.components(links), "labels")
-    more = materialize(_blocks(bands.select("band", "key", "id"), reps, labels, percent), "rest-pairs")
-    rest = materialize(_confirmed(docs, more, size, percent), "links")
+    rest = materialize(_rest(bands.select("band", "key", "id"), reps.select("id", "n", "bits", "registers"), docs, labels, size, percent), "links")
     labels = materialize(graph.components(links.union(rest).union(classes)), "labels")
     out = base.join(labels, base.id == labels.node, "left").select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     out = out.withColumn("kept", F.col(key) == F.col("component_id"))

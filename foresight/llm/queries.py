@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from foresight.llm import bpe_job, near_dedup, packing
+from foresight.llm import bpe_job, near_dedup, packing, pii
 
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 PACKING_TOKENIZER = "byte_bpe_50k.json"
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark, sf_dir):
+    return pii.report(_table(spark, sf_dir, "documents"))
+
+
 def op2_bpe(spark, sf_dir):
     return bpe_job.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(MULTI_RANKS))
 
@@ -28,7 +32,7 @@ def op8_packing(spark, sf_dir):
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_TOKENIZER))
 
 
-REGISTRY = {f.__name__: f for f in (op2_bpe, op3_minhash_dedup, op8_packing)}
+REGISTRY = {f.__name__: f for f in (op1_pii, op2_bpe, op3_minhash_dedup, op8_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

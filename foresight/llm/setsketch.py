@@ -11,7 +11,7 @@ import numpy as np
 
 from foresight.llm.text import mix
 
-REGISTERS = 256
+REGISTERS = 512
 RATE = 20.0
 BASE = 1.085        # 255 steps span sets of one to tens of millions of elements
 _STEP = 0x9E3779B97F4A7C15
@@ -65,3 +65,16 @@ def joint_estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.
     q = np.clip(_share(np.clip(v - u * j, 0, 1)), 1e-9, 1)
     likelihood = up * np.log(p) + down * np.log(q) + same * np.log(np.clip(1 - p - q, 1e-9, 1))
     return np.take_along_axis(j, likelihood.argmax(1)[:, None], 1)[:, 0]
+
+
+def low_bits(registers: np.ndarray) -> np.ndarray:
+    """The two low bits of every register, packed into 64-bit words."""
+    r = registers.reshape(len(registers), REGISTERS // 4, 4)
+    packed = (r[:, :, 0] & 3) | (r[:, :, 1] & 3) << 2 | (r[:, :, 2] & 3) << 4 | (r[:, :, 3] & 3) << 6
+    return np.ascontiguousarray(packed.astype(np.uint8)).view(np.uint64)
+
+
+def equal_low_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Registers whose low bits agree: equal registers and a quarter of the others."""
+    x = a ^ b
+    return REGISTERS - np.bitwise_count((x | x >> np.uint64(1)) & np.uint64(0x5555555555555555)).sum(-1, dtype=np.int64)
