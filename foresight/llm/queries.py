@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from foresight.llm import bpe_job, near_dedup, packing, pii
+from pyspark.sql import functions as F
+
+from foresight.llm import bpe_job, language_id, line_dedup, near_dedup, packing, pii, toxicity, warc
 
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 PACKING_TOKENIZER = "byte_bpe_50k.json"
@@ -28,12 +30,52 @@ def op3_minhash_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def _remainder(k: int):
+    return F.crc32(F.col("doc_id").cast("string")) % k
+
+
+def op5_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").where(_remainder(5) != 0)
+    model = toxicity.learn(docs.select("doc_id", "text").join(labels, "doc_id"))
+    return (toxicity.score(docs, model).select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
+def op7_language_id(spark, sf_dir):
+    docs, vocabulary = _table(spark, sf_dir, "documents"), public_tokenizers.path(MULTI_RANKS)
+    model = language_id.learn(docs.where(_remainder(3) != 1), vocabulary)
+    return language_id.predict(docs, model, vocabulary).select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op8_packing(spark, sf_dir):
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_TOKENIZER))
 
 
-REGISTRY = {f.__name__: f for f in (op1_pii, op2_bpe, op3_minhash_dedup, op8_packing)}
+def op9_warc(spark, sf_dir):
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
+def op10_line_dedup(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return line_dedup.drop_lines(docs.select("doc_id", "text", "source"), percent=5, min_pages=5).select("doc_id", "n_lines", "n_dropped", "text")
+
+
+REGISTRY = {f.__name__: f for f in (op1_pii, op2_bpe, op3_minhash_dedup, op5_toxicity, op7_language_id, op8_packing, op9_warc, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op10_line_dedup": """
+            with pages as (select doc_id, source, text, string_split(text, chr(10)) as lines from documents),
+            totals as (select source, count(distinct text) as total from documents group by source),
+            frequent as (
+              select l.source, l.line from (select source, text, unnest(list_distinct(list_transform(lines, lambda x: trim(x)))) as line from pages) l
+              join totals t on l.source is not distinct from t.source where l.line <> ''
+              group by l.source, l.line, t.total having count(distinct l.text) >= 5 and count(distinct l.text) * 100 > t.total * 5),
+            bad as (select source, list(line) as bad from frequent group by source)
+            select doc_id,
+              coalesce(len(list_filter(lines, lambda x: trim(x) <> '')), 0) as n_lines,
+              coalesce(len(list_filter(lines, lambda x: trim(x) <> '' and list_contains(coalesce(bad, []), trim(x)))), 0) as n_dropped,
+              case when bad is null then text else array_to_string(list_filter(lines, lambda x: not (trim(x) <> '' and list_contains(bad, trim(x)))), chr(10)) end as text
+            from pages left join bad on pages.source is not distinct from bad.source""",
+    }
