@@ -8,7 +8,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from foresight.llm import bpe_job, language_id, line_dedup, near_dedup, packing, pii, toxicity, warc
+from foresight.llm import ann, bpe_job, language_id, line_dedup, near_dedup, packing, pii, toxicity, vector_dedup, warc
 
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 PACKING_TOKENIZER = "byte_bpe_50k.json"
@@ -30,6 +30,14 @@ def op3_minhash_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op4_ann(spark, sf_dir):
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), "id % 100 = 0", k=10)
+
+
+def op6_embedding_dedup(spark, sf_dir):
+    return vector_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def _remainder(k: int):
     return F.crc32(F.col("doc_id").cast("string")) % k
 
@@ -60,7 +68,7 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.drop_lines(docs.select("doc_id", "text", "source"), percent=5, min_pages=5).select("doc_id", "n_lines", "n_dropped", "text")
 
 
-REGISTRY = {f.__name__: f for f in (op1_pii, op2_bpe, op3_minhash_dedup, op5_toxicity, op7_language_id, op8_packing, op9_warc, op10_line_dedup)}
+REGISTRY = {f.__name__: f for f in (op1_pii, op2_bpe, op3_minhash_dedup, op4_ann, op5_toxicity, op6_embedding_dedup, op7_language_id, op8_packing, op9_warc, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

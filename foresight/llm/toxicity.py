@@ -20,6 +20,9 @@ from foresight.llm.text import _BYTE_VALUE, _LOWER, mix, slices, span_hashes
 WINDOW, STRIDE = 32, 24
 BUCKETS = 1 << 14
 INPUT, HIDDEN = 6, 6
+TABLE_RATE = 0.3    # the hashed tables learn more slowly than the network: most of their rows are rare
+DROP = 0.2          # share of words that a training window loses
+PRIOR = 20          # pseudo-texts that pull the log odds of rare words and trigrams to 0
 _EDGE = np.zeros(256, bool)
 _EDGE[:] = True
 for _a, _b in ((48, 58), (65, 91), (97, 123), (128, 256)):
@@ -172,8 +175,7 @@ class Network:
             for d, y in zip(docs, label):
                 n[int(y)][np.unique(d[part])] += 1
             odds = np.log((n[1] + 0.5) / (max(label.sum(), 1) + 1)) - np.log((n[0] + 0.5) / (max((1 - label).sum(), 1) + 1))
-            odds[n.sum(0) < 3] = 0
-            getattr(self, name)[:, 0] = odds * (0.5 if part == 0 else 1.0)
+            getattr(self, name)[:, 0] = odds * n.sum(0) / (n.sum(0) + PRIOR) * (n.sum(0) >= 4)
 
     @classmethod
     def fit(cls, texts: list[str], label: np.ndarray, epochs: int = 12, seed: int = 11) -> "Network":
@@ -205,14 +207,14 @@ class Network:
             rate = weight * (1 - epoch / epochs)
             for a in range(0, len(chosen), 256):
                 part = chosen[a:a + 256]
-                batch = [self._window(docs[int(i)], int(k)) for i, k, _ in part]
+                batch = [self._thinned(self._window(docs[int(i)], int(k)), rng) for i, k, _ in part]
                 g = self._gradient(*_stacked(batch), np.array([y for *_, y in part], np.float32))
                 step += 1
                 for k in self.names:
                     m, v = moment[k]
                     m += 0.1 * (g[k] - m)
                     v += 0.01 * (g[k] * g[k] - v)
-                    getattr(self, k)[...] -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6) + rate * 1e-3 * getattr(self, k)
+                    getattr(self, k)[...] -= (rate if k not in ("word", "gram") else rate * TABLE_RATE) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6) + rate * 1e-3 * getattr(self, k)
         self._calibrate(np.array([s.max() for s in self._score(docs)]), label)
         return self
 
@@ -233,6 +235,14 @@ class Network:
         at = np.concatenate([[0], np.cumsum(n)])
         return bucket[a:b], grams[at[a]:at[b]], n[a:b]
 
+    @staticmethod
+    def _thinned(window, rng):
+        bucket, grams, n = window
+        keep = rng.random(len(n)) >= DROP
+        if not keep.any():
+            return window
+        return bucket[keep], grams[np.repeat(keep, n)], n[keep]
+
     def _score(self, docs):
         out = []
         for a in range(0, len(docs), 256):
@@ -269,13 +279,24 @@ def _stacked(batch):
     return (*(np.concatenate([b[j] for b in batch]) for j in range(3)), np.where(mask, first[:-1] + t, first[:-1]), mask)
 
 
-def learn(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", bound: int = 1500) -> Network:
+def learn(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", bound: int = 2000) -> Network:
     """Fits the network on at most about `bound` labelled texts of each class; null labels and texts are left out."""
     rows = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).cast("int").alias("label")).where("label in (0, 1) and text is not null")
     sample = per_class(rows, "label", "key", bound)
     return Network.fit([r["text"] for r in sample], np.array([r["label"] for r in sample], np.float32))
 
 
+def _worst(m: Network, data, offsets) -> np.ndarray:
+    """Score of each document of a slice."""
+    low, start, end, first = words(data, offsets)
+    _, at, back = np.unique(span_hashes(low, start, end), return_index=True, return_inverse=True)
+    x = m.vectors(*features(low, start[at], end[at]))[back] if len(start) else np.zeros((0, INPUT), np.float32)
+    s, doc = m.window_scores(x, first)
+    worst = np.full(len(offsets) - 1, -np.inf)
+    np.maximum.at(worst, doc, s)
+    return np.where(np.isfinite(worst), _sigmoid(worst.astype(np.float64)), 0.0)
+
+
 def score(df: DataFrame, model: Network, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, score) of every whole text, 0 to 1: that of its worst window. A null text or one without words has score 0.
 
@@ -283,13 +304,19 @@ def score(df: DataFrame, model: Network, key: str = "doc_id", text: str = "text"
     held = df.sparkSession.sparkContext.broadcast(model)  # fixed size
 
     def run(rows, data, offsets):
-        m = held.value
-        low, start, end, first = words(data, offsets)
-        _, at, back = np.unique(span_hashes(low, start, end), return_index=True, return_inverse=True)
-        x = m.vectors(*features(low, start[at], end[at]))[back] if len(start) else np.zeros((0, INPUT), np.float32)
-        s, doc = m.window_scores(x, first)
-        worst = np.full(len(offsets) - 1, -np.inf)
-        np.maximum.at(worst, doc, s)
-        return [rows.column(0), np.where(np.isfinite(worst), _sigmoid(worst.astype(np.float64)), 0.0)]
+        return [rows.column(0), _worst(held.value, data, offsets)]
 
     return map_texts(_narrow(df, key, text), "_text", run, f"{_quoted(key)} {dict(df.dtypes)[key]}, score double")
+
+
+def reject(df: DataFrame, model: Network, limit: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows of the table, all columns, whose text scores below `limit`. Texts are not shuffled."""
+    held = df.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            for a, b, data, offsets in slices(batch.column(batch.schema.get_field_index(text))):
+                s = _worst(held.value, data, offsets)
+                yield batch.slice(a, b - a).filter(pa.array(s < limit))
+
+    return df.mapInArrow(run, df.schema)
