@@ -296,10 +296,10 @@ h AS (SELECT {M}, date_trunc('hour', datetime) AS datetime, {pivot} FROM errors
 SELECT {M}, datetime, {counted} FROM (SELECT DISTINCT {M}, datetime FROM telemetry) LEFT JOIN h USING ({M}, datetime)"""
     q["attach_dimension"] = """SELECT o_orderkey, o_custkey AS c_custkey, c_mktsegment, c_nationkey
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey"""
-    q["unknown_keys"] = """SELECT DISTINCT p_partkey AS k FROM part
-WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity > 49)"""
+    q["unknown_keys"] = """SELECT DISTINCT k FROM (SELECT l_suppkey AS k FROM lineitem UNION ALL SELECT c_custkey FROM customer)
+WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = k)"""
     q["before_first"] = """SELECT l_orderkey, l_linenumber, l_shipdate AS ts FROM lineitem
-WHERE l_shipdate < (SELECT min(o_orderdate) FROM orders WHERE o_totalprice > 490000)"""
+WHERE l_shipdate < (SELECT min(ts) FROM events)"""
 
     # splits, slices, samples
     ranges = {"train": ("1995-01-01", "1998-01-01"), "val": ("1998-01-01", "1999-06-01"), "test": ("1999-06-01", "2003-01-01")}
@@ -458,7 +458,7 @@ j AS (SELECT {M}, bool_or("errorID" = 'error6') AS code FROM errors WHERE {near}
 k AS (SELECT s.{M}, bool_or(s.datetime > t.last) AS future FROM (SELECT datetime, {M} FROM maint UNION SELECT datetime, {M} FROM failures) s
       JOIN (SELECT {M}, max(datetime) AS last FROM ({tel_slice}) GROUP BY 1) t USING ({M}) WHERE s.datetime <= {AS_OF} GROUP BY 1),
 reasons AS (
-  SELECT {M}, concat_ws(',', CASE WHEN {M} NOT BETWEEN 1 AND 100 THEN 'machine_id' END, CASE WHEN n < 24 OR n > 168 THEN 'history_length' END,
+  SELECT {M}, concat_ws(',', CASE WHEN n < 24 OR n > 168 THEN 'history_length' END,
     CASE WHEN gap THEN 'hourly_order' END, CASE WHEN e > n // 4 THEN 'missing_readings' END, CASE WHEN code THEN 'error_code' END,
     CASE WHEN future THEN 'service_in_future' END) AS reasons
   FROM g LEFT JOIN j USING ({M}) LEFT JOIN k USING ({M}))"""
@@ -474,16 +474,47 @@ SELECT {M}, datetime, round({score}, 6) AS failure_probability, CAST({score} >=
 SELECT {M} AS machine_id, datetime AS as_of, CAST({score} >= 0.5 AS INTEGER) AS prediction, round({score}, 4) AS probability,
        CASE WHEN {M} % 3 <> 0 THEN CAST({M} % 2 = 0 AS INTEGER) END AS will_fail_24h, {rounded(NUMERIC)}, model, '7' AS model_version
 FROM features WHERE datetime = {now}"""
-    columns = {"events": "event_id,ts,user_id,event_type,value,props",
+    columns = {"region": "r_regionkey,r_name",
+               "nation": "n_nationkey,n_name,n_regionkey",
+               "customer": "c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment",
+               "supplier": "s_suppkey,s_name,s_nationkey,s_acctbal",
+               "part": "p_partkey,p_name,p_brand,p_type,p_size,p_retailprice",
                "orders": "o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority",
                "lineitem": "l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,l_extendedprice,l_discount,l_tax,l_returnflag,l_linestatus,l_shipdate",
-               "customer": "c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment"}
+               "events": "event_id,ts,user_id,event_type,value,props",
+               "documents": "doc_id,text,lang,source,n_chars",
+               "embeddings": "vec_id,embedding,label",
+               "pages": "page_id,url,html",
+               "benchmark": "item_id,text",
+               "labels": "doc_id,quality,toxic",
+               "conversations": "conv_id,turn,role,text"}
     q["table_summary"] = "\nUNION ALL\n".join(
         f"SELECT '{t}' AS \"table\", count(*) AS n_rows, '{c}' AS columns FROM {t}" for t, c in columns.items())
-    q["table_version"] = """WITH h AS (
-  SELECT CAST('0x' || substr(md5(c_custkey || '|' || c_mktsegment || '|' || c_name || '|' || c_nationkey), 1, 12) AS BIGINT) AS h FROM (
-    SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_mktsegment, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer))
-SELECT count(*) AS n_rows, substr(md5(count(*) || '|' || CAST(sum(h) AS VARCHAR) || '|' || CAST(bit_xor(h) AS VARCHAR)), 1, 12) AS version FROM h"""
+    parts = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+                        for c in sorted(columns["customer"].split(",")))
+    q["table_version"] = f"""WITH h AS (SELECT CAST('0x' || substr(md5({parts}), 1, 15) AS BIGINT) AS h FROM customer)
+SELECT count(*) AS n_rows, substr(md5('c_acctbal:double,c_custkey:bigint,c_mktsegment:string,c_name:string,c_nationkey:int' || '|' || count(*) || '|' || CAST(sum(h) AS VARCHAR) || '|' || CAST(bit_xor(h) AS VARCHAR)), 1, 12) AS version FROM h"""
+    def answers(prefix: str) -> str:
+        return f"""{plant}, {reasons}, {latest_features(AS_OF)},
+newest AS (SELECT * FROM features WHERE {M} IN (SELECT {M} FROM reasons WHERE reasons = '') QUALIFY row_number() OVER (PARTITION BY {M} ORDER BY datetime DESC) = 1)
+SELECT '{prefix}-' || r.{M} AS request_id, r.{M}, CASE WHEN n.{M} IS NOT NULL THEN round({score}, 6) END AS probability,
+       CASE WHEN n.{M} IS NOT NULL THEN 'scored' ELSE 'refused' END AS state
+FROM reasons r LEFT JOIN newest n ON r.{M} = n.{M}"""
+
+    early = answers("early").replace("2024-01-20 06:00:00", "2024-01-20 00:00:00")
+    q["score_requests"] = f"SELECT * FROM ({answers('late')}) UNION ALL SELECT * FROM ({early})"
+    q["log_without_feedback"] = f"""{plant}, {latest_features(now)}
+SELECT {M} AS machine_id, CAST({score} >= 0.5 AS INTEGER) AS prediction, round({score}, 4) AS probability,
+       CAST(NULL AS INTEGER) AS will_fail_24h FROM features WHERE datetime = {now}"""
+    q["grouped_areas"] = """WITH o AS (
+  SELECT o_totalprice / 600000 AS p, CAST(o_orderkey % 3 = 0 AS INTEGER) AS y, CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS a,
+         CASE WHEN o_orderkey % 2 = 0 THEN 'x' END AS b FROM orders),
+c AS (SELECT a, b, p, sum(y) AS pos, count(*) - sum(y) AS neg FROM o GROUP BY 1, 2, 3),
+r AS (SELECT *, sum(pos) OVER w AS pr, sum(neg) OVER w AS nr, sum(pos) OVER (PARTITION BY a, b) AS pa, sum(neg) OVER (PARTITION BY a, b) AS na
+      FROM c WINDOW w AS (PARTITION BY a, b ORDER BY p DESC ROWS UNBOUNDED PRECEDING)),
+s AS (SELECT a, b, sum(pos / pa * (pr / (pr + nr))) AS pr_auc, sum(neg * (pr - pos + pos / 2) / (pa * na)) AS roc_auc FROM r GROUP BY 1, 2),
+t AS (SELECT a, b, count(*) FILTER (y = 1 AND p >= 0.5) AS tp, count(*) FILTER (y = 0 AND p >= 0.5) AS fp FROM o GROUP BY 1, 2)
+SELECT t.a, t.b, round(pr_auc, 6) AS pr_auc, round(roc_auc, 6) AS roc_auc, tp, fp FROM t JOIN s ON t.a IS NOT DISTINCT FROM s.a AND t.b IS NOT DISTINCT FROM s.b"""
 
     # windowed service statistics
     q["request_rate"] = f"WITH {REQUEST_LOG}, {windowed('count(*) AS requests', 60, 60, by=', status')} SELECT * FROM win"

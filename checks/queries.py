@@ -202,15 +202,15 @@ def attach_dimension(spark, sf_dir):
 
 @query
 def unknown_keys(spark, sf_dir):
-    part = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"))
-    used = read(spark, sf_dir, "lineitem").where("l_quantity > 49").select(F.col("l_partkey").alias("k"))
-    return asof.unknown_keys(part, used, "k")
+    keys = read(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("k"))
+    known = read(spark, sf_dir, "events").select(F.col("user_id").alias("k"))
+    return asof.unknown_keys(keys.unionByName(read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))), known, "k")
 
 
 @query
 def before_first(spark, sf_dir):
     line = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").alias("ts"))
-    recent = read(spark, sf_dir, "orders").where("o_totalprice > 490000").select(F.col("o_orderdate").alias("ts"))
+    recent = read(spark, sf_dir, "events").select(F.col("ts").cast("timestamp_ntz").alias("ts"))
     return asof.before_first(line, recent, "ts")
 
 
@@ -487,6 +487,8 @@ def drift_per_day(spark, sf_dir):
 # ---- requests, logs, versions ---------------------------------------------------------------------------------
 
 REQUEST_TIME = "2024-01-20 06:00:00"
+EARLY_TIME = "2024-01-20 00:00:00"
+REQUEST_LIMITS = S.RequestContract(history=(S.MIN_HISTORY, S.MAX_HISTORY))
 
 
 def plant_requests(spark, sf_dir):
@@ -515,13 +517,13 @@ def request_errors(spark, sf_dir):
 
 @query
 def rejected_requests(spark, sf_dir):
-    _, rejected = requests.check_requests(plant_requests(spark, sf_dir))
+    _, rejected = requests.check_requests(plant_requests(spark, sf_dir), limits=REQUEST_LIMITS)
     return rejected.select(KEY, F.array_join("reasons", ",").alias("reasons"))
 
 
 @query
 def request_features(spark, sf_dir):
-    valid, _ = requests.check_requests(plant_requests(spark, sf_dir))
+    valid, _ = requests.check_requests(plant_requests(spark, sf_dir), limits=REQUEST_LIMITS)
     return scoring.request_features(valid).select(KEY, TS, *rounded(NUMERIC), *CATEGORICAL)
 
 
@@ -553,13 +555,47 @@ def prediction_log_window(spark, sf_dir):
 
 @query
 def table_summary(spark, sf_dir):
-    names = ["events", "orders", "lineitem", "customer"]
+    names = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+             "conversations").split()
     return tables.table_summary({n: read(spark, sf_dir, n) for n in names})
 
 
 @query
 def table_version(spark, sf_dir):
-    return tables.table_version(read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
+    return tables.table_version(read(spark, sf_dir, "customer"))
+
+
+@query
+def score_requests(spark, sf_dir):
+    """Two requests of every machine, six hours apart: each is scored or refused under its own id."""
+    t = plant_tables(spark, sf_dir)
+    late = requests.make_requests(t, REQUEST_TIME).withColumn("request_id", F.concat(F.lit("late-"), KEY))
+    early = requests.make_requests(t, EARLY_TIME).withColumn("request_id", F.concat(F.lit("early-"), KEY))
+    rule = models.Scorer("rule", None, RULE_FEATURE, 30.0, 51.0, 0.5, "7")
+    both = materialize(late.unionByName(early), "requests")
+    scored, refused = scoring.score_requests(both, rule, limits=REQUEST_LIMITS)
+    answer = scored.select("request_id", KEY, F.round(models.PROBABILITY, 6).alias("probability"), F.lit("scored").alias("state"))
+    return answer.unionByName(refused.select("request_id", KEY, F.lit(None).cast("double").alias("probability"), F.lit("refused").alias("state")))
+
+
+@query
+def log_without_feedback(spark, sf_dir):
+    """The newest 20 predictions of a log before any feedback: every outcome is unknown."""
+    folder = f"{work_dir(spark)}/log-{uuid.uuid4().hex}"
+    logs.append_log(logs.prediction_records(latest_scores(spark, sf_dir)).withColumn("logged_at", F.col("machine_id").cast("string")), folder, "predictions")
+    df = logs.load_prediction_log(spark, folder)
+    return df.select("machine_id", "prediction", "probability", LABEL)
+
+
+@query
+def grouped_areas(spark, sf_dir):
+    """Curve areas by two nullable columns: null is a group of its own in either."""
+    o = read(spark, sf_dir, "orders")
+    df = o.select((F.col("o_totalprice") / 600000).alias("p"), (F.col("o_orderkey") % 3 == 0).cast("int").alias("y"),
+                  F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).alias("a"),
+                  F.when(F.col("o_orderkey") % 2 == 0, F.lit("x")).alias("b"))
+    out = metrics.classification_metrics(df, "y", "p", 0.5, by=["a", "b"])
+    return out.select("a", "b", F.round("pr_auc", 6).alias("pr_auc"), F.round("roc_auc", 6).alias("roc_auc"), "tp", "fp")
 
 
 # ---- windowed service statistics (table form and streams) -----------------------------------------------------

@@ -19,6 +19,13 @@ BLOCK_HOURS = 168
 US, BLOCK, OWN = "_us", "_blk", "_own"
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal values of `by`, null being equal to null; keeps the left side's columns of that name."""
+    right = right.withColumnsRenamed({b: f"_r_{b}" for b in by})
+    on = reduce(lambda a, b: a & b, [left[b].eqNullSafe(right[f"_r_{b}"]) for b in by])
+    return left.join(right, on, how).drop(*[f"_r_{b}" for b in by])
+
+
 def as_list(names) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
@@ -80,24 +87,30 @@ def edges_below(edges: str, value: str, most: int) -> Column:
 
 
 def running_totals(
-    df: DataFrame, order: str, sums: Sequence[str], by: Sequence[str] = (), descending: bool = False, buckets: int = 256
+    df: DataFrame, order: str, sums: Sequence[str], by: Sequence[str] = (), descending: bool = False,
+    buckets: int | None = None, few_groups: bool = False,
 ) -> DataFrame:
     """Running and overall totals of `sums` along `order`, without one task seeing all rows.
 
     `df` holds one row per (by, order) value. Values are cut at quantiles into buckets of about equal size;
     bucket totals are accumulated first, then each bucket runs on its own. Adds `{c}_run` and `{c}_all`.
+    There are as many buckets as shuffle partitions, at least 256. Null is a group value like any other. With
+    `few_groups` (a fixed list of groups, such as features) the limits travel as one map, else they are joined.
     """
     by = list(by)
-    group = F.concat_ws("\u0001", *[F.col(b).cast("string") for b in by]) if by else F.lit("")
+    buckets = buckets or max(256, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    group = F.to_json(F.struct(*by), {"ignoreNullFields": "false"}) if by else F.lit("")
     base = df.withColumn("_g", group)
     probs = F.array(*[F.lit((i + 1) / buckets) for i in range(buckets - 1)])
     edges = F.array_sort(F.array_distinct(F.percentile_approx(order, probs, F.lit(10000))))
     # sums are kept here so that this branch and the main one share one exchange
     cuts = base.groupBy("_g").agg(edges.alias("edges"), *[F.sum(c).alias(f"{c}_all") for c in sums])
-    lookup = cuts.agg(
-        F.map_from_entries(F.collect_list(F.struct("_g", F.struct("edges", *[f"{c}_all" for c in sums]))))
-    ).scalar()
-    cut = base.withColumn("_cut", F.element_at(lookup, F.col("_g")))
+    limits = F.struct("edges", *[f"{c}_all" for c in sums])
+    if few_groups or not by:
+        lookup = cuts.agg(F.map_from_entries(F.collect_list(F.struct("_g", limits)))).scalar()
+        cut = base.withColumn("_cut", F.element_at(lookup, F.col("_g")))
+    else:
+        cut = base.join(cuts.select("_g", limits.alias("_cut")), "_g").select(*base.columns, "_cut")
     # never null, so that no join filter on it moves below the aggregation that made `df`
     bucket = F.coalesce(edges_below("_cut.edges", order, buckets), F.lit(0))
     binned = cut.select(*base.columns, bucket.alias("_b"), *[F.col(f"_cut.{c}_all").alias(f"{c}_all") for c in sums])
@@ -136,7 +149,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     by = list(by)
     long = unpivot(df, columns, by).where(F.col("value").isNotNull() & ~F.isnan("value"))
     counts = long.groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(counts, "value", ["n"], [*by, "feature"])
+    ranked = running_totals(counts, "value", ["n"], [*by, "feature"], few_groups=not by)
     below = F.col("n_run") - F.col("n")
 
     def at_rank(rank: Column) -> Column:

@@ -40,7 +40,8 @@ def psi_numeric(
     """(feature, psi) of numeric columns over quantile bins of the reference; missing values do not count.
 
     A reference with two distinct limits has a single bin and index 0 (`strict_bins` splits it at the upper one);
-    a constant reference compares equality instead.
+    a constant reference compares equality instead. A feature whose reference or current values are all missing has
+    a row with a null index.
     """
     limits = quantile_edges(ref, numeric, bins) if edges is None else edges
     by_name = limits.agg(F.map_from_entries(F.collect_list(F.struct("feature", "edges"))).alias("m"))  # one per feature
@@ -64,7 +65,9 @@ def psi_numeric(
     binned = _index(counts.where(~F.col("constant")))
     moved = F.when(F.sum("far") == 0, 0.0).otherwise(
         F.try_divide(F.sum("other").cast("double"), F.sum("c")) * F.ln(F.lit(1 / SHARE_FLOOR)))
-    return binned.unionByName(counts.where("constant").groupBy("feature").agg(moved.alias("psi")))
+    out = binned.unionByName(counts.where("constant").groupBy("feature").agg(moved.alias("psi")))
+    known = out.agg(F.map_from_entries(F.collect_list(F.struct("feature", "psi"))).alias("m"))  # one entry per feature
+    return known.select(F.explode(names).alias("feature"), "m").select("feature", F.col("m")[F.col("feature")].alias("psi"))
 
 
 def psi_categorical(ref: DataFrame, cur: DataFrame, categorical: Sequence[str]) -> DataFrame:
@@ -94,7 +97,7 @@ def ks(ref: DataFrame, cur: DataFrame, numeric: Sequence[str]) -> DataFrame:
     long = unpivot(_both(ref, cur, numeric), numeric, ["is_ref"]).where(F.col("value").isNotNull() & ~F.isnan("value"))
     counts = long.groupBy("feature", "value").agg(
         F.count_if("is_ref").alias("r"), F.count_if(~F.col("is_ref")).alias("c"))
-    run = running_totals(counts, "value", ["r", "c"], ["feature"])
+    run = running_totals(counts, "value", ["r", "c"], ["feature"], few_groups=True)
     gap = F.abs(F.col("r_run") / F.col("r_all") - F.col("c_run") / F.col("c_all"))
     both = run.where((F.col("r_all") > 0) & (F.col("c_all") > 0))
     out = both.groupBy("feature").agg(F.max(gap).alias("ks"), F.max("r_all").alias("n"), F.max("c_all").alias("m"))
@@ -110,14 +113,16 @@ def drift_table(
     ref: DataFrame, cur: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (),
     psi_threshold: float = S.MONITORING["psi_threshold"], with_ks: bool = True, **options,
 ) -> DataFrame:
-    """(feature, psi, ks_pvalue, drifted), most drifted first; the flag uses the unrounded index."""
+    """(feature, psi, ks_pvalue, drifted), most drifted first; the flag uses the unrounded index.
+
+    A feature without an index is not called drifted but stays in the share's denominator."""
     table = psi(ref, cur, numeric, categorical, **options)
     if with_ks:
         table = table.join(ks(ref, cur, numeric).select("feature", "ks_pvalue"), "feature", "left")
     else:
         table = table.withColumn("ks_pvalue", F.lit(None).cast("double"))
     return table.select("feature", F.round("psi", 4).alias("psi"), "ks_pvalue",
-                        (F.col("psi") > psi_threshold).alias("drifted")).orderBy(F.desc("psi"), "feature")
+                        F.coalesce(F.col("psi") > psi_threshold, F.lit(False)).alias("drifted")).orderBy(F.desc("psi"), "feature")
 
 
 def drift_summary(table: DataFrame, share_threshold: float = S.MONITORING["drift_share_threshold"]) -> DataFrame:

@@ -18,9 +18,9 @@ from foresight.schema import TS, PlantTables
 from foresight.session import materialize
 
 
-def reference_sample(train: DataFrame, n: int = S.MONITORING["reference_sample_rows"]) -> DataFrame:
-    """Reproducible sample of training rows that later windows are compared with."""
-    return sample_rows(train, n)
+def reference_sample(train: DataFrame, n: int | None = None) -> DataFrame:
+    """Training rows that later windows are compared with: all, or a reproducible sample of `n`."""
+    return sample_rows(train, n) if n else train
 
 
 def monitoring_report(cur: DataFrame, table: DataFrame, name: str, cfg: dict | None = None) -> DataFrame:
@@ -53,7 +53,7 @@ def alerts(report: DataFrame) -> DataFrame:
     """Alert rows: reports whose status is not quiet."""
     share = F.concat(F.round(F.col("drift_share") * 100).cast("int").cast("string"), F.lit("%"))
     message = F.concat(F.lit("["), "name", F.lit("] "), "status", F.lit(": drift share "), share, F.lit(" ("),
-                       F.array_join(F.slice("drifted_features", 1, 6), ", "), F.lit(")"),
+                       F.array_join("drifted_features", ", "), F.lit(")"),
                        F.when(F.col("recall").isNotNull(), F.format_string("; live recall %.2f", "recall")).otherwise(""),
                        F.lit(" -> "), "reason")
     return report.where(F.col("status") != "no_drift").select("name", "status", message.alias("message"))
@@ -93,7 +93,7 @@ def train_and_judge(
     validate_or_raise(t.as_dict(), contract)
     features = materialize(build_training_table(t), "features")
     numeric, _ = S.feature_columns()
-    broken = validate_features(features, numeric).take(5)
+    broken = validate_features(features, numeric).collect()  # at most a row per column and rule
     if broken:
         raise ValueError(f"feature table breaks its contract: {broken}")
     parts = split_by_time(features, ranges)

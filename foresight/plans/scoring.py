@@ -30,12 +30,22 @@ def top_risks(scores: DataFrame, n: int = 10) -> DataFrame:
     return scores.orderBy(F.desc(PROBABILITY), KEY).limit(n)
 
 
-def request_features(valid: DataFrame) -> DataFrame:
-    """Newest feature row of each machine of parsed, valid requests."""
-    return latest_per_key(build_features(parse_requests(valid)), KEY, TS)
+def request_features(valid: DataFrame, id: str = "request_id") -> DataFrame:
+    """Newest feature row of every parsed, valid request that has one, with its `id` and machine.
 
+    Requests are kept apart by id; rows that repeat an id with its body get a row each from one calculation."""
+    once = valid.dropDuplicates([id])
+    newest = latest_per_key(build_features(parse_requests(once, id)), KEY, TS).withColumnRenamed(KEY, id)
+    machines = valid.select(id, F.col("r.machine_id").try_cast("bigint").alias(KEY))
+    return machines.join(newest, id)
 
-def score_requests(df: DataFrame, scorer: Scorer, body: str = "body", batch: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(scored feature rows, rejected requests) of a table of JSON requests."""
-    valid, rejected = check_requests(df, body, batch)
-    return scorer.score(request_features(valid)), rejected
+
+def score_requests(df: DataFrame, scorer: Scorer, body: str = "body", batch: str | None = None,
+                   limits: S.RequestContract = S.RequestContract(), id: str = "request_id") -> tuple[DataFrame, DataFrame]:
+    """(scored feature rows, refused requests) of a table of JSON requests: every request is in one of them.
+
+    A valid request without a complete look-back is refused with the reason `no_complete_history`."""
+    valid, rejected = check_requests(df, body, batch, limits)
+    scored = scorer.score(request_features(valid, id))
+    short = valid.join(scored.select(id).distinct(), id, "left_anti").withColumn("reasons", F.array(F.lit("no_complete_history")))
+    return scored, rejected.unionByName(short.select(*rejected.columns))

@@ -52,7 +52,7 @@ SEED = 42
 
 
 def feature_columns(windows=WINDOW_HOURS) -> tuple[list[str], list[str]]:
-    """(numeric, categorical) feature names in their fixed order."""
+    """Names of the model inputs: numbers first in the order models store them, then text columns."""
     rolled = [f"{s}_{stat}_{w}h" for w in windows for s in SENSORS for stat in ("mean", "std")]
     counts = [f"{e}_count_{ERROR_WINDOW_HOURS}h" for e in ERROR_IDS]
     since = [f"days_since_{c}" for c in COMPONENTS]
@@ -92,7 +92,20 @@ class TableRule:
         return T.StructType([T.StructField(c.name, T._parse_datatype_string(c.dtype)) for c in self.columns])
 
 
-def raw_contract(machine_ids=MACHINE_ID_RANGE, max_null_fraction=MAX_NULL_FRACTION) -> dict[str, TableRule]:
+@dataclass(frozen=True)
+class RequestContract:
+    """Limits a request must keep; None sets none. Table jobs set none, a service may pass its own."""
+
+    machine_ids: tuple[int, int] | None = None
+    age: tuple[int, int] | None = None
+    history: tuple[int, int] | None = None
+    batch: int | None = None
+
+
+SERVICE_REQUESTS = RequestContract(MACHINE_ID_RANGE, AGE_RANGE, (MIN_HISTORY, MAX_HISTORY), MAX_BATCH)
+
+
+def raw_contract(machine_ids=None, max_null_fraction=MAX_NULL_FRACTION) -> dict[str, TableRule]:
     """Contract of the five raw tables."""
     when, machine = ColumnRule(TS, "timestamp_ntz"), ColumnRule(KEY, "bigint", between=machine_ids)
     sensors = tuple(ColumnRule(s, "double", nullable=True, between=HARD_BOUNDS[s]) for s in SENSORS)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -31,7 +33,8 @@ def get_session(app: str = "foresight", master: str | None = None, conf: dict |
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: `spark.checkpoint.dir`, or a temporary one on a local master."""
+    """Shared folder for intermediate tables: `spark.checkpoint.dir`; where it is unset, a local master gets a temporary one
+    that goes when Python ends, and any other master an error."""
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if shared:
@@ -40,6 +43,7 @@ def work_dir(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _own_dirs:
         _own_dirs[context.applicationId] = tempfile.mkdtemp(prefix="foresight-")
+        atexit.register(shutil.rmtree, _own_dirs[context.applicationId], ignore_errors=True)
         context.setCheckpointDir(_own_dirs[context.applicationId])
     return _own_dirs[context.applicationId]
 

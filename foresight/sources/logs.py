@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from foresight import schema as S
@@ -44,10 +45,12 @@ def append_log(df: DataFrame, folder: str, kind: str) -> None:
 def prediction_records(scored: DataFrame, latency_ms: float | None = None) -> DataFrame:
     """Log rows of scored feature rows (needs failure_probability, will_fail_24h, threshold, model_version).
 
-    The request id is a hash of machine, time and model version, so a repeated run logs the same ids.
+    The request's own id is logged, so that feedback finds it. Without one it is a hash of machine, time and model version, so a repeated run logs the same ids.
     """
     numeric, categorical = S.feature_columns()
     request_id = F.md5(F.concat_ws("|", F.col(S.KEY).cast("string"), F.col(S.TS).cast("string"), "model_version"))
+    if "request_id" in scored.columns:
+        request_id = F.col("request_id")
     return scored.select(
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("logged_at"),
         request_id.alias("request_id"), F.col(S.KEY).alias("machine_id"), F.col(S.TS).alias("as_of"),
@@ -87,4 +90,12 @@ def as_window(predictions: DataFrame) -> DataFrame:
 def load_prediction_log(spark: SparkSession, folder: str, last: int | None = None, feedback: bool = True) -> DataFrame:
     """Newest `last` predictions with flat features and, where known, the outcome."""
     window = as_window(newest(read_log(spark, folder, "predictions"), last))
-    return attach_feedback(window, read_log(spark, folder, "feedback")) if feedback else window
+    if not feedback:
+        return window
+    try:
+        answers = read_log(spark, folder, "feedback")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        answers = spark.createDataFrame([], SCHEMAS["feedback"])  # none has arrived yet
+    return attach_feedback(window, answers)

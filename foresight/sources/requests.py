@@ -31,8 +31,11 @@ def make_requests(t: PlantTables, as_of, hours: int = S.HISTORY_HOURS) -> DataFr
         frac = F.date_format(c, "SSSSSS")
         return F.concat(F.date_format(c, iso), F.when(frac != "000000", F.concat(F.lit("."), frac)).otherwise(""))
 
+    # readings of one time stay in the order they came, which parsing reads from the position
+    arrival = F.col("seq") if "seq" in part.telemetry.columns else F.lit(0).cast("bigint").alias("seq")
     readings = part.telemetry.groupBy(KEY).agg(
-        F.array_sort(F.collect_list(F.struct(text().alias(TS), *S.SENSORS))).alias("telemetry"))
+        F.array_sort(F.collect_list(F.struct(text().alias("at"), arrival, F.struct(text().alias(TS), *S.SENSORS).alias("p")))).alias("telemetry"))
+    readings = readings.withColumn("telemetry", F.col("telemetry.p"))
     errors = part.errors.groupBy(KEY).agg(
         F.array_sort(F.collect_list(F.struct(text().alias(TS), "errorID"))).alias("errors"))
     last = maint_with_failures(part.maint, part.failures).groupBy(KEY, "comp").agg(F.max(TS).alias(TS))
@@ -50,7 +53,7 @@ def read_requests(df: DataFrame, body: str = "body") -> DataFrame:
     return df.withColumn("r", F.from_json(body, REQUEST))
 
 
-def _reasons() -> Column:
+def _reasons(limits: S.RequestContract) -> Column:
     """Names of the rules a parsed request `r` breaks."""
     r = F.col("r")
     tel, errors, maint = r["telemetry"], F.coalesce(r["errors"], F.array()), r["last_maint"]
@@ -79,10 +82,10 @@ def _reasons() -> Column:
     last = F.element_at(at, -1)
     times = F.transform(F.map_values(maint), lambda v: micros(parse_timestamp(v)))
     checks = [
-        bad("machine_id", ~machine.between(*S.MACHINE_ID_RANGE)),
+        bad("machine_id", ~machine.between(*limits.machine_ids) if limits.machine_ids else machine.isNull()),
         bad("model", ~r["model"].isin(list(S.MODELS))),
-        bad("age", ~age.between(*S.AGE_RANGE)),
-        bad("history_length", ~n.between(S.MIN_HISTORY, S.MAX_HISTORY)),
+        bad("age", ~age.between(*limits.age) if limits.age else age.isNull()),
+        bad("history_length", ~n.between(*limits.history) if limits.history else n < 1),
         bad("reading_time", any_of(at, lambda a: a.isNull())),
         bad("reading_value", any_of(tel, out_of_bounds)),
         bad("hourly_order", F.when(n >= 2, spans).otherwise(F.lit(False))),
@@ -97,20 +100,24 @@ def _reasons() -> Column:
     return F.when(r.isNull() | tel.isNull(), F.array(F.lit("body"))).otherwise(listed)
 
 
-def check_requests(df: DataFrame, body: str = "body", batch: str | None = None) -> tuple[DataFrame, DataFrame]:
+def check_requests(df: DataFrame, body: str = "body", batch: str | None = None,
+                   limits: S.RequestContract = S.RequestContract()) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected): parsed requests, and requests with their `reasons`.
 
-    With a batch column, a whole batch is rejected when it is too large, names a machine twice or holds an
+    Every request has a `request_id`: its own, or the hash of its body where the table has no such column.
+    With a batch column, a whole batch is rejected when it is larger than the contract allows, names a machine twice or holds an
     invalid request. Counts per batch are combined before the shuffle. Without it the check also runs on streams.
     """
-    checked = read_requests(df, body).withColumn("reasons", _reasons())
+    if "request_id" not in df.columns:
+        df = df.withColumn("request_id", F.md5(body))
+    checked = read_requests(df, body).withColumn("reasons", _reasons(limits))
     if batch:
         per_machine = checked.groupBy(batch, F.col("r.machine_id").alias("m")).agg(
             F.count(F.lit(1)).alias("n"), F.count_if(F.size("reasons") > 0).alias("bad"))
         state = per_machine.groupBy(batch).agg(
             F.sum("n").alias("_n"), F.max(F.when(F.col("m").isNotNull(), F.col("n"))).alias("_m"), F.sum("bad").alias("_bad"))
         extra = F.array(
-            F.when(F.col("_n") > S.MAX_BATCH, F.lit("batch_size")), F.when(F.col("_m") > 1, F.lit("repeated_machine")),
+            F.when(F.col("_n") > limits.batch, F.lit("batch_size")) if limits.batch else F.lit(None).cast("string"), F.when(F.col("_m") > 1, F.lit("repeated_machine")),
             F.when((F.col("_bad") > 0) & (F.size("reasons") == 0), F.lit("batch_has_invalid_request")))
         checked = checked.join(state, batch).withColumn(
             "reasons", F.concat("reasons", F.filter(extra, lambda c: c.isNotNull()))).drop("_n", "_m", "_bad")
@@ -118,9 +125,12 @@ def check_requests(df: DataFrame, body: str = "body", batch: str | None = None)
     return checked.where(ok).drop("reasons"), checked.where(~ok).drop("r")
 
 
-def parse_requests(parsed: DataFrame) -> PlantTables:
-    """Flat tables of parsed requests (`r`); offsets are dropped, wall-clock times stay."""
-    r = parsed.select(F.col("r.machine_id").try_cast("bigint").alias(KEY), "r.*")
+def parse_requests(parsed: DataFrame, by: str | None = None) -> PlantTables:
+    """Flat tables of parsed requests (`r`); offsets are dropped, wall-clock times stay.
+
+    The key is the machine, or with `by` that column, which keeps several requests of one machine apart."""
+    key = F.col(by) if by else F.col("r.machine_id").try_cast("bigint")
+    r = parsed.select(key.alias(KEY), "r.*")
     telemetry = r.select(KEY, F.posexplode("telemetry").alias("seq", "p")).select(
         parse_timestamp("p.datetime").alias(TS), KEY, F.col("seq").cast("bigint").alias("seq"),
         *[F.col(f"p.{s}").try_cast("double").alias(s) for s in S.SENSORS])

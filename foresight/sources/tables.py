@@ -100,10 +100,15 @@ def file_version(spark: SparkSession, paths: list[str]) -> str:
 
 
 def table_version(df: DataFrame) -> DataFrame:
-    """Order-independent fingerprint of a table of any size: row count, sum and xor of row hashes."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in sorted(df.columns)])
-    h = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("bigint")
+    """Order-independent fingerprint of a table of any size: columns with types, row count, sum and xor of row hashes.
+
+    A row is hashed as its values in column order, each with its length before it, so no two rows read the same."""
+    kinds = dict(df.dtypes)
+    names = ",".join(f"{c}:{kinds[c]}" for c in sorted(df.columns))
+    value = [F.col(f"`{c}`").cast("string") for c in sorted(df.columns)]
+    text = F.concat(*[F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in value])
+    h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
     row = df.select(h.alias("h")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("h").cast("decimal(38,0)")).alias("s"), F.bit_xor("h").alias("x"))
     return row.select("n_rows", F.substring(F.md5(F.concat_ws(
-        "|", F.col("n_rows").cast("string"), F.col("s").cast("string"), F.col("x").cast("string"))), 1, 12).alias("version"))
+        "|", F.lit(names), F.col("n_rows").cast("string"), F.col("s").cast("string"), F.col("x").cast("string"))), 1, 12).alias("version"))

@@ -22,14 +22,17 @@ def _start(df: DataFrame, each, checkpoint: str, trigger: dict | None) -> Stream
 
 
 def start_scoring(requests: DataFrame, scorer: Scorer, out: str, checkpoint: str, body: str = "body",
-                  trigger: dict | None = None) -> StreamingQuery:
-    """Score valid requests to `out`/predictions and set rejected ones aside in `out`/quarantine.
+                  trigger: dict | None = None, limits: S.RequestContract = S.RequestContract()) -> StreamingQuery:
+    """Score valid requests to `out`/predictions and set refused ones aside in `out`/quarantine.
 
-    Each micro-batch owns its folder, so a retried batch replaces its own output.
+    Each micro-batch owns its folder, so a retried batch replaces its own output. Its requests are written to
+    `out`/requests first; scoring and refusing read that.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        scored, rejected = score_requests(batch, scorer, body)
+        batch.write.mode("overwrite").parquet(f"{out}/requests/batch={batch_id}")
+        batch = batch.sparkSession.read.parquet(f"{out}/requests/batch={batch_id}")
+        scored, rejected = score_requests(batch, scorer, body, limits=limits)
         prediction_records(scored).write.mode("overwrite").json(f"{out}/predictions/batch={batch_id}")
         rejected.write.mode("overwrite").json(f"{out}/quarantine/batch={batch_id}")
 
@@ -60,6 +63,9 @@ def edge_literals(ref: DataFrame, numeric: Sequence[str], bins: int = 10) -> dic
     return {r["feature"]: list(r["edges"]) for r in quantile_edges(ref, numeric, bins).collect()}
 
 
+CONSTANT = ("constant:equal", "constant:close", "constant:other")
+
+
 def _bins(edges: dict[str, list[float]], categorical: Sequence[str]) -> Column:
     """Array of (feature, bin) of one row; missing values fall out."""
 
@@ -67,10 +73,14 @@ def _bins(edges: dict[str, list[float]], categorical: Sequence[str]) -> Column:
         inner = F.array(*[F.lit(float(v)) for v in e[1:-1]]).cast("array<double>")
         x = F.col(c).cast("double")
         known = x.isNotNull() & ~F.isnan(x)
+        if len(e) == 1:  # a constant reference: equal, close or different
+            v = F.lit(float(e[0]))
+            place = F.when(x == v, CONSTANT[0]).when(F.abs(x - v) <= 1e-8 + 1e-5 * F.abs(v), CONSTANT[1]).otherwise(CONSTANT[2])
+            return F.when(known, F.struct(F.lit(c).alias("feature"), place.alias("bin")))
         return F.when(known, F.struct(F.lit(c).alias("feature"),
                                       F.size(F.filter(inner, lambda v: x >= v)).cast("string").alias("bin")))
 
-    parts = [number(c, e) for c, e in edges.items() if len(e) > 1]
+    parts = [number(c, e) for c, e in edges.items() if e]
     parts += [F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("bin")))
               for c in categorical]
     return F.filter(F.array(*parts), lambda p: p.isNotNull())
@@ -91,7 +101,15 @@ def psi_per_window(counts: DataFrame, ref_counts: DataFrame) -> DataFrame:
     """(window_start, feature, psi) from window counts and reference counts.
 
     Reference bins without rows in a window add a fixed amount each: their total less that of the bins that occur.
+    A constant reference has the index of `psi_numeric`: the share that moved, times the log of the share floor.
+    A feature without known reference values has no index.
     """
+    fixed = counts.where(F.col("bin").isin(*CONSTANT)).groupBy("window_start", "feature").agg(
+        F.sum(F.when(F.col("bin") == CONSTANT[2], F.col("n"))).alias("far"),
+        F.sum(F.when(F.col("bin") != CONSTANT[0], F.col("n"))).alias("other"), F.sum("n").alias("nc"))
+    fixed = fixed.select("window_start", "feature", F.when(F.col("far").isNull(), 0.0).otherwise(
+        F.col("other") / F.col("nc") * F.ln(F.lit(1 / SHARE_FLOOR))).alias("psi"))
+    counts, ref_counts = (d.where(~F.col("bin").isin(*CONSTANT)) for d in (counts, ref_counts))
     floor = F.lit(SHARE_FLOOR)
     ref_all = ref_counts.groupBy("feature").agg(F.sum("n").alias("nr"))
     shares = ref_counts.join(ref_all, "feature").select(
@@ -104,7 +122,8 @@ def psi_per_window(counts: DataFrame, ref_counts: DataFrame) -> DataFrame:
     r = F.coalesce("r", floor)
     known = F.when(F.col("r").isNotNull(), absent).otherwise(0.0)
     sums = present.groupBy("window_start", "feature").agg(F.sum((c - r) * F.ln(c / r) - known).alias("s"))
-    return sums.join(all_absent, "feature").select("window_start", "feature", (F.col("s") + F.col("all_absent")).alias("psi"))
+    binned = sums.join(all_absent, "feature").select("window_start", "feature", (F.col("s") + F.col("all_absent")).alias("psi"))
+    return binned.unionByName(fixed)
 
 
 def drift_per_window(df: DataFrame, ref: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (),

@@ -8,6 +8,7 @@ from foresight import schema as S
 from foresight.operators.split import split_by_time
 from foresight.plans import models, monitoring
 from foresight.plans.features import build_training_table
+from foresight.plans.scoring import score_requests
 from foresight.schema import KEY, LABEL, TS
 from foresight.session import materialize
 from foresight.streaming import jobs, windows
@@ -164,13 +165,36 @@ def test_scoring_stream_with_quarantine(spark, tmp_path):
     for i, b in enumerate(bodies):
         (tmp_path / "in" / f"{i}.txt").write_text(json.dumps(b) + "\n")
     stream = spark.readStream.text(str(tmp_path / "in")).withColumnRenamed("value", "body")
-    jobs.start_scoring(stream, RULE, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    jobs.start_scoring(stream, RULE, str(tmp_path / "out"), str(tmp_path / "cp"), limits=S.SERVICE_REQUESTS).awaitTermination()
     good = spark.read.json(str(tmp_path / "out" / "predictions"))
     bad = spark.read.json(str(tmp_path / "out" / "quarantine"))
     assert sorted(r["machine_id"] for r in good.collect()) == [1, 2]
     assert [r["reasons"] for r in bad.collect()] == [["machine_id"]]
 
 
+def test_requests_of_one_machine_stay_apart(spark):
+    from tests.test_requests_logs import RULE, body
+    rows = [body(machine_id=1), body(machine_id=1, telemetry=[{**r, "volt": 200.0} for r in body()["telemetry"]])]
+    df = spark.createDataFrame([(f"r{i}", json.dumps(b)) for i, b in enumerate(rows)], "request_id string, body string")
+    scored, refused = score_requests(df, RULE)
+    got = {r["request_id"]: r["volt_mean_24h"] for r in scored.collect()}
+    assert refused.count() == 0 and set(got) == {"r0", "r1"} and got["r1"] == 200.0 and got["r0"] != 200.0
+    short = spark.createDataFrame([("s", json.dumps(body(telemetry=body()["telemetry"][:5])))], "request_id string, body string")
+    scored, refused = score_requests(short, RULE)
+    assert scored.count() == 0 and [r["reasons"] for r in refused.collect()] == [["no_complete_history"]]
+
+
+def test_drift_of_constant_and_missing_references(spark):
+    rows = [(dt.datetime(2015, 1, d), 0.0 if d < 3 else 5.0, None) for d in (1, 2, 3, 4)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, x double, y double")
+    ref = df.where("x = 0")
+    got = {(r["window_start"].day, r["feature"]): r["psi"] for r in jobs.drift_per_window(df, ref, ["x", "y"], ts="ts").collect()}
+    assert got[(1, "x")] == 0 and got[(3, "x")] == pytest.approx(9.2103, abs=1e-4)
+    from foresight.operators.drift import drift_table
+    table = {r["feature"]: (r["psi"], r["drifted"]) for r in drift_table(ref, df.where("x = 5"), ["x", "y"], with_ks=False).collect()}
+    assert table == {"x": (9.2103, True), "y": (None, False)}
+
+
 def test_drift_per_window(spark, tmp_path):
     start = dt.datetime(2015, 1, 1)
     rows = [(start + dt.timedelta(minutes=7 * i), float(i % 40) + (100 if i > 1000 else 0), "ab"[i % 2] if i <= 1000 else "c") for i in range(1400)]

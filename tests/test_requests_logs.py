@@ -66,7 +66,7 @@ def as_table(spark, bodies):
 
 def test_bad_requests_are_rejected_with_a_reason(spark):
     df = as_table(spark, [body(**c) for c, _ in BAD.values()] + ["{broken"])
-    valid, rejected = requests.check_requests(df)
+    valid, rejected = requests.check_requests(df, limits=S.SERVICE_REQUESTS)
     assert valid.count() == 0
     got = {r["id"]: r["reasons"] for r in rejected.collect()}
     for i, (name, (_, reason)) in enumerate(BAD.items()):
@@ -87,11 +87,25 @@ def test_good_requests_pass(spark):
     assert [row[f"days_since_{c}"] for c in S.COMPONENTS] == [365.0] * 4
 
 
+def test_no_limits_by_default(spark):
+    df = as_table(spark, [body(machine_id=1400, age=99)])
+    assert requests.check_requests(df)[1].count() == 0
+    batch = df.withColumn("batch", F.lit("a"))
+    assert requests.check_requests(batch, batch="batch", limits=S.RequestContract(batch=0))[1].count() == 0
+    assert requests.check_requests(batch, batch="batch", limits=S.RequestContract(machine_ids=(1, 9)))[1].count() == 1
+
+
+def test_log_without_feedback(spark, steady, tmp_path):
+    logs.append_log(logs.prediction_records(score_requests(requests.make_requests(steady, AS_OF), RULE)[0]), str(tmp_path), "predictions")
+    window = logs.load_prediction_log(spark, str(tmp_path))
+    assert window.count() == 4 and window.where("will_fail_24h is not null").count() == 0
+
+
 def test_batch_rules(spark):
     rows = [("a", body(machine_id=1)), ("a", body(machine_id=1)), ("b", body(machine_id=2)), ("b", body(machine_id=3, age=99)),
             ("c", body(machine_id=4)), ("c", body(machine_id=5))]
     df = spark.createDataFrame([(b, json.dumps(r)) for b, r in rows], "batch string, body string")
-    valid, rejected = requests.check_requests(df, batch="batch")
+    valid, rejected = requests.check_requests(df, batch="batch", limits=S.SERVICE_REQUESTS)
     assert {r["batch"] for r in valid.collect()} == {"c"}
     reasons = {(r["batch"], tuple(r["reasons"])) for r in rejected.collect()}
     assert reasons == {("a", ("repeated_machine",)), ("b", ("batch_has_invalid_request",)), ("b", ("age",))}
