@@ -176,8 +176,10 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     hubs = materialize(bands.groupBy("band", "key").agg(F.min("id").alias("hub"), F.count("*").alias("m")).where("m > 1").drop("m"), "hubs")
     bands = materialize(bands.join(hubs, ["band", "key"]), "bands")
     stars = bands.where("id > hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-    sides = [reps.select(F.col("id").alias(k), F.col("n").alias("n" + k), F.col("registers").alias("r" + k)) for k in "ab"]
-    kept = materialize(_estimated(stars.join(sides[0], "a").join(sides[1], "b"), percent), "estimated")
+    sizes, sides = ([reps.select(F.col("id").alias(k), F.col(c).alias(p + k)) for k in "ab"] for c, p in (("n", "n"), ("registers", "r")))
+    # sizes rule out most pairs before any sketch is moved
+    stars = stars.join(sizes[0], "a").join(sizes[1], "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+    kept = materialize(_estimated(materialize(stars, "pairs").join(sides[0], "a").join(sides[1], "b"), percent), "estimated")
     first = kept.groupBy("a").agg(F.max(F.struct("estimate", (-F.col("b")).alias("b"))).alias("best"), F.min("b").alias("low"))
     first = first.select("a", F.explode(F.array_distinct(F.array(-F.col("best.b"), F.col("low")))).alias("b"))
     classes = base.where("n > 0").join(reps.select("print", F.col("id").alias("rep")), "print").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))

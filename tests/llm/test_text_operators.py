@@ -1,0 +1,278 @@
+import base64
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from tokenizers import Tokenizer
+
+from foresight.llm import bpe, bpe_job, graph, language_id, line_dedup, near_dedup, packing, pii, setsketch, toxicity, warc
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PACK = public_tokenizers.path("byte_bpe_50k.json")
+SCHEMA = "doc_id bigint, text string, source string, n_lines string, base string"  # two names that operators also use
+
+
+def docs(spark, texts, ids=None):
+    return spark.createDataFrame([(i if ids is None else ids[i], t, f"s{i % 2}", "x", "y") for i, t in enumerate(texts)], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def encoding():
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(RANKS), special_tokens={})
+
+
+def odd_texts(n=300):
+    rng = random.Random(4)
+    alphabet = "aàs t'lrevemd  \n\t\r1٣!?¿' 　́中é´日😀_\x1c\x85"
+    return [None, "", " ", "'", "it's 'sx ''s 'll\n's  've", "a" * 700, " " * 900, "<|endoftext|>"] + [
+        "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(n)]
+
+
+def test_bpe_equals_the_library(spark, encoding):
+    texts = odd_texts() + ["word " * 20000, "zq" * 3000]
+    rows = {r["doc_id"]: r for r in bpe_job.digests(docs(spark, texts), RANKS).collect()}
+    assert len(rows) == len(texts)
+    for i, t in enumerate(texts):
+        ids = encoding.encode_ordinary(t or "")
+        want = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())
+        assert (rows[i]["n_tokens"], rows[i]["ids_sha256"], rows[i]["decoded_sha256"]) == want, t
+    back = bpe_job.decode(bpe_job.encode(docs(spark, texts), RANKS), RANKS)
+    assert {r["doc_id"]: bytes(r["data"]).decode() for r in back.collect()} == {i: t or "" for i, t in enumerate(texts)}
+    assert bpe_job.digests(docs(spark, []), RANKS).count() == 0
+
+
+def test_one_long_tree_equals_batched_trees():
+    table = bpe.RankTable(bpe.load_ranks(RANKS))
+    rng = random.Random(2)
+    pieces = [bytes(rng.choice(b"abcdeth \xc3\xa9") for _ in range(n)) for n in range(1, 200)]
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    end = np.cumsum([len(p) for p in pieces])
+    ids, counts = table.encode(data, end - [len(p) for p in pieces], end)
+    for p, own in zip(pieces, np.split(ids, np.cumsum(counts)[:-1])):
+        assert table.encode_one(p) == own.tolist()
+
+
+def test_packing_is_exact(spark):
+    rng = random.Random(3)
+    texts = odd_texts(60) + [" ".join(rng.choice(["alpha", "béta", "7"]) for _ in range(rng.randint(1, 9000))) for _ in range(25)]
+    tokenizer = Tokenizer.from_file(PACK)
+    tokenizer.encode_special_tokens = True
+    limits = packing.Limits(512, 8, 512)
+    rows = packing.pack_documents(docs(spark, texts), PACK, limits=limits).collect()
+    at, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        at[r["doc_id"]].append(r)
+        sequences[r["sequence_id"]].append(r)
+    for i, t in enumerate(texts):
+        ids, place = tokenizer.encode(t or "", add_special_tokens=False).ids + [1], 0
+        for r in sorted(at[i], key=lambda r: r["start"]):
+            assert r["start"] == place and r["doc_tokens"] == len(ids)
+            assert r["ids_crc32"] == zlib.crc32(np.array(ids[place:place + r["length"]], "<u4").tobytes())
+            place += r["length"]
+        assert place == len(ids)
+    for own in sequences.values():
+        place = 0
+        for r in sorted(own, key=lambda r: r["offset"]):
+            assert r["offset"] == place
+            place += r["length"]
+        assert place <= 512 and len(own) <= 8
+    assert packing.pack_documents(docs(spark, []), PACK).count() == 0
+
+
+def test_packing_limits_on_loss():
+    p = packing.Packer(packing.Limits(64, 4, 40))
+    assert p.pack(np.arange(9), np.zeros(9, np.int64), np.full(9, 50), True) == []
+    by = defaultdict(list)
+    for d, s, n, q, o in p.out:
+        by[q].append((n, n - (s == 0)))
+    assert all(sum(n for n, _ in v) <= 64 and sum(x for _, x in v) <= 40 and len(v) <= 4 for v in by.values())
+    assert sum(n for v in by.values() for n, _ in v) == 450
+
+
+def brute_components(texts, size, percent):
+    sets = []
+    for t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+        sets.append({tuple(w[j:j + size]) for j in range(len(w) - size + 1)} if len(w) >= size else ({tuple(w)} if w else set()))
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(texts)):
+        for b in range(a):
+            i = len(sets[a] & sets[b])
+            if i and 100 * i >= percent * (len(sets[a]) + len(sets[b]) - i):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return [(len(s), find(i)) for i, s in enumerate(sets)]
+
+
+def test_near_duplicates_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)  # hot buckets are cut
+    rng = random.Random(5)
+    base = [rng.choice("abcdefghijklmnop") * rng.randint(1, 4) + str(rng.randint(0, 60)) for _ in range(160)]
+    texts = [None, "", " \t", "one two", "ONE two", "one two\n"]
+    for _ in range(90):  # a hot group around the limit
+        w = list(base)
+        for _ in range(rng.randint(0, 5)):
+            w[rng.randrange(len(w))] = f"new{rng.randint(0, 9)}"
+        texts.append(" ".join(w))
+    texts += [texts[10]] * 40 + [" ".join(base[:60] + [f"{k}x{j}" for j in range(60)]) for k in range(12)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(docs(spark, texts), size=4).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_components(texts, 4, 80)
+    assert near_dedup.near_duplicates(docs(spark, []), size=4).count() == 0
+    odd = near_dedup.near_duplicates(docs(spark, ["a b c d e", "a b c d e", "x"], [None, 4, 4]), size=4).collect()
+    assert sorted(((r["doc_id"] or -1), r["kept"]) for r in odd) == [(-1, False), (4, True), (4, True)]
+
+
+def test_sketches_merge_and_estimate():
+    rng = np.random.default_rng(0)
+    a, b = rng.integers(0, 2**63, 900, dtype=np.uint64), rng.integers(0, 2**63, 300, dtype=np.uint64)
+    ka, kb, kab = (setsketch.sketch(x, np.array([0, len(x)])) for x in (a, b, np.concatenate([a, b])))
+    assert (np.maximum(ka, kb) == kab).all()
+    j = setsketch.joint_estimate(ka, kab, np.array([900]), np.array([1200]))[0]
+    assert abs(j - 0.75) < 0.08
+
+
+def test_components(spark):
+    edges = [(2, 1), (3, 2), (4, 3), (9, 8), (8, 9), (7, 7), *[(k + 1, k) for k in range(20, 60)]]
+    got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1, 8: 8, 9: 8, **{k: 20 for k in range(20, 61)}}
+
+
+PERSONAL = ["mail a.b+c@d-e.org. and x@y.co_z@w.de", "1.2.3.4.5 300.1.1.1 10.0.0.255 001.2.3.4", "4862648561270567 4862 6485 6127 0567 4862648561270568",
+            "+1 (333) 555-8558, +12 3, +123456789012345678", "é😀 a@b.c", None, "", "12345678901234567890123", "token = \"0641917ea4e9feb9cda83477b57ac2654884f485\""]
+
+
+def test_personal_data(spark):
+    rows = {r["doc_id"]: r for r in pii.report(docs(spark, PERSONAL * 3)).collect()}
+    counts = [(rows[i]["n_email"], rows[i]["n_ip"], rows[i]["n_card"], rows[i]["n_phone"]) for i in range(len(PERSONAL))]
+    assert len(re.findall(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", PERSONAL[0])) == 3
+    assert counts == [(3, 0, 0, 0), (0, 3, 0, 0), (0, 0, 1, 0), (0, 0, 0, 1), (1, 0, 0, 0), (0,) * 4, (0,) * 4, (0,) * 4, (0,) * 4]
+    assert rows[4]["spans"] == "email:3:8" and rows[5]["spans"] == ""
+    assert rows[8]["spans"] == "secret:9:49"
+    out = {r["doc_id"]: r["text"] for r in pii.redact(docs(spark, PERSONAL * 3)).collect()}
+    assert out[4] == "é😀 [EMAIL]" and out[5] is None and out[3] == "[PHONE], +12 3, +123456789012345678"
+    assert pii.redact(docs(spark, PERSONAL)).columns == docs(spark, []).columns
+    assert pii.report(docs(spark, [])).count() == 0
+
+
+def test_base_patterns_have_no_quadratic_scan(spark):
+    import time
+    began = time.time()
+    long = ["a" * 400_000 + " @ ", "1" * 400_000 + ".", "1 " * 200_000 + "+", "a." * 100_000 + "@x.y"]
+    assert pii.report(docs(spark, long)).count() == 4
+    assert time.time() - began < 120
+
+
+def test_line_dedup(spark):
+    pages = [f"menu\n  menu \nbody {i}\n" if i % 2 == 0 else f"own {i}" for i in range(40)] + ["menu"] + [None, "", "menu\nsame"] + ["menu\nsame"] * 9
+    df = docs(spark, pages)
+    got = {r["doc_id"]: r for r in line_dedup.drop_lines(df, percent=5, min_pages=5).collect()}
+    assert (got[0]["text"], got[0]["n_lines"], got[0]["n_dropped"]) == ("body 0\n", 3, 2)
+    assert got[1]["text"] == "own 1" and got[40]["text"] == "" and got[41]["text"] is None and got[42]["text"] == ""
+    assert len(got) == len(pages) and {got[43 + k]["text"] for k in range(10)} <= {"same", "menu\nsame"}
+    assert line_dedup.drop_lines(docs(spark, [])).count() == 0
+
+
+def test_warc_round_trip(spark):
+    trap = "x WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:777>\r\nContent-Length: 5\r\n\r\nabcde\r\n\r\nWARC/1.0\r\nContent-Length: 3\r\n\r\n"
+    html = ["<p>é</p>", None, "", trap, trap, "<p>é</p>", "tail\r\n\r\n", "a" * 300_000 + "WARC/1.0\r\n"] * 3
+    df = spark.createDataFrame([(i, f"http://a b/{i}\n", h, "c") for i, h in enumerate(html)], "page_id bigint, url string, html string, digest string")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")  # splits inside records
+    try:
+        rows = {r["page_id"]: r for r in warc.round_trip(df.coalesce(1)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert set(rows) == set(range(len(html)))
+    first = {}
+    for i, h in enumerate(html):
+        data = (h or "").encode()
+        head = first.setdefault(data, i)
+        want = (len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), "response" if head == i else "revisit", None if head == i else head, True)
+        assert tuple(rows[i][k] for k in ("payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")) == want, i
+    big = {r["page_id"]: r["record_type"] for r in warc.round_trip(df, min_bytes=100).collect()}
+    assert big[0] == big[5] == "response" and big[4] == "revisit"
+    assert warc.round_trip(df.limit(0)).count() == 0
+
+
+def test_language(spark):
+    words = {"aa": ["kavo", "lumi", "sater"], "bb": ["qwix", "zorp", "fnel"]}
+    rng = random.Random(1)
+    rows = [(i, " ".join(rng.choice(words[l]) for _ in range(12)), l) for i, l in enumerate(["aa", "bb"] * 20)]
+    model = language_id.learn(spark.createDataFrame(rows + [(90, "kavo", None)], "doc_id bigint, text string, lang string"), RANKS)
+    texts = ["kavo sater", "zorp", None, "", "12 !?", "lumi " * 5000]
+    got = {r["doc_id"]: r for r in language_id.predict(docs(spark, texts), model, RANKS).collect()}
+    assert [got[i]["lang_pred"] for i in range(6)] == ["aa", "bb", "und", "und", "und", "aa"]
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+    pieces = language_id._pieces(RANKS)
+    p = np.zeros((pieces.size + 1, 1))
+    p[:-1] = 0.01
+    data = np.frombuffer(b"ab", np.uint8)
+    grid = pieces.grid(data, np.array([0]), np.array([2]), 2)
+    assert language_id.forward(grid, p)[2, 0, 0] == pytest.approx(0.01 + 0.01**2)  # ab and a + b
+    assert language_id.predict(docs(spark, []), model, RANKS).count() == 0
+
+
+def test_gradient_of_the_network():
+    net = toxicity.Network(1)
+    for k in net.names:
+        setattr(net, k, getattr(net, k).astype(np.float64))
+    data = np.frombuffer(b"one two three four five six", np.uint8)
+    low, start, end, first = toxicity.words(data, np.array([0, 14, 27]))
+    args = toxicity.features(low, start, end)
+    parts = [net._window((args[0][a:b], args[1][args[2][:a].sum():args[2][:b].sum()], args[2][a:b]), 0) for a, b in zip(first[:-1], first[1:])]
+    batch, y = toxicity._stacked(parts), np.array([1.0, 0.0])
+
+    def loss():
+        p = toxicity._sigmoid(net.logits(net.vectors(*batch[:3]).astype(np.float64), batch[3], batch[4]))
+        return float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
+
+    g = net._gradient(*batch, y)
+    for name, place in (("att", (3,)), ("out", (2,)), ("wh", (0, 1, 8)), ("wh", (1, 2, 15)), ("wx", (1, 2, 3)), ("b", (0, 4)), ("word", (int(batch[0][0]), 1)), ("gram", (int(batch[1][0]), 2))):
+        a = getattr(net, name)
+        a[place] += 1e-2
+        up = loss()
+        a[place] -= 2e-2
+        down = loss()
+        a[place] += 1e-2
+        assert g[name][place] == pytest.approx((up - down) / 2e-2, rel=0.1, abs=2e-4), (name, place)
+
+
+def test_toxicity(spark):
+    rng = random.Random(0)
+    calm = [f"w{k}" for k in range(80)]
+    rows = []
+    for i in range(300):
+        w = [rng.choice(calm) for _ in range(rng.randint(5, 120))]
+        if i % 3 == 0:
+            for _ in range(3):
+                w[rng.randrange(len(w))] = "grumblat" + rng.choice(["or", "ix", "um", ""])
+        rows.append((i, " ".join(w), int(i % 3 == 0)))
+    model = toxicity.learn(spark.createDataFrame(rows, "doc_id bigint, text string, toxic int"))
+    texts = ["w1 w2 grumblaten w3 grumblates w4", "w1 w5 w7 w9", None, "", "w3 " * 3000 + "grumblator grumblatix " + "w4 " * 3000]
+    df = docs(spark, texts)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(df, model).collect()}
+    assert got[0] >= 0.5 > got[1] and got[2] == got[3] == 0 and got[4] >= 0.5
+    assert sorted(r["doc_id"] for r in toxicity.reject(df, model).collect()) == [1, 2, 3]
+    assert toxicity.reject(df.limit(0), model).count() == 0
+
+
+def test_every_word_lies_in_a_window():
+    first = np.array([0, 0, 5, 37, 137])
+    start, length, doc = toxicity.windows(first)
+    seen = defaultdict(set)
+    for s, n, d in zip(start, length, doc):
+        seen[int(d)] |= set(range(s, s + n))
+    assert seen == {1: set(range(0, 5)), 2: set(range(5, 37)), 3: set(range(37, 137))}
+
+
