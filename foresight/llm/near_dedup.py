@@ -34,15 +34,27 @@ BLOCK = 1024
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """(id, n, fingerprint of the shingle set, registers, low bits of the registers)."""
+    """(id, n, fingerprint of the shingle set, registers)."""
     def run(rows, data, offsets):
         flat, first = shingles(*words(data, offsets), size)
         registers = sketch(flat, first)
         raw = flat.tobytes()
         prints = [hashlib.blake2b(raw[8 * a:8 * b], digest_size=16).digest() for a, b in zip(first[:-1], first[1:])]
-        return [rows.column(0), np.diff(first), pa.array(prints, pa.binary()), pa.array([r.tobytes() for r in registers], pa.binary()), pa.array([r.tobytes() for r in low_bits(registers)], pa.binary())]
+        return [rows.column(0), np.diff(first), pa.array(prints, pa.binary()), pa.array([r.tobytes() for r in registers], pa.binary())]
 
-    return map_texts(docs, "_text", run, "id bigint, n bigint, print binary, registers binary, bits binary")
+    return map_texts(docs, "_text", run, "id bigint, n bigint, print binary, registers binary")
+
+
+def _wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents with these ids. A bitmap of hashed ids goes first, so that few other texts reach the join.
+
+    The bitmap has 2^26 bits whatever the data, in at most 2048 rows of 4 KB: 8 MB are broadcast at most."""
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 26))
+    bits = (ids.select(place.alias("h")).groupBy(F.expr("bitmap_bucket_number(h)").alias("_bucket"))
+            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(h))").alias("_bits")))
+    at = docs.withColumn("_h", place).withColumn("_bucket", F.expr("bitmap_bucket_number(_h)")).withColumn("_at", F.expr("bitmap_bit_position(_h)"))
+    seen = at.join(F.broadcast(bits), "_bucket").where(F.expr("(cast(conv(hex(substring(_bits, cast(_at div 8 + 1 as int), 1)), 16, 10) as int) & shiftleft(1, cast(_at % 8 as int))) <> 0"))
+    return seen.select(*docs.columns).join(ids, "id", "left_semi")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -51,7 +63,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         flat, first = shingles(*words(data, offsets), size)
         return [rows.column(0), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(flat.view(np.int64)))]
 
-    return map_texts(docs.join(wanted, "id", "left_semi"), "_text", run, "id bigint, items array<bigint>")
+    return map_texts(_wanted(docs, wanted), "_text", run, "id bigint, items array<bigint>")
 
 
 def _confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -91,10 +103,10 @@ def _rest(bands: DataFrame, base: DataFrame, docs: DataFrame, labels: DataFrame,
     member = bands.join(labels, bands.id == labels.node, "left").select("band", "key", "id", F.coalesce("component", "id").alias("c"))
     mixed = materialize(member.groupBy("band", "key").agg(F.count("*").alias("m"), F.min("c").alias("low"), F.max("c").alias("high"))
                         .where("low < high").select("band", "key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "mixed")
-    rows = materialize(member.join(mixed, ["band", "key"]), "mixed-members").join(base.select("id", "n", "bits"), "id")
+    rows = materialize(member.join(mixed, ["band", "key"]), "mixed-members").join(base, "id")
     rows = (rows.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("band", "key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "id", "n", "c", "bits"))
+            .select("band", "key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "id", "n", "c", "registers"))
     order = ["band", "key", "x", "y"]
     names = [*order, "mine", "id", "n", "c"]
 
@@ -103,30 +115,32 @@ def _rest(bands: DataFrame, base: DataFrame, docs: DataFrame, labels: DataFrame,
         x, y = t["x"][0].as_py(), t["y"][0].as_py()
         return np.flatnonzero(mine == x), np.flatnonzero(mine == y), x == y
 
-    def possible(t, i, right, same):
-        ids, n, c = (t[k].to_numpy() for k in ("id", "n", "c"))
-        if same:
-            right = right[right > i]
-        return right[(c[right] != c[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * percent)]
+    def partners(t):
+        """(row, promising partners) of a block: other component, fitting sizes, no earlier common band, close sketches."""
+        registers = np.frombuffer(b"".join(t["registers"].to_pylist()), np.uint8).reshape(t.num_rows, -1)
+        keys = np.ascontiguousarray(registers[:, :ROWS * BANDS]).view(np.uint64)  # one word per band
+        bits, band = low_bits(registers), t["band"][0].as_py()
+        n, c = t["n"].to_numpy(), t["c"].to_numpy()
+        left, right, same = sides(t)
+        for i in left.tolist():
+            j = right[right > i] if same else right
+            j = j[(c[j] != c[i]) & (np.minimum(n[j], n[i]) * 100 >= np.maximum(n[j], n[i]) * percent)]
+            j = j[~(keys[j, :band] == keys[i, :band]).any(1)]
+            equal = equal_low_bits(bits[j], bits[i])
+            near = np.argsort(-equal, kind="stable")[:np.count_nonzero(equal >= least * REGISTERS)]
+            if len(near):
+                yield i, j[near]
 
     def promising(t):
-        bits = np.frombuffer(b"".join(t["bits"].to_pylist()), np.uint64).reshape(t.num_rows, -1)
-        left, right, same = sides(t)
         active = np.zeros(t.num_rows, bool)
-        for i in left.tolist():
-            j = possible(t, i, right, same)
-            j = j[equal_low_bits(bits[j], bits[i]) >= least * REGISTERS]
-            active[j] = True
-            active[i] |= len(j) > 0
+        for i, j in partners(t):
+            active[i] = active[j] = True
         if active.any():
             yield t.select(names).filter(pa.array(active))
 
     def linked(t):
-        bits = np.frombuffer(b"".join(t["bits"].to_pylist()), np.uint64).reshape(t.num_rows, -1)
-        items = [np.sort(v.values.to_numpy().view(np.uint64)) for v in t["items"]]
-        registers = np.frombuffer(b"".join(t["registers"].to_pylist()), np.uint8).reshape(t.num_rows, -1)
-        keys = np.ascontiguousarray(registers[:, :ROWS * BANDS]).view(np.uint64)  # one word per band
-        c, ids, n, band = t["c"].to_numpy(), t["id"].to_numpy(), t["n"].to_numpy(), t["band"][0].as_py()
+        items = [v.values.to_numpy().view(np.uint64) for v in t["items"]]  # sorted and distinct
+        c, ids, n = (t[k].to_numpy() for k in ("c", "id", "n"))
         parent = {int(k): int(k) for k in c}
 
         def find(k):
@@ -136,16 +150,12 @@ def _rest(bands: DataFrame, base: DataFrame, docs: DataFrame, labels: DataFrame,
             return k
 
         out = []
-        left, right, same = sides(t)
-        for i in left.tolist():
-            j = possible(t, i, right, same)
-            j = j[equal_low_bits(bits[j], bits[i]) >= least * REGISTERS]
-            j = j[~(keys[j, :band] == keys[i, :band]).any(1)]  # compared in an earlier band
-            for k in j[np.argsort(-equal_low_bits(bits[j], bits[i]), kind="stable")].tolist():
+        for i, j in partners(t):
+            for k in j.tolist():
                 a, b = find(int(c[i])), find(int(c[k]))
                 if a == b:
                     continue
-                common = len(items[i]) + len(items[k]) - len(np.union1d(items[i], items[k]))
+                common = len(np.intersect1d(items[i], items[k], assume_unique=True))
                 if common * 100 >= (n[i] + n[k] - common) * percent:
                     parent[a] = b
                     out.append((int(ids[i]), int(ids[k])))
@@ -156,7 +166,7 @@ def _rest(bands: DataFrame, base: DataFrame, docs: DataFrame, labels: DataFrame,
         lambda batches: by_group(batches, order, promising), "band int, key bigint, x int, y int, mine int, id bigint, n bigint, c bigint")
     first = materialize(first, "promising")
     sets = materialize(_sets(docs, first.select("id").distinct(), size), "shingle-sets").dropDuplicates(["id"])
-    rows = first.join(base.select("id", "bits", "registers"), "id").join(sets, "id")
+    rows = first.join(base.select("id", "registers"), "id").join(sets, "id")
     return (rows.repartition(*order).sortWithinPartitions(*order)
             .mapInArrow(lambda batches: by_group(batches, order, linked), "a bigint, b bigint").distinct())
 
@@ -171,7 +181,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     every = _narrow(df, key, text).select(F.col(key).cast("bigint").alias("id"), "_text")
     docs = every.where("id is not null")
     base = materialize(sketches(docs, size), "sketches")
-    reps = materialize(base.where("n > 0").groupBy("print").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("registers").alias("registers"), F.first("bits").alias("bits")), "classes")
+    reps = materialize(base.where("n > 0").groupBy("print").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("registers").alias("registers")), "classes")
     bands = reps.select("id", F.posexplode(F.array(*[F.xxhash64(F.expr(f"substring(registers, {ROWS * b + 1}, {ROWS})")) for b in range(BANDS)])).alias("band", "key"))
     hubs = materialize(bands.groupBy("band", "key").agg(F.min("id").alias("hub"), F.count("*").alias("m")).where("m > 1").drop("m"), "hubs")
     bands = materialize(bands.join(hubs, ["band", "key"]), "bands")
@@ -185,7 +195,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     classes = base.where("n > 0").join(reps.select("print", F.col("id").alias("rep")), "print").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     links = materialize(_confirmed(docs, first, size, percent), "links")
     labels = materialize(graph.components(links), "labels")
-    rest = materialize(_rest(bands.select("band", "key", "id"), reps.select("id", "n", "bits", "registers"), docs, labels, size, percent), "links")
+    rest = materialize(_rest(bands.select("band", "key", "id"), reps.select("id", "n", "registers"), docs, labels, size, percent), "links")
     labels = materialize(graph.components(links.union(rest).union(classes)), "labels")
     out = base.join(labels, base.id == labels.node, "left").select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     out = out.withColumn("kept", F.col(key) == F.col("component_id"))
