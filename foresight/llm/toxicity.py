@@ -190,6 +190,7 @@ class Network:
             low, start, end, first = words(data, offsets)
             bucket, grams, n = features(low, start, end)
             at = np.concatenate([[0], np.cumsum(n)])
+            bucket, grams, n = bucket.astype(np.int32), grams.astype(np.int32), n.astype(np.int32)  # the sample stays in memory
             docs += [(bucket[a:b], grams[at[a]:at[b]], n[a:b]) for a, b in zip(first[:-1], first[1:])]
         used = [i for i, d in enumerate(docs) if len(d[0])]
         docs, label = [docs[i] for i in used], label[used]
