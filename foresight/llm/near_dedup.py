@@ -28,7 +28,7 @@ from foresight.llm.setsketch import REGISTERS, equal_low_bits, joint_estimate, l
 from foresight.llm.text import shingles, words
 from foresight.session import materialize
 
-ROWS, BANDS = 8, 64     # the registers of a band are one 64-bit word
+ROWS, BANDS = 8, 64     # the registers of a band are one 64-bit word; a band's number is six bits
 SLACK = 5 * (0.16 / REGISTERS) ** 0.5   # five standard deviations of the estimate near the limit
 BLOCK = 1024
 
@@ -45,16 +45,62 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     return map_texts(docs, "_text", run, "id bigint, n bigint, print binary, registers binary")
 
 
-def _wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents with these ids. A bitmap of hashed ids goes first, so that few other texts reach the join.
+def _hits(df: DataFrame, values: DataFrame, key: str) -> DataFrame:
+    """`df` with `_hit`, which is false only where no row of `values` has the key; so few other rows reach a shuffle.
 
-    The bitmap has 2^26 bits whatever the data, in at most 2048 rows of 4 KB: 8 MB are broadcast at most."""
-    place = F.pmod(F.xxhash64("id"), F.lit(1 << 26))
-    bits = (ids.select(place.alias("h")).groupBy(F.expr("bitmap_bucket_number(h)").alias("_bucket"))
+    The bitmap of hashed keys has 2^26 bits whatever the data, in at most 2048 rows of 4 KB: 8 MB are broadcast at most.
+    With far more keys than bits every row is a hit, which costs time but changes no result."""
+    place = F.pmod(F.xxhash64(key), F.lit(1 << 26))
+    bits = (values.select(place.alias("h")).groupBy(F.expr("bitmap_bucket_number(h)").alias("_bucket"))
             .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(h))").alias("_bits")))
-    at = docs.withColumn("_h", place).withColumn("_bucket", F.expr("bitmap_bucket_number(_h)")).withColumn("_at", F.expr("bitmap_bit_position(_h)"))
-    seen = at.join(F.broadcast(bits), "_bucket").where(F.expr("(cast(conv(hex(substring(_bits, cast(_at div 8 + 1 as int), 1)), 16, 10) as int) & shiftleft(1, cast(_at % 8 as int))) <> 0"))
-    return seen.select(*docs.columns).join(ids, "id", "left_semi")
+    at = df.withColumn("_h", place).withColumn("_bucket", F.expr("bitmap_bucket_number(_h)")).withColumn("_at", F.expr("bitmap_bit_position(_h)"))
+    bit = F.expr("(cast(conv(hex(substring(_bits, cast(_at div 8 + 1 as int), 1)), 16, 10) as int) & shiftleft(1, cast(_at % 8 as int))) <> 0")
+    return at.join(F.broadcast(bits), "_bucket", "left").select(*df.columns, F.coalesce(bit, F.lit(False)).alias("_hit"))
+
+
+def _wanted(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows with these ids."""
+    return _hits(df, ids, "id").where("_hit").drop("_hit").join(ids, "id", "left_semi")
+
+
+def _classes(base: DataFrame) -> DataFrame:
+    """One row per shingle set, with the smallest id. Sketches of sets that occur once are not moved."""
+    base = base.where("n > 0")
+    repeated = materialize(base.groupBy("print").count().where("count > 1").select("print"), "repeated")
+    marked = _hits(base, repeated, "print")
+    several = marked.where("_hit").groupBy("print").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("registers").alias("registers"))
+    return materialize(marked.where("not _hit").select("print", "id", "n", "registers").unionByName(several), "classes")
+
+
+def _shared(batches):
+    """Rows (bucket, id) in that order: those whose bucket a neighbour has too. The first and the last row of a task
+    stay in any case, as the bucket may go on in another task."""
+    held, keep_held = None, True  # the last row so far; the first one stays
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t = batch if held is None else pa.concat_batches([held, batch])
+        bucket = t.column(0).to_numpy()
+        same = bucket[1:] == bucket[:-1]
+        keep = np.zeros(len(bucket), bool)
+        keep[1:] |= same
+        keep[:-1] |= same
+        keep[0] |= keep_held
+        yield t.slice(0, len(bucket) - 1).filter(pa.array(keep[:-1]))
+        held, keep_held = t.slice(len(bucket) - 1), bool(keep[-1])
+    if held is not None:
+        yield held
+
+
+def _buckets(reps: DataFrame) -> DataFrame:
+    """(bucket, id, hub) of all buckets with several members; a bucket is 58 bits of a band's hash and the band's number.
+
+    One shuffle by ranges of (bucket, id), which also cuts large buckets; only members of shared buckets go on."""
+    names = [F.xxhash64(F.expr(f"substring(registers, {ROWS * b + 1}, {ROWS})")).bitwiseAND(F.lit(-BANDS)).bitwiseOR(F.lit(b)) for b in range(BANDS)]
+    rows = reps.select(F.explode(F.array(*names)).alias("bucket"), "id").repartitionByRange("bucket", "id").sortWithinPartitions("bucket", "id")
+    members = materialize(rows.mapInArrow(_shared, "bucket bigint, id bigint"), "members")
+    hubs = members.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("m")).where("m > 1").drop("m")
+    return materialize(members.join(hubs, "bucket"), "buckets")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -94,20 +140,21 @@ def _estimated(batches_of_pairs: DataFrame, percent: int) -> DataFrame:
     return batches_of_pairs.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a bigint, b bigint, estimate double")
 
 
-def _rest(bands: DataFrame, base: DataFrame, docs: DataFrame, labels: DataFrame, size: int, percent: int) -> DataFrame:
+def _rest(buckets: DataFrame, base: DataFrame, docs: DataFrame, labels: DataFrame, size: int, percent: int) -> DataFrame:
     """Links between different components that share a bucket: sketches choose the rows, full sets decide.
 
     No pair leaves a task: the first pass returns rows that have a promising partner in their block, the second only
     links that join components not yet joined within its block."""
     least = 0.25 + 0.75 * (percent / 100 - 1.25 * SLACK)  # low bits of unequal registers agree in a quarter of cases
-    member = bands.join(labels, bands.id == labels.node, "left").select("band", "key", "id", F.coalesce("component", "id").alias("c"))
-    mixed = materialize(member.groupBy("band", "key").agg(F.count("*").alias("m"), F.min("c").alias("low"), F.max("c").alias("high"))
-                        .where("low < high").select("band", "key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "mixed")
-    rows = materialize(member.join(mixed, ["band", "key"]), "mixed-members").join(base, "id")
+    member = buckets.join(labels, buckets.id == labels.node, "left").select("bucket", "id", F.coalesce("component", "id").alias("c"))
+    mixed = materialize(member.groupBy("bucket").agg(F.count("*").alias("m"), F.min("c").alias("low"), F.max("c").alias("high"))
+                        .where("low < high").select("bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "mixed")
+    rows = materialize(member.join(mixed, "bucket"), "mixed-members")
+    rows = rows.join(_wanted(base, rows.select("id").distinct()), "id")
     rows = (rows.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("band", "key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "id", "n", "c", "registers"))
-    order = ["band", "key", "x", "y"]
+            .select("bucket", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "id", "n", "c", "registers"))
+    order = ["bucket", "x", "y"]
     names = [*order, "mine", "id", "n", "c"]
 
     def sides(t):
@@ -119,7 +166,7 @@ def _rest(bands: DataFrame, base: DataFrame, docs: DataFrame, labels: DataFrame,
         """(row, promising partners) of a block: other component, fitting sizes, no earlier common band, close sketches."""
         registers = np.frombuffer(b"".join(t["registers"].to_pylist()), np.uint8).reshape(t.num_rows, -1)
         keys = np.ascontiguousarray(registers[:, :ROWS * BANDS]).view(np.uint64)  # one word per band
-        bits, band = low_bits(registers), t["band"][0].as_py()
+        bits, band = low_bits(registers), t["bucket"][0].as_py() & (BANDS - 1)
         n, c = t["n"].to_numpy(), t["c"].to_numpy()
         left, right, same = sides(t)
         for i in left.tolist():
@@ -163,10 +210,11 @@ def _rest(bands: DataFrame, base: DataFrame, docs: DataFrame, labels: DataFrame,
             yield pa.table({"a": [p[0] for p in out], "b": [p[1] for p in out]})
 
     first = rows.repartition(*order).sortWithinPartitions(*order).mapInArrow(
-        lambda batches: by_group(batches, order, promising), "band int, key bigint, x int, y int, mine int, id bigint, n bigint, c bigint")
+        lambda batches: by_group(batches, order, promising), "bucket bigint, x int, y int, mine int, id bigint, n bigint, c bigint")
     first = materialize(first, "promising")
-    sets = materialize(_sets(docs, first.select("id").distinct(), size), "shingle-sets").dropDuplicates(["id"])
-    rows = first.join(base.select("id", "registers"), "id").join(sets, "id")
+    ids = materialize(first.select("id").distinct(), "promising-ids")
+    sets = materialize(_sets(docs, ids, size), "shingle-sets").dropDuplicates(["id"])
+    rows = first.join(_wanted(base.select("id", "registers"), ids), "id").join(sets, "id")
     return (rows.repartition(*order).sortWithinPartitions(*order)
             .mapInArrow(lambda batches: by_group(batches, order, linked), "a bigint, b bigint").distinct())
 
@@ -181,21 +229,21 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     every = _narrow(df, key, text).select(F.col(key).cast("bigint").alias("id"), "_text")
     docs = every.where("id is not null")
     base = materialize(sketches(docs, size), "sketches")
-    reps = materialize(base.where("n > 0").groupBy("print").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("registers").alias("registers")), "classes")
-    bands = reps.select("id", F.posexplode(F.array(*[F.xxhash64(F.expr(f"substring(registers, {ROWS * b + 1}, {ROWS})")) for b in range(BANDS)])).alias("band", "key"))
-    hubs = materialize(bands.groupBy("band", "key").agg(F.min("id").alias("hub"), F.count("*").alias("m")).where("m > 1").drop("m"), "hubs")
-    bands = materialize(bands.join(hubs, ["band", "key"]), "bands")
-    stars = bands.where("id > hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-    sizes, sides = ([reps.select(F.col("id").alias(k), F.col(c).alias(p + k)) for k in "ab"] for c, p in (("n", "n"), ("registers", "r")))
+    reps = _classes(base)
+    buckets = _buckets(reps)
+    stars = buckets.where("id > hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+    sizes = [reps.select(F.col("id").alias(k), F.col("n").alias("n" + k)) for k in "ab"]
     # sizes rule out most pairs before any sketch is moved
     stars = stars.join(sizes[0], "a").join(sizes[1], "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-    kept = materialize(_estimated(materialize(stars, "pairs").join(sides[0], "a").join(sides[1], "b"), percent), "estimated")
+    stars = materialize(stars, "pairs")
+    used = [_wanted(reps.select("id", "registers"), stars.select(F.col(k).alias("id")).distinct()).select(F.col("id").alias(k), F.col("registers").alias("r" + k)) for k in "ab"]
+    kept = materialize(_estimated(stars.join(used[0], "a").join(used[1], "b"), percent), "estimated")
     first = kept.groupBy("a").agg(F.max(F.struct("estimate", (-F.col("b")).alias("b"))).alias("best"), F.min("b").alias("low"))
     first = first.select("a", F.explode(F.array_distinct(F.array(-F.col("best.b"), F.col("low")))).alias("b"))
     classes = base.where("n > 0").join(reps.select("print", F.col("id").alias("rep")), "print").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     links = materialize(_confirmed(docs, first, size, percent), "links")
     labels = materialize(graph.components(links), "labels")
-    rest = materialize(_rest(bands.select("band", "key", "id"), reps.select("id", "n", "registers"), docs, labels, size, percent), "links")
+    rest = materialize(_rest(buckets.select("bucket", "id"), reps.select("id", "n", "registers"), docs, labels, size, percent), "links")
     labels = materialize(graph.components(links.union(rest).union(classes)), "labels")
     out = base.join(labels, base.id == labels.node, "left").select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     out = out.withColumn("kept", F.col(key) == F.col("component_id"))
