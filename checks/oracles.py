@@ -166,6 +166,16 @@ SELECT '{c}' AS feature, (
       SELECT {c}, 0 FROM {cur} WHERE {c} IS NOT NULL) GROUP BY x)) AS ks""" for c in numeric)
 
 
+def ks_pvalue_sql(ref: str, cur: str, numeric) -> str:
+    """(feature, p): asymptotic p-value of the largest distance."""
+    sizes = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, (SELECT count({c}) FROM {ref}) AS n, (SELECT count({c}) FROM {cur}) AS m" for c in numeric)
+    return f"""
+SELECT feature, CASE WHEN l < 0.03 THEN 1 ELSE greatest(least(list_sum(list_transform(range(1, 201),
+         lambda j: CASE WHEN j % 2 = 1 THEN 2 ELSE -2 END * exp(CAST(-2 * j * j AS DOUBLE) * l))), 1), 0) END AS p
+FROM (SELECT feature, ks * ks * (CAST(n AS DOUBLE) * m / (n + m)) AS l FROM ({ks_sql(ref, cur, numeric)}) JOIN ({sizes}) USING (feature))"""
+
+
 HALVES = """
 lines AS (
   SELECT *, CAST(CAST(l_tax > 0.05 AS INTEGER) AS DOUBLE) AS late FROM lineitem),
@@ -345,9 +355,9 @@ SELECT event_id, number, least(greatest(coalesce(number, 50), 20), 80) AS clippe
     q["null_fractions"] = f"{plant}\n" + "\nUNION ALL\n".join(
         f"SELECT '{s}' AS \"column\", round(avg(CAST({s} IS NULL AS INTEGER)), 6) AS fraction FROM telemetry" for s in SENSORS)
     q["duplicate_groups"] = f"{plant} SELECT {M}, datetime, count(*) AS n FROM telemetry GROUP BY 1, 2 HAVING count(*) > 1"
-    joined = f"(SELECT t.*, m.model FROM telemetry t LEFT JOIN (SELECT * FROM machines WHERE {M} % 10 <> 0) m USING ({M}))"
+    joined = f"(SELECT t.*, 'model' || (c_nationkey % 5 + 1) AS model FROM telemetry t LEFT JOIN customer ON {M} = c_custkey)"
     rules = [("features", s, "finite", joined, s, f"{s} IS NULL") for s in SENSORS]
-    rules.append(("features", "model", f"isin({', '.join(S.MODELS)})", joined, "model", "model IS NULL"))
+    rules.append(("features", "model", f"isin({', '.join(S.MODELS)})", joined, "model", f"model IS NULL OR model NOT IN ({', '.join(repr(m) for m in S.MODELS)})"))
     q["validate_feature_values"] = f"{plant}\n{issues_sql(rules)}"
 
     # metrics
@@ -409,6 +419,8 @@ SELECT round(avg(CAST(psi > 0.02 AS INTEGER)), 3) AS drift_share, CAST(avg(CAST(
     q["live_performance"] = f"""{SCORED}, {metrics_sql('scored', 'CAST(1 AS INTEGER)')}
 SELECT tn + fp + fn + tp AS n_labelled, tp + fn AS positives, {rounded(['recall', 'precision', 'pr_auc'])} FROM met WHERE tp + fn > 0"""
     drift_union = f"{psi_numeric_sql('ref', 'cur', NUMERIC)} UNION ALL {psi_categorical_sql('ref', 'cur', ['model'])}"
+    q["feature_drift"] = f"""{MONITORED}, i AS ({drift_union}), pv AS ({ks_pvalue_sql('ref', 'cur', NUMERIC)})
+SELECT feature, round(psi, 4) AS psi, round(p, 4) AS ks_pvalue, CAST(psi > 0.2 AS INTEGER) AS drifted FROM i LEFT JOIN pv USING (feature)"""
     q["monitoring_report"] = f"""{MONITORED}, {metrics_sql('cur', 'CAST(1 AS INTEGER)')},
 t AS ({drift_union}),
 d AS (SELECT avg(CAST(psi > 0.2 AS INTEGER)) AS share FROM t)

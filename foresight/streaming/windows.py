@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foresight.functions.columns import HOUR_US, micros, ratio
@@ -24,13 +24,35 @@ def event_time(df: DataFrame, ts: str, watermark: str = WATERMARK) -> DataFrame:
 
 def _windowed(df: DataFrame, ts: str, length: str, slide: str | None, by: Sequence[str], aggs: Sequence[Column],
               watermark: str) -> DataFrame:
-    w = F.window(ts, length, slide or length)
-    out = event_time(df, ts, watermark).groupBy(w.alias("w"), *by).agg(*aggs)
+    """Counts per window. In a table sliding windows add up panes of one slide, so rows are not copied to every window."""
+    timed = event_time(df, ts, watermark)
+    if slide and not df.isStreaming and interval_us(length) % interval_us(slide) == 0:
+        panes = timed.groupBy(F.window(ts, slide).alias("pane"), *by).agg(*aggs)
+        sums = [F.sum(c).alias(c) for c in panes.columns if c not in ("pane", *by)]
+        out = panes.groupBy(F.window("pane", length, slide).alias("w"), *by).agg(*sums)
+    else:
+        out = timed.groupBy(F.window(ts, length, slide or length).alias("w"), *by).agg(*aggs)
     names = [c for c in out.columns if c != "w"]
     return out.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                       F.col("w.end").cast("timestamp_ntz").alias("window_end"), *names)
 
 
+def _ranked(df: DataFrame, ts: str, value: str, length: str, slide: str | None, watermark: str) -> DataFrame:
+    """Per window and distinct value `_v` of a table: rows `_n`, known ones `_k`, their running and overall number.
+
+    The distinct values of one window are sorted in one task, which spills."""
+    counts = _windowed(df.select(ts, F.col(value).alias("_v")), ts, length, slide, ["_v"], [F.count(F.lit(1)).alias("_n")], watermark)
+    whole = Window.partitionBy("window_start", "window_end")
+    upto = whole.orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    return counts.withColumn("_k", F.when(F.col("_v").isNull(), 0).otherwise(F.col("_n"))).withColumns(
+        {"_run": F.sum("_k").over(upto), "_all": F.sum("_k").over(whole)})
+
+
+def _at(share: float) -> Column:
+    """Exact quantile of the ranked values: the least one that the share of the known rows does not exceed."""
+    return F.min(F.when((F.col("_k") > 0) & (F.col("_run") >= F.col("_all") * share), F.col("_v")))
+
+
 def request_rate(df: DataFrame, ts: str, by: Sequence[str] = (), length: str = "1 minute", watermark: str = WATERMARK) -> DataFrame:
     """Requests per window, in total or by status."""
     return _windowed(df, ts, length, None, by, [F.count(F.lit(1)).alias("requests")], watermark)
@@ -38,11 +60,17 @@ def request_rate(df: DataFrame, ts: str, by: Sequence[str] = (), length: str = "
 
 def latency_quantiles(df: DataFrame, ts: str, latency: str, length: str = "5 minutes", slide: str = "15 seconds",
                       limit: float = 0.1, watermark: str = WATERMARK) -> DataFrame:
-    """p50 and p95 latency (seconds) per sliding window; breach above the limit."""
-    q = F.percentile_approx(latency, F.array(F.lit(0.5), F.lit(0.95)), F.lit(10000))
-    out = _windowed(df, ts, length, slide, (), [F.count(F.lit(1)).alias("requests"), q.alias("q")], watermark)
-    return out.select("window_start", "window_end", "requests", F.col("q")[0].alias("p50"), F.col("q")[1].alias("p95")
-                      ).withColumn("breach", F.col("p95") > limit)
+    """p50 and p95 latency (seconds) per sliding window; breach above the limit.
+
+    Exact in a table; in a stream their ranks may be off by a 10000th of the window's rows."""
+    if df.isStreaming:
+        q = F.percentile_approx(latency, F.array(F.lit(0.5), F.lit(0.95)), F.lit(10000))
+        out = _windowed(df, ts, length, slide, (), [F.count(F.lit(1)).alias("requests"), q.alias("q")], watermark)
+        out = out.select("window_start", "window_end", "requests", F.col("q")[0].alias("p50"), F.col("q")[1].alias("p95"))
+    else:
+        out = _ranked(df, ts, latency, length, slide, watermark).groupBy("window_start", "window_end").agg(
+            F.sum("_n").alias("requests"), _at(0.5).alias("p50"), _at(0.95).alias("p95"))
+    return out.withColumn("breach", F.col("p95") > limit)
 
 
 def error_share(df: DataFrame, ts: str, status: str, length: str = "5 minutes", slide: str = "15 seconds",
@@ -63,8 +91,12 @@ def flag_share(df: DataFrame, ts: str, flag: str, length: str = "1 hour", slide:
 
 def score_distribution(df: DataFrame, ts: str, score: str, length: str = "5 minutes",
                        buckets: Sequence[float] = PROBABILITY_BUCKETS, watermark: str = WATERMARK) -> DataFrame:
-    """Median, p90 and cumulative bucket counts of a score per window."""
-    q = F.percentile_approx(score, F.array(F.lit(0.5), F.lit(0.9)), F.lit(10000))
+    """Median, p90 and cumulative bucket counts of a score per window; quantiles as in `latency_quantiles`."""
+    if not df.isStreaming:
+        most = F.array(*[F.sum(F.when(F.col("_v") <= b, F.col("_k")).otherwise(0)) for b in buckets])
+        return _ranked(df, ts, score, length, None, watermark).groupBy("window_start", "window_end").agg(
+            F.sum("_k").alias("n"), _at(0.5).alias("median"), _at(0.9).alias("p90"), most.alias("at_most"))
+    q =F.percentile_approx(score, F.array(F.lit(0.5), F.lit(0.9)), F.lit(10000))
     counts = F.array(*[F.count_if(F.col(score) <= b) for b in buckets])
     out = _windowed(df, ts, length, None, (), [q.alias("q"), counts.alias("at_most"), F.count(score).alias("n")], watermark)
     return out.select("window_start", "window_end", "n", F.col("q")[0].alias("median"), F.col("q")[1].alias("p90"), "at_most")
