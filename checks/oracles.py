@@ -553,6 +553,6 @@ SELECT * EXCLUDE (window_end) FROM win"""
   CASE WHEN event_id % 4 <> 0 AND event_id % 60 <= 48 THEN CAST(event_id % 2 = 0 AS INTEGER) END AS label FROM events"""
     q["stream_request_rate"] = """SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
   CASE event_type WHEN 'error' THEN 500 ELSE 200 END AS status, count(*) AS requests FROM events
-GROUP BY ALL HAVING date_trunc('hour', min(ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
+GROUP BY ALL"""
     q["stream_dedup"] = "SELECT event_id, user_id, event_type FROM events"
     return q

@@ -14,10 +14,12 @@ DAY_US = 24 * HOUR_US
 
 
 def label_forward(
-    rows: DataFrame, events: DataFrame, key, ts: str, hours: int, label: str = "will_fail_24h"
+    rows: DataFrame, events: DataFrame, key, ts: str, hours: int, label: str = "will_fail_24h", drop_censored: bool = False
 ) -> DataFrame:
     """Add 1 where an event of the key lies in (t, t + hours], else 0.
 
+    With `drop_censored` rows whose horizon ends after the last time of `rows` go, as their outcome is not fully known.
+
     Time is cut into buckets of the horizon's length. A row's horizon touches its own bucket and the next,
     so two numbers per (key, bucket) decide: the last event in it and the first event of the next one.
     """
@@ -35,6 +37,8 @@ def label_forward(
         .agg(F.max("_s.last_in").alias("_last_in"), F.min("_s.first_next").alias("_first_next"))
     )
     timed = rows.withColumn(US, micros(ts)).withColumn(BLOCK, block_of(F.col(US), reach))
+    if drop_censored:
+        timed = timed.where(us + F.lit(reach) <= rows.agg(F.max(micros(ts))).scalar())
     hit = (F.col("_last_in") > us) | (F.col("_first_next") <= us + F.lit(reach))
     return (
         timed.join(summary, [*keys, BLOCK], "left")

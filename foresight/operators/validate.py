@@ -94,14 +94,14 @@ def null_fractions(df: DataFrame, columns) -> DataFrame:
 def issue_summary(long: DataFrame) -> DataFrame:
     """One row per (table, column, check): number of violations and the first examples in text order."""
     group = ["table", "column", "check"]
-    counts = long.groupBy(*group).agg(F.sum("n").alias("count"), F.max("value").alias("_any"))
+    counts = long.groupBy(*group).agg(F.sum("n").alias("count"))
     first = Window.partitionBy(*group).orderBy("value")
     examples = (
         long.where(F.col("value").isNotNull()).withColumn("_rn", F.row_number().over(first))
         .where(F.col("_rn") <= EXAMPLES)
         .groupBy(*group).agg(F.array_sort(F.collect_list("value")).alias("examples"))
     )
-    return counts.drop("_any").join(examples, group, "left").withColumn(
+    return counts.join(examples, group, "left").withColumn(
         "examples", F.coalesce("examples", F.array().cast("array<string>"))
     )
 

@@ -41,19 +41,22 @@ def start_scoring(requests: DataFrame, scorer: Scorer, out: str, checkpoint: str
 
 def start_alerts(windows: DataFrame, hold: str, slide: str, out: str, checkpoint: str,
                  trigger: dict | None = None) -> StreamingQuery:
-    """Append closed windows to `out`/windows and those that hold a breach to `out`/firing."""
+    """Append closed windows to `out`/windows and those that hold a breach to `out`/firing.
+
+    Windows are stored by day and batch: a retried batch replaces its own part, and a batch reads only the days of its hold.
+    """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{out}/windows/batch={batch_id}")
-        own = spark.read.parquet(f"{out}/windows/batch={batch_id}")
-        oldest = own.agg(F.min("window_end")).first()[0]
+        dated = batch.withColumns({"day": F.to_date("window_end"), "batch": F.lit(batch_id).cast("bigint")})
+        dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(f"{out}/windows")
+        stored = batch.sparkSession.read.schema(dated.schema).parquet(f"{out}/windows")
+        oldest = stored.where(F.col("batch") == batch_id).agg(F.min("window_end")).first()[0]
         if oldest is None:
             return
         since = F.lit(oldest) - F.expr(f"INTERVAL {interval_us(hold) // 1_000_000} SECONDS")
-        recent = spark.read.parquet(f"{out}/windows").where((F.col("window_end") >= since) & (F.col("batch") <= batch_id))
+        recent = stored.where((F.col("day") >= F.to_date(since)) & (F.col("window_end") >= since) & (F.col("batch") <= batch_id))
         firing = held_breaches(recent, hold, slide).where("firing").where(F.col("batch") == batch_id)
-        firing.drop("batch").write.mode("overwrite").parquet(f"{out}/firing/batch={batch_id}")
+        firing.drop("day", "batch").write.mode("overwrite").parquet(f"{out}/firing/batch={batch_id}")
 
     return _start(windows, each, checkpoint, trigger)
 

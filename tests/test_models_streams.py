@@ -114,6 +114,21 @@ def test_stream_equals_batch(spark, log_dir, tmp_path, make):
     assert sorted(map(str, stream.collect())) == sorted(map(str, want.select(stream.columns).collect())) and stream.count() > 5
 
 
+def test_table_quantiles_are_exact(spark):
+    start = dt.datetime(2015, 1, 1)
+    rows = [(start + dt.timedelta(seconds=7 * i), None if i % 11 == 0 else ((i * 37) % 101) / 500) for i in range(500)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, latency double")
+    got = {r["window_start"]: r for r in windows.latency_quantiles(df, "ts", "latency", "5 minutes", "1 minute").collect()}
+    assert min(got) == start - dt.timedelta(minutes=4)
+    for w, r in got.items():
+        inside = [x for t, x in rows if w <= t < w + dt.timedelta(minutes=5)]
+        known = sorted(x for x in inside if x is not None)
+        assert r["requests"] == len(inside)
+        for name, share in (("p50", 0.5), ("p95", 0.95)):
+            assert r[name] == next(x for i, x in enumerate(known) if i + 1 >= share * len(known))
+    assert windows.latency_quantiles(df.limit(0), "ts", "latency").count() == 0
+
+
 def test_held_breach_needs_the_whole_hold(spark):
     start = dt.datetime(2015, 1, 1)
     pattern = [True] * 7 + [False] + [True] * 6 + [None] + [True] * 6

@@ -12,7 +12,7 @@ QUICK = [
     "gap_check", "time_cuts", "label_forward", "last_event_asof", "pivot_counts", "attach_hourly_counts", "unknown_keys", "before_first",
     "split_summary", "seeded_sample", "relabelled_lines", "normalized_values", "validate_plant", "exact_quantile_table", "slo_summary",
     "psi_numeric", "psi_categorical", "ks_distance", "drift_per_day", "table_version", "request_rate", "held_breaches", "late_feedback",
-    "stream_request_rate", "training_table",
+    "stream_request_rate", "training_table", "validate_feature_values", "latency_quantiles", "score_distribution",
 ]
 
 
@@ -33,7 +33,14 @@ def test_label_plan_reads_only_what_it_needs(spark):
     text = plan(e)
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,purchase)" in text
     assert "NestedLoop" not in text and "Window" not in text
-    assert label_forward is not None
+
+
+def test_censored_rows_can_go(spark):
+    df = spark.sql("SELECT 1 AS k, timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, id) AS ts FROM (SELECT CAST(id AS INT) FROM range(49))")
+    last = df.where("ts = timestamp_ntz '2024-01-03 00:00:00'")
+    assert label_forward(df, last, "k", "ts", 24).count() == 49
+    kept = label_forward(df, last, "k", "ts", 24, drop_censored=True).collect()
+    assert len(kept) == 25 and [r["will_fail_24h"] for r in sorted(kept, key=lambda r: r["ts"])] == [0] * 24 + [1]
 
 
 @pytest.mark.parametrize("name", QUICK)
