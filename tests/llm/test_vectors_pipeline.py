@@ -59,6 +59,29 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch):
     assert vector_dedup.near_duplicates(vectors(spark, x[:0])).count() == 0
 
 
+def partners(x, cosine, seed=2):
+    """For each row of unit vectors one at exactly this cosine, in a random direction."""
+    u = np.random.default_rng(seed).normal(size=x.shape)
+    u -= (u * x).sum(1)[:, None] * x
+    return cosine * x + math.sqrt(1 - cosine * cosine) * u / np.linalg.norm(u, axis=1)[:, None]
+
+
+def test_near_vectors_recall_with_long_keys(spark, monkeypatch):
+    monkeypatch.setattr(vector_dedup, "key_width", lambda rows: 20)  # as with over four million rows
+    x = np.random.default_rng(4).normal(size=(500, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    y = partners(x, 0.9005)
+    rows = {r["vec_id"]: r["n_links"] for r in vector_dedup.near_duplicates(vectors(spark, np.concatenate([x, y]))).collect()}
+    assert sum(rows[i] > 0 for i in range(500)) >= 0.98 * 500
+
+
+def test_table_count():
+    for width in range(6, 31):
+        n = vector_dedup.table_count(width, 0.9)
+        assert n >= 24 and 1 - (1 - (1 - math.acos(0.9) / math.pi) ** width) ** n >= 0.99
+    assert vector_dedup.table_count(8, 1.0) == 24
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs = spark.createDataFrame([(i, f"text number {i} with some words of its own {i * 7} and more {i * i}", "en", "s", 0) for i in range(30)]
                                  + [(50, "a b c d e f g", "en", "s", 0), (51, "a b c d e f g", "en", "s", 0), (52, None, None, None, None),
