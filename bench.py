@@ -57,7 +57,7 @@ def main() -> None:
     ref = materialize(monitoring.reference_sample(half[0]), "reference")
     timed("drift_27_features", lambda: drift.drift_table(ref, half[1], numeric, categorical, with_ks=False).collect())
     timed("drift_27_features_ks", lambda: drift.drift_table(ref, half[1], numeric, categorical).collect())
-    timed("logreg_fit", lambda: models.fit(table, q.LIGHT_SPECS[1]))
+    timed("logreg_fit", lambda: models.fit(table, S.EXPERIMENTS[1]))
     for name in ("rolling_stats", "label_forward", "last_event_asof", "exact_quantile_table", "psi_numeric", "error_share",
                  "slo_summary", "seeded_sample", "validate_plant", "request_features"):
         timed(name, lambda name=name: q.REGISTRY[name](spark, sf_dir).collect())

@@ -31,13 +31,6 @@ PLANT_SPLITS = {"train": ("2024-01-01", "2024-01-16"), "val": ("2024-01-16", "20
 ORDER_SPLITS = {"train": ("1995-01-01", "1998-01-01"), "val": ("1998-01-01", "1999-06-01"),
                 "test": ("1999-06-01", "2003-01-01")}
 SHIP_CUT = "1998-06-01"
-LIGHT_SPECS = (
-    {"name": "rule_baseline", "model": "rule", "params": {"feature": RULE_FEATURE}},
-    {"name": "logreg", "model": "logreg", "params": {"C": 1.0, "max_iter": 100}},
-    {"name": "random_forest", "model": "random_forest", "params": {"n_estimators": 20, "max_depth": 6, "min_samples_leaf": 5}},
-    {"name": "boosted_trees", "model": "boosted_trees",
-     "params": {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.1, "subsample": 0.8, "colsample_bytree": 0.8}},
-)
 
 
 def query(fn: Query) -> Query:
@@ -704,10 +697,10 @@ def experiment_comparison(spark, sf_dir):
     """Rule, regression, forest and boosted trees on the plant's time splits."""
     df = materialize(feat.build_training_table(plant_tables(spark, sf_dir)), "features")
     parts = split.split_by_time(df, PLANT_SPLITS)
-    return models.train_experiments(parts["train"], parts["val"], LIGHT_SPECS).comparison
+    return models.train_experiments(parts["train"], parts["val"], S.EXPERIMENTS).comparison
 
 
 @query
 def forest_importance(spark, sf_dir):
     df = materialize(feat.build_training_table(plant_tables(spark, sf_dir)), "features")
-    return models.importance_table(spark, models.fit(df, LIGHT_SPECS[2]))
+    return models.importance_table(spark, models.fit(df, S.EXPERIMENTS[2]))

@@ -1,8 +1,12 @@
+from types import SimpleNamespace
+
 import pytest
 
+from checks import queries
 from checks.compare import compare, connect
 from checks.oracles import oracle_sql
 from checks.queries import REGISTRY
+from foresight import schema as S
 from foresight.operators.asof import label_forward
 from foresight.plans.features import build_training_table
 
@@ -51,3 +55,19 @@ def test_query_matches_sql(spark, name):
 
 def test_every_oracle_has_a_query():
     assert set(oracle_sql()) <= set(REGISTRY)
+
+
+def test_model_queries_train_the_full_list(monkeypatch):
+    seen = []
+    monkeypatch.setattr(queries, "plant_tables", lambda *a: None)
+    monkeypatch.setattr(queries, "materialize", lambda *a: None)
+    monkeypatch.setattr(queries.feat, "build_training_table", lambda *a: None)
+    monkeypatch.setattr(queries.split, "split_by_time", lambda *a: {"train": None, "val": None})
+    monkeypatch.setattr(queries.models, "train_experiments", lambda train, val, specs: seen.extend(specs) or SimpleNamespace(comparison=None))
+    monkeypatch.setattr(queries.models, "fit", lambda df, spec: seen.append(spec))
+    monkeypatch.setattr(queries.models, "importance_table", lambda *a: None)
+    REGISTRY["experiment_comparison"](None, SF)
+    assert seen == list(S.EXPERIMENTS)
+    REGISTRY["forest_importance"](None, SF)
+    assert seen[-1] == {"name": "random_forest", "model": "random_forest",
+                        "params": {"n_estimators": 200, "max_depth": 12, "min_samples_leaf": 5}}
