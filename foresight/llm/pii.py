@@ -27,7 +27,7 @@ GENERATORS = (
     ("ip", r"(?i)(?<![0-9a-f:])[0-9a-f]{1,4}(?::[0-9a-f]{1,4}){7}(?![0-9a-f:])", ":"),
     ("card", r"(?<![0-9])[0-9]{4}(?:[\x20._/-]{0,2}[0-9]{4}){2}[\x20._/-]{0,2}[0-9]{1,7}(?![0-9])", "[0-9]{4}"),
     ("phone", r"(?<![0-9])\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}(?![0-9])", "[0-9]{3}"),
-    ("secret", r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,256}(?![A-Za-z0-9_/+-])", "[A-Za-z0-9_/+-]{16}"),
+    ("secret", r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,}+", "[A-Za-z0-9_/+-]{16}"),
 )
 LABELLED_SECRET = r"(?i)(?:password|passwd|secret|token|api_?key)[\x20]*[=:][\x20]*[\x22']?$"
 CONTEXT = 24
@@ -88,7 +88,7 @@ def candidates(df: DataFrame, text: str) -> DataFrame:
     df = df.withColumns({f"_c{i}": F.coalesce(_placed(i, f"_m{i}", f"_p{i}", -1), F.expr(empty)) for i in range(4)})
     df = df.withColumns({f"_d{g}": F.coalesce(_placed(KINDS.index(kind), f"_n{g}", f"_q{g}", g), F.expr(empty)) for g, (kind, _, _) in enumerate(GENERATORS)})
     good = [F.expr(f"filter(_c{i}, c -> {valid_expr(KINDS[i], 'c.body')})") for i in range(4)]
-    bad = [F.expr(f"filter(_c{i}, c -> not {valid_expr(KINDS[i], 'c.body')} and length(c.body) <= 64 and length({_digits('c.body')}) >= 7)") for i in (1, 2, 3)]
+    bad = [F.expr(f"filter(_c{i}, c -> not {valid_expr(KINDS[i], 'c.body')} and length({_digits('c.body')}) >= 7)") for i in (1, 2, 3)]
     df = df.withColumn("_base", F.concat(*good)).withColumn("_more", F.concat(*bad, *[F.col(f"_d{g}") for g in range(len(GENERATORS))]))
     return df.drop("_text", *[c for c in df.columns if c[:2] in ("_m", "_p", "_n", "_q", "_c", "_d") and c[2:].isdigit()])
 

@@ -166,6 +166,15 @@ def test_personal_data(spark):
     assert pii.report(docs(spark, [])).count() == 0
 
 
+def test_personal_data_long_runs(spark):
+    long = ["token=" + "0641917ea4e9feb9cda83477b57ac2654884f485" * 8, "+" + "1-" * 40 + "1"]
+    rows = pii.candidates(docs(spark, long), "text").orderBy("doc_id").collect()
+    assert ("secret", 6, 326) in [(pii.KINDS[c["kind"]], c["start"], c["stop"]) for c in rows[0]["_more"]]
+    assert ("phone", 0, 82) in [(pii.KINDS[c["kind"]], c["start"], c["stop"]) for c in rows[1]["_more"]]
+    out = [r["text"] for r in pii.redact(docs(spark, (PERSONAL + long[:1]) * 3)).orderBy("doc_id").collect()]
+    assert out[len(PERSONAL)] == "token=[SECRET]"
+
+
 def test_base_patterns_have_no_quadratic_scan(spark):
     import time
     began = time.time()
