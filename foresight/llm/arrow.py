@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame
 from foresight.llm.text import slices
 
 
-def map_texts(df: DataFrame, text: str, fn, schema: str, limit: int | None = None) -> DataFrame:
+def map_texts(df: DataFrame, text: str, fn, schema, limit: int | None = None) -> DataFrame:
     """Run fn(rows, data, offsets) -> list of arrays on slices of the text column; `rows` is the slice's record batch.
 
     Slices hold at most `limit` bytes of text or one document. Results are sent slice by slice."""
     from pyspark.sql.types import _parse_datatype_string
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    out = to_arrow_schema(_parse_datatype_string(schema))
+    out = to_arrow_schema(_parse_datatype_string(schema) if isinstance(schema, str) else schema)
 
     def run(batches):
         for batch in batches:

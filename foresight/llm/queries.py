@@ -8,7 +8,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from foresight.llm import ann, bpe_job, language_id, line_dedup, near_dedup, packing, pii, toxicity, vector_dedup, warc
+from foresight.llm import ann, bpe_job, fim, language_id, line_dedup, near_dedup, packing, pii, toxicity, vector_dedup, warc
 
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 PACKING_TOKENIZER = "byte_bpe_50k.json"
@@ -68,7 +68,11 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.drop_lines(docs.select("doc_id", "text", "source"), percent=5, min_pages=5).select("doc_id", "n_lines", "n_dropped", "text")
 
 
-REGISTRY = {f.__name__: f for f in (op1_pii, op2_bpe, op3_minhash_dedup, op4_ann, op5_toxicity, op6_embedding_dedup, op7_language_id, op8_packing, op9_warc, op10_line_dedup)}
+def op13_fim(spark, sf_dir):
+    return fim.digests(_table(spark, sf_dir, "documents"))
+
+
+REGISTRY = {f.__name__: f for f in (op1_pii, op2_bpe, op3_minhash_dedup, op4_ann, op5_toxicity, op6_embedding_dedup, op7_language_id, op8_packing, op9_warc, op10_line_dedup, op13_fim)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -86,4 +90,23 @@ def oracle_sql() -> dict[str, str]:
               coalesce(len(list_filter(lines, lambda x: trim(x) <> '' and list_contains(coalesce(bad, []), trim(x)))), 0) as n_dropped,
               case when bad is null then text else array_to_string(list_filter(lines, lambda x: not (trim(x) <> '' and list_contains(bad, trim(x)))), chr(10)) end as text
             from pages left join bad on pages.source is not distinct from bad.source""",
+        "op13_fim": """
+            with hashed as (
+              select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u,
+                sha256('1:' || coalesce(cast(doc_id as varchar), '')) as d from documents),
+            drawn as (
+              select doc_id, text, u, len(u) as n, cast('0x' || substr(d, 1, 8) as bigint) as h1, cast('0x' || substr(d, 9, 8) as bigint) as h2,
+                cast('0x' || substr(d, 17, 8) as bigint) as h3, cast('0x' || substr(d, 25, 8) as bigint) as h4 from hashed),
+            cut as (
+              select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+                case when n = 0 or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90 then 'plain'
+                     when h4 % 100 < 20 then 'spm' else 'psm' end as form from drawn),
+            parts as (
+              select doc_id, n, form, text, array_to_string(u[1:a], '') as prefix, array_to_string(u[a + 1:b], '') as middle,
+                array_to_string(u[b + 1:], '') as suffix from cut)
+            select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+              case when form <> 'plain' then length(middle) end as middle_chars,
+              sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                     else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+              sha256(prefix || middle || suffix) as restored_sha256 from parts""",
     }
