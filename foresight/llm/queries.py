@@ -8,7 +8,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from foresight.llm import ann, bpe_job, fim, language_id, line_dedup, near_dedup, packing, pii, toxicity, vector_dedup, warc
+from foresight.llm import ann, bpe_job, fim, language_id, line_dedup, mixing, near_dedup, packing, pii, toxicity, vector_dedup, warc
 
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 PACKING_TOKENIZER = "byte_bpe_50k.json"
@@ -68,11 +68,15 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.drop_lines(docs.select("doc_id", "text", "source"), percent=5, min_pages=5).select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op12_mixing(spark, sf_dir):
+    return mixing.plan(_table(spark, sf_dir, "documents")).drop("source")
+
+
 def op13_fim(spark, sf_dir):
     return fim.digests(_table(spark, sf_dir, "documents"))
 
 
-REGISTRY = {f.__name__: f for f in (op1_pii, op2_bpe, op3_minhash_dedup, op4_ann, op5_toxicity, op6_embedding_dedup, op7_language_id, op8_packing, op9_warc, op10_line_dedup, op13_fim)}
+REGISTRY = {f.__name__: f for f in (op1_pii, op2_bpe, op3_minhash_dedup, op4_ann, op5_toxicity, op6_embedding_dedup, op7_language_id, op8_packing, op9_warc, op10_line_dedup, op12_mixing, op13_fim)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -90,6 +94,64 @@ def oracle_sql() -> dict[str, str]:
               coalesce(len(list_filter(lines, lambda x: trim(x) <> '' and list_contains(coalesce(bad, []), trim(x)))), 0) as n_dropped,
               case when bad is null then text else array_to_string(list_filter(lines, lambda x: not (trim(x) <> '' and list_contains(bad, trim(x)))), chr(10)) end as text
             from pages left join bad on pages.source is not distinct from bad.source""",
+        "op12_mixing": """
+            with rows as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as size from documents),
+            named as (
+              select source, sum(size) as source_size, count(*) as n_rows, row_number() over (order by source nulls last) - 1 as rk from rows group by source),
+            weighed as (select *, case rk % 3 when 0 then 5 when 1 then 2 else 1 end as weight, 2 * source_size as cap from named),
+            levels as (
+              select *, cast(sum(source_size) over () * 150 as double) / 100
+                  - coalesce(sum(cap) over (order by cap / weight, rk rows between unbounded preceding and 1 preceding), 0) as words_left,
+                sum(weight) over () - coalesce(sum(weight) over (order by cap / weight, rk rows between unbounded preceding and 1 preceding), 0) as weight_left
+              from weighed),
+            flagged as (select *, cap * weight_left <= words_left * weight as is_full, cast(sum(source_size) over () * 150 as double) / 100 as wanted from levels),
+            shared as (
+              select *, wanted - coalesce(sum(case when is_full then cap end) over (), 0) as rest, sum(case when not is_full then weight end) over () as rest_weight
+              from flagged),
+            sources as (
+              select source, rk, source_size, n_rows, weight, cap, is_full, case when is_full then cast(cap as double) else rest / rest_weight * weight end as target,
+                cast(floor(rest / 16 + 0.5) as bigint) as seats from shared),
+            seats as (
+              select rk, count(*) as quota from (
+                select rk, seats, row_number() over (order by weight / cast(2 * k - 1 as double) desc, rk, k) as place
+                from (select *, unnest(generate_series(1, cast(least(seats, ceil(cap / 16)) as bigint))) as k from sources where not is_full)) where place <= seats group by rk),
+            lots as (
+              select doc_id, source, size, lot, least(1024, n - lot * 1024) as n, md5('1:' || coalesce(cast(doc_id as varchar), '') || ':' || size || ':' || lot) as digest
+              from (select *, unnest(generate_series(0, (n - 1) // 1024)) as lot from (select doc_id, source, size, count(*) as n from rows group by all))),
+            placed as (
+              select l.*, s.rk, s.is_full, s.source_size, s.target, coalesce(q.quota, 0) as source_quota,
+                cast('0x' || substr(digest, 1, 8) as bigint) % cast(ceil(s.n_rows / 4096.0) as bigint) as shard
+              from lots l join sources s on l.source is not distinct from s.source left join seats q on q.rk = s.rk),
+            shards as (select rk, any_value(source) as source, shard, cast(sum(size * n) as bigint) as words, any_value(source_quota) as seats from placed where not is_full group by rk, shard),
+            shard_seats as (
+              select rk, shard, count(*) as quota from (
+                select rk, shard, seats, row_number() over (partition by rk order by words / cast(2 * k - 1 as double) desc, shard, k) as place
+                from (select *, unnest(generate_series(1, cast(least(seats, ceil(2 * words / 16)) as bigint))) as k from shards)) where place <= seats group by rk, shard),
+            shaped as (
+              select s.*, coalesce(q.quota, 0) as quota, case when coalesce(q.quota, 0) >= words // 16 then words // 16 else 0 end as whole
+              from shards s left join shard_seats q on q.rk = s.rk and q.shard = s.shard),
+            turned as (
+              select *, case when whole = 0 then words // 16 else 2 * words // 16 - words // 16 end as among,
+                cast('0x' || substr(md5('1:' || coalesce(source, '') || ':' || shard), 1, 8) as bigint) as turn from shaped),
+            blocks as (
+              select rk, shard, block from (select *, unnest(generate_series(0, cast(ceil(2 * words / 16) as bigint) - 1)) as block from turned)
+              where quota > 2 * words // 16 or block < whole or (block < whole + among
+                and ((block + 1 - whole) * (quota - whole) + turn % among) // among > ((block - whole) * (quota - whole) + turn % among) // among)),
+            copies as (
+              select p.*, t.words, start + copy * size as begins from (
+                select *, unnest(generate_series(0, n - 1)) as copy, coalesce(sum(size * n) over (partition by rk, shard order by substr(digest, 9, 24), doc_id, size, lot
+                  rows between unbounded preceding and 1 preceding), 0) as start from placed) p left join shaped t on t.rk = p.rk and t.shard = p.shard),
+            numbered as (select *, row_number() over () as row from copies),
+            spans as (
+              select row, begins + pass * words as a, begins + pass * words + size as b, rk, shard
+              from (select *, unnest([0, 1]) as pass from numbered where not is_full and size > 0)),
+            taken as (
+              select row, sum(least((block + 1) * 16, b) - greatest(block * 16, a)) as taken from (
+                select *, unnest(generate_series(cast(a // 16 as bigint), cast((b - 1) // 16 as bigint))) as block from spans) semi_spans
+              join blocks using (rk, shard, block) group by row)
+            select doc_id, cast(size as bigint) as size, cast(source_size as bigint) as source_size, target,
+              cast(case when is_full then 2 * size else coalesce(taken, 0) end as bigint) as taken
+            from numbered left join taken using (row)""",
         "op13_fim": """
             with hashed as (
               select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u,
