@@ -8,10 +8,11 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from foresight.llm import ann, bpe_job, fim, language_id, line_dedup, mixing, near_dedup, packing, pii, toxicity, vector_dedup, warc
+from foresight.llm import align, ann, bpe_job, fim, language_id, line_dedup, mixing, near_dedup, packing, pii, toxicity, vector_dedup, warc
 
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 PACKING_TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +69,10 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.drop_lines(docs.select("doc_id", "text", "source"), percent=5, min_pages=5).select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op11_alignment(spark, sf_dir):
+    return align.scores(_table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_TOKENIZER), public_tokenizers.path(PIECES))
+
+
 def op12_mixing(spark, sf_dir):
     return mixing.plan(_table(spark, sf_dir, "documents")).drop("source")
 
@@ -76,7 +81,7 @@ def op13_fim(spark, sf_dir):
     return fim.digests(_table(spark, sf_dir, "documents"))
 
 
-REGISTRY = {f.__name__: f for f in (op1_pii, op2_bpe, op3_minhash_dedup, op4_ann, op5_toxicity, op6_embedding_dedup, op7_language_id, op8_packing, op9_warc, op10_line_dedup, op12_mixing, op13_fim)}
+REGISTRY = {f.__name__: f for f in (op1_pii, op2_bpe, op3_minhash_dedup, op4_ann, op5_toxicity, op6_embedding_dedup, op7_language_id, op8_packing, op9_warc, op10_line_dedup, op11_alignment, op12_mixing, op13_fim)}
 
 
 def oracle_sql() -> dict[str, str]:
