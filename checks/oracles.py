@@ -554,5 +554,8 @@ SELECT * EXCLUDE (window_end) FROM win"""
     q["stream_request_rate"] = """SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
   CASE event_type WHEN 'error' THEN 500 ELSE 200 END AS status, count(*) AS requests FROM events
 GROUP BY ALL"""
+    for name in ("error_share", "latency_quantiles"):
+        q[f"stream_{name}"] = q[name]
+    q["stream_held_alerts"] = q["held_breaches"]
     q["stream_dedup"] = "SELECT event_id, user_id, event_type FROM events"
     return q

@@ -18,6 +18,7 @@ from foresight.plans import models, monitoring, scoring
 from foresight.schema import KEY, LABEL, TS
 from foresight.session import materialize, work_dir
 from foresight.sources import logs, requests, tables
+from foresight.streaming import holds
 from foresight.streaming import jobs as stream_jobs
 from foresight.streaming import windows as stream_windows
 
@@ -683,6 +684,45 @@ def stream_request_rate(spark, sf_dir):
     return rates()
 
 
+def all_windows(spark, log, make, name):
+    """The windows of a stream over `log`, all of them: a last row a day later lets a second run close those that the first one left open."""
+    folder = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    log.write.parquet(f"{folder}/in")
+
+    def run():
+        return run_stream(make(spark.readStream.schema(log.schema).parquet(f"{folder}/in")), name, out=folder)
+
+    run()
+    last = [(F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"), *[F.max(c).alias(c) for c in log.columns if c != "ts"]]
+    log.agg(*last).write.mode("append").parquet(f"{folder}/in")
+    return run()
+
+
+@query
+def stream_error_share(spark, sf_dir):
+    """Sliding shares of a stream: chained aggregations of panes."""
+    log = request_log(spark, sf_dir).select("ts", "status")
+    df = all_windows(spark, log, lambda s: stream_windows.error_share(s, "ts", "status"), "error-share")
+    return df.select("window_start", "window_end", "requests", "errors", F.round("share", 6).alias("share"),
+                     F.col("breach").cast("int").alias("breach"))
+
+
+@query
+def stream_latency_quantiles(spark, sf_dir):
+    """Sliding quantiles of a stream from sketches of panes; exact while a window has at most `SKETCH_K` rows."""
+    log = request_log(spark, sf_dir).select("ts", "latency_s")
+    df = all_windows(spark, log, lambda s: stream_windows.latency_quantiles(s, "ts", "latency_s"), "latency")
+    return df.withColumn("breach", F.col("breach").cast("int"))
+
+
+@query
+def stream_held_alerts(spark, sf_dir):
+    """Windows of a stream that hold a breach: the hold is streaming state with event-time timers."""
+    log = request_log(spark, sf_dir).select("ts", "flag")
+    held = all_windows(spark, log, lambda s: holds.held_stream(stream_windows.flag_share(s, "ts", "flag"), "10 minutes", "1 minute"), "alerts")
+    return held.where("firing").select("window_end", F.round("share", 6).alias("share"))
+
+
 @query
 def stream_dedup(spark, sf_dir):
     return run_stream(stream_windows.dedup_stream(stream_events(spark, sf_dir), ["event_id"], "ts"), "dedup").select(

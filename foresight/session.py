@@ -9,6 +9,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _own_dirs: dict[str, str] = {}
 
 
@@ -21,6 +22,8 @@ def get_session(app: str = "foresight", master: str | None = None, conf: dict |
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # stream state beside the heap, with timers and maps
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         # no call-site capture for every column expression
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         # keeps generated methods of wide projections small enough for the JIT compiler

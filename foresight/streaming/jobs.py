@@ -13,7 +13,8 @@ from foresight.operators.drift import SHARE_FLOOR, quantile_edges
 from foresight.plans.models import Scorer
 from foresight.plans.scoring import score_requests
 from foresight.sources.logs import prediction_records
-from foresight.streaming.windows import WATERMARK, event_time, held_breaches, interval_us
+from foresight.streaming.holds import held_stream
+from foresight.streaming.windows import WATERMARK, event_time
 
 
 def _start(df: DataFrame, each, checkpoint: str, trigger: dict | None) -> StreamingQuery:
@@ -40,25 +41,19 @@ def start_scoring(requests: DataFrame, scorer: Scorer, out: str, checkpoint: str
 
 
 def start_alerts(windows: DataFrame, hold: str, slide: str, out: str, checkpoint: str,
-                 trigger: dict | None = None) -> StreamingQuery:
-    """Append closed windows to `out`/windows and those that hold a breach to `out`/firing.
+                 trigger: dict | None = None, by: Sequence[str] = ()) -> StreamingQuery:
+    """Append closed windows, with `firing`, to `out`/windows and those that hold a breach to `out`/firing.
 
-    Windows are stored by day and batch: a retried batch replaces its own part, and a batch reads only the days of its hold.
-    """
+    The hold is streaming state (`held_stream`): a micro-batch reads nothing that was stored before. Its part of either
+    table lies in a folder of its own, so a retried batch replaces it."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        dated = batch.withColumns({"day": F.to_date("window_end"), "batch": F.lit(batch_id).cast("bigint")})
-        dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(f"{out}/windows")
-        stored = batch.sparkSession.read.schema(dated.schema).parquet(f"{out}/windows")
-        oldest = stored.where(F.col("batch") == batch_id).agg(F.min("window_end")).first()[0]
-        if oldest is None:
-            return
-        since = F.lit(oldest) - F.expr(f"INTERVAL {interval_us(hold) // 1_000_000} SECONDS")
-        recent = stored.where((F.col("day") >= F.to_date(since)) & (F.col("window_end") >= since) & (F.col("batch") <= batch_id))
-        firing = held_breaches(recent, hold, slide).where("firing").where(F.col("batch") == batch_id)
-        firing.drop("day", "batch").write.mode("overwrite").parquet(f"{out}/firing/batch={batch_id}")
-
-    return _start(windows, each, checkpoint, trigger)
+        part = f"{out}/windows/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(part)
+        stored = batch.sparkSession.read.schema(batch.schema).parquet(part)
+        stored.where("firing").write.mode("overwrite").parquet(f"{out}/firing/batch={batch_id}")
+
+    return _start(held_stream(windows, hold, slide, by=by), each, checkpoint, trigger)
 
 
 def edge_literals(ref: DataFrame, numeric: Sequence[str], bins: int = 10) -> dict[str, list[float]]:

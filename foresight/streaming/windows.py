@@ -11,6 +11,7 @@ from foresight.functions.columns import HOUR_US, micros, ratio
 from foresight.operators.blocks import BLOCK, OWN, US, block_size, block_window, spread
 
 WATERMARK = "10 minutes"
+SKETCH_K, RANK_ERROR = 4096, 0.002
 # Upper limits of the probability and latency (seconds) buckets.
 PROBABILITY_BUCKETS = (0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
 LATENCY_BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.15, 0.25, 0.5, 1.0, 2.5)
@@ -23,13 +24,17 @@ def event_time(df: DataFrame, ts: str, watermark: str = WATERMARK) -> DataFrame:
 
 
 def _windowed(df: DataFrame, ts: str, length: str, slide: str | None, by: Sequence[str], aggs: Sequence[Column],
-              watermark: str) -> DataFrame:
-    """Counts per window. In a table sliding windows add up panes of one slide, so rows are not copied to every window."""
+              watermark: str, merged: dict[str, Column] | None = None) -> DataFrame:
+    """Aggregates per window. Sliding windows merge panes of one slide, in a table as on a stream: a row enters the state
+    (or the shuffle) once, in its pane, and only panes are copied to the windows that hold them.
+
+    Aggregates are summed up over panes, or merged as `merged` says. A stream chains two stateful aggregations; the second one closes
+    a window when the watermark has passed its end."""
     timed = event_time(df, ts, watermark)
-    if slide and not df.isStreaming and interval_us(length) % interval_us(slide) == 0:
+    if slide and interval_us(length) % interval_us(slide) == 0:
         panes = timed.groupBy(F.window(ts, slide).alias("pane"), *by).agg(*aggs)
-        sums = [F.sum(c).alias(c) for c in panes.columns if c not in ("pane", *by)]
-        out = panes.groupBy(F.window("pane", length, slide).alias("w"), *by).agg(*sums)
+        merges = [(merged or {}).get(c, F.sum(c)).alias(c) for c in panes.columns if c not in ("pane", *by)]
+        out = panes.groupBy(F.window("pane", length, slide).alias("w"), *by).agg(*merges)
     else:
         out = timed.groupBy(F.window(ts, length, slide or length).alias("w"), *by).agg(*aggs)
     names = [c for c in out.columns if c != "w"]
@@ -37,6 +42,16 @@ def _windowed(df: DataFrame, ts: str, length: str, slide: str | None, by: Sequen
                       F.col("w.end").cast("timestamp_ntz").alias("window_end"), *names)
 
 
+def _sketch(value: str | Column, shares: Sequence[float]) -> tuple[Column, Column, list[Column]]:
+    """(sketch of a pane, its merge over panes, quantiles read from it) for streams: mergeable KLL sketches of fixed size.
+
+    The rank of a quantile is off by less than RANK_ERROR of the known rows (99 % confidence), by nothing up to SKETCH_K rows."""
+    k = F.lit(SKETCH_K)
+    known = F.kll_sketch_get_n_double("q") > 0
+    reads = [F.when(known, F.kll_sketch_get_quantile_double("q", F.lit(float(s)))) for s in shares]
+    return F.kll_sketch_agg_double(F.col(value).cast("double"), k).alias("q"), F.kll_merge_agg_double("q", k), reads
+
+
 def _ranked(df: DataFrame, ts: str, value: str, length: str, slide: str | None, watermark: str) -> DataFrame:
     """Per window and distinct value `_v` of a table: rows `_n`, known ones `_k`, their running and overall number.
 
@@ -62,11 +77,11 @@ def latency_quantiles(df: DataFrame, ts: str, latency: str, length: str = "5 min
                       limit: float = 0.1, watermark: str = WATERMARK) -> DataFrame:
     """p50 and p95 latency (seconds) per sliding window; breach above the limit.
 
-    Exact in a table; in a stream their ranks may be off by a 10000th of the window's rows."""
+    Exact in a table; a stream merges a sketch per pane, see `_sketch`. Windows without a known latency have null quantiles."""
     if df.isStreaming:
-        q = F.percentile_approx(latency, F.array(F.lit(0.5), F.lit(0.95)), F.lit(10000))
-        out = _windowed(df, ts, length, slide, (), [F.count(F.lit(1)).alias("requests"), q.alias("q")], watermark)
-        out = out.select("window_start", "window_end", "requests", F.col("q")[0].alias("p50"), F.col("q")[1].alias("p95"))
+        sketch, merge, reads = _sketch(latency, (0.5, 0.95))
+        out = _windowed(df, ts, length, slide, (), [F.count(F.lit(1)).alias("requests"), sketch], watermark, {"q": merge})
+        out = out.select("window_start", "window_end", "requests", reads[0].alias("p50"), reads[1].alias("p95"))
     else:
         out = _ranked(df, ts, latency, length, slide, watermark).groupBy("window_start", "window_end").agg(
             F.sum("_n").alias("requests"), _at(0.5).alias("p50"), _at(0.95).alias("p95"))
@@ -96,10 +111,10 @@ def score_distribution(df: DataFrame, ts: str, score: str, length: str = "5 minu
         most = F.array(*[F.sum(F.when(F.col("_v") <= b, F.col("_k")).otherwise(0)) for b in buckets])
         return _ranked(df, ts, score, length, None, watermark).groupBy("window_start", "window_end").agg(
             F.sum("_k").alias("n"), _at(0.5).alias("median"), _at(0.9).alias("p90"), most.alias("at_most"))
-    q =F.percentile_approx(score, F.array(F.lit(0.5), F.lit(0.9)), F.lit(10000))
+    sketch, _, reads = _sketch(score, (0.5, 0.9))
     counts = F.array(*[F.count_if(F.col(score) <= b) for b in buckets])
-    out = _windowed(df, ts, length, None, (), [q.alias("q"), counts.alias("at_most"), F.count(score).alias("n")], watermark)
-    return out.select("window_start", "window_end", "n", F.col("q")[0].alias("median"), F.col("q")[1].alias("p90"), "at_most")
+    out = _windowed(df, ts, length, None, (), [sketch, counts.alias("at_most"), F.count(score).alias("n")], watermark)
+    return out.select("window_start", "window_end", "n", reads[0].alias("median"), reads[1].alias("p90"), "at_most")
 
 
 def held_breaches(windows: DataFrame, hold: str, slide: str, ts: str = "window_end", breach: str = "breach",
