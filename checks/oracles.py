@@ -515,6 +515,12 @@ FROM reasons r LEFT JOIN newest n ON r.{M} = n.{M}"""
 
     early = answers("early").replace("2024-01-20 06:00:00", "2024-01-20 00:00:00")
     q["score_requests"] = f"SELECT * FROM ({answers('late')}) UNION ALL SELECT * FROM ({early})"
+    q["repeated_request_ids"] = f"""WITH named AS (
+  SELECT a.*, r.reasons = '' AS valid, CASE WHEN a.{M} % 5 = 0 THEN 'shared-' || (a.{M} // 10) ELSE 'own-' || a.{M} END AS id
+  FROM ({answers('late')}) a JOIN ({plant}, {reasons} SELECT {M}, reasons FROM reasons) r ON r.{M} = a.{M}),
+clash AS (SELECT *, count(*) OVER (PARTITION BY id) > 1 AS shared FROM named)
+SELECT id AS request_id, {M}, CASE WHEN NOT shared THEN probability END AS probability, CAST(shared AND valid AS INTEGER) AS ambiguous
+FROM (SELECT * FROM clash UNION ALL SELECT * FROM clash WHERE {M} % 3 = 0)"""
     q["log_without_feedback"] = f"""{plant}, {latest_features(now)}
 SELECT {M} AS machine_id, CAST({score} >= 0.5 AS INTEGER) AS prediction, round({score}, 4) AS probability,
        CAST(NULL AS INTEGER) AS will_fail_24h FROM features WHERE datetime = {now}"""

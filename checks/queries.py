@@ -576,6 +576,19 @@ def score_requests(spark, sf_dir):
     return answer.unionByName(refused.select("request_id", KEY, F.lit(None).cast("double").alias("probability"), F.lit("refused").alias("state")))
 
 
+@query
+def repeated_request_ids(spark, sf_dir):
+    """Requests that share ids: of different machines, which are refused, and sent twice, which are answered twice."""
+    made = requests.make_requests(plant_tables(spark, sf_dir), REQUEST_TIME)
+    own, shared = F.concat(F.lit("own-"), KEY), F.concat(F.lit("shared-"), F.expr(f"{KEY} div 10"))
+    made = materialize(made.withColumn("request_id", F.when(F.col(KEY) % 5 == 0, shared).otherwise(own)), "shared-requests")
+    rule = models.Scorer("rule", None, RULE_FEATURE, 30.0, 51.0, 0.5, "7")
+    scored, refused = scoring.score_requests(made.unionByName(made.where(f"{KEY} % 3 = 0")), rule, limits=REQUEST_LIMITS)
+    answer = scored.select("request_id", KEY, F.round(models.PROBABILITY, 6).alias("probability"), F.lit(0).alias("ambiguous"))
+    return answer.unionByName(refused.select("request_id", KEY, F.lit(None).cast("double").alias("probability"),
+                                             F.array_contains("reasons", "ambiguous_id").cast("int").alias("ambiguous")))
+
+
 @query
 def log_without_feedback(spark, sf_dir):
     """The newest 20 predictions of a log before any feedback: every outcome is unknown."""

@@ -33,19 +33,32 @@ def top_risks(scores: DataFrame, n: int = 10) -> DataFrame:
 def request_features(valid: DataFrame, id: str = "request_id") -> DataFrame:
     """Newest feature row of every parsed, valid request that has one, with its `id` and machine.
 
-    Requests are kept apart by id; rows that repeat an id with its body get a row each from one calculation."""
-    once = valid.dropDuplicates([id])
-    newest = latest_per_key(build_features(parse_requests(once, id)), KEY, TS).withColumnRenamed(KEY, id)
-    machines = valid.select(id, F.col("r.machine_id").try_cast("bigint").alias(KEY))
-    return machines.join(newest, id)
+    Requests are kept apart by id and contents: no request gets the features of another one that came under its id. Rows
+    that repeat an id with its contents get a row each from one calculation."""
+    keyed = valid.withColumn("_request", F.md5(F.to_json(F.struct(id, "r"), {"ignoreNullFields": "false"})))
+    once = keyed.dropDuplicates(["_request"])
+    newest = latest_per_key(build_features(parse_requests(once, "_request")), KEY, TS).withColumnRenamed(KEY, "_request")
+    machines = keyed.select("_request", id, F.col("r.machine_id").try_cast("bigint").alias(KEY))
+    return machines.join(newest, "_request").drop("_request")
+
+
+def ambiguous_ids(df: DataFrame, body: str = "body", id: str = "request_id") -> DataFrame:
+    """Ids under which different bodies came; counted with partial aggregation, so a hot id is no hot task."""
+    told = F.coalesce(F.md5(body), F.lit(""))
+    return df.groupBy(id).agg(F.min(told).alias("_a"), F.max(told).alias("_b")).where("_a <> _b").select(id)
 
 
 def score_requests(df: DataFrame, scorer: Scorer, body: str = "body", batch: str | None = None,
                    limits: S.RequestContract = S.RequestContract(), id: str = "request_id") -> tuple[DataFrame, DataFrame]:
     """(scored feature rows, refused requests) of a table of JSON requests: every request is in one of them.
 
-    A valid request without a complete look-back is refused with the reason `no_complete_history`."""
+    A valid request without a complete look-back is refused with the reason `no_complete_history`, one whose id also
+    stands for another body with `ambiguous_id`: its answer could not be told from the other's."""
     valid, rejected = check_requests(df, body, batch, limits)
-    scored = scorer.score(request_features(valid, id))
-    short = valid.join(scored.select(id).distinct(), id, "left_anti").withColumn("reasons", F.array(F.lit("no_complete_history")))
-    return scored, rejected.unionByName(short.select(*rejected.columns))
+    clashes = ambiguous_ids(valid.select(id, body).union(rejected.select(id, body)), body, id)
+    unclear = valid.join(clashes, id, "left_semi").withColumn("reasons", F.array(F.lit("ambiguous_id")))
+    clear = valid.join(clashes, id, "left_anti")
+    scored = scorer.score(request_features(clear, id))
+    short = clear.join(scored.select(id).distinct(), id, "left_anti").withColumn("reasons", F.array(F.lit("no_complete_history")))
+    refused = [part.select(*rejected.columns) for part in (rejected, unclear, short)]
+    return scored, refused[0].unionByName(refused[1]).unionByName(refused[2])

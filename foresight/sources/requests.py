@@ -104,12 +104,12 @@ def check_requests(df: DataFrame, body: str = "body", batch: str | None = None,
                    limits: S.RequestContract = S.RequestContract()) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected): parsed requests, and requests with their `reasons`.
 
-    Every request has a `request_id`: its own, or the hash of its body where the table has no such column.
+    Every request has a `request_id`: its own, or the hash of its body where it has none.
     With a batch column, a whole batch is rejected when it is larger than the contract allows, names a machine twice or holds an
     invalid request. Counts per batch are combined before the shuffle. Without it the check also runs on streams.
     """
-    if "request_id" not in df.columns:
-        df = df.withColumn("request_id", F.md5(body))
+    told = F.coalesce(F.md5(body), F.lit(""))
+    df = df.withColumn("request_id", F.coalesce("request_id", told) if "request_id" in df.columns else told)
     checked = read_requests(df, body).withColumn("reasons", _reasons(limits))
     if batch:
         per_machine = checked.groupBy(batch, F.col("r.machine_id").alias("m")).agg(

@@ -199,6 +199,24 @@ def test_requests_of_one_machine_stay_apart(spark):
     assert scored.count() == 0 and [r["reasons"] for r in refused.collect()] == [["no_complete_history"]]
 
 
+def test_one_id_for_two_bodies_is_refused(spark):
+    from foresight.plans.scoring import request_features
+    from foresight.sources.requests import check_requests
+    from tests.test_requests_logs import RULE, body
+    other = body(machine_id=3, telemetry=[{**r, "vibration": 55.0} for r in body()["telemetry"]])
+    rows = [("x", body(machine_id=1)), ("x", other), ("y", other), ("y", other), (None, body(machine_id=4)), (None, other), ("z", body(machine_id=0)), ("z", other)]
+    df = spark.createDataFrame([(i, json.dumps(b)) for i, b in rows], "request_id string, body string")
+    scored, refused = score_requests(df, RULE, limits=S.SERVICE_REQUESTS)
+    got = sorted((r["machineID"], r["failure_probability"]) for r in scored.collect())
+    assert [m for m, _ in got] == [3, 3, 3, 4] and got[0][1] == got[2][1] != got[3][1]
+    reasons = sorted((r["request_id"], tuple(r["reasons"])) for r in refused.collect())
+    assert reasons == [("x", ("ambiguous_id",)), ("x", ("ambiguous_id",)), ("z", ("ambiguous_id",)), ("z", ("machine_id",))]
+    # even without refusing, each request has features of its own body
+    valid, _ = check_requests(df)
+    own = {(r["request_id"], r["machineID"]): r["vibration_mean_24h"] for r in request_features(valid).collect()}
+    assert own[("x", 1)] == 40.0 and own[("x", 3)] == 55.0
+
+
 def test_drift_of_constant_and_missing_references(spark):
     rows = [(dt.datetime(2015, 1, d), 0.0 if d < 3 else 5.0, None) for d in (1, 2, 3, 4)]
     df = spark.createDataFrame(rows, "ts timestamp_ntz, x double, y double")
