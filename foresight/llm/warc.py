@@ -54,10 +54,20 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
 
 
 def _chunks(spark: SparkSession, path: str) -> DataFrame:
-    """Text between magics, with file, split and a number that grows within a split."""
-    return (spark.read.option("lineSep", MAGIC).text(path)
-            .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
-            .withColumn("at", F.monotonically_increasing_id()))
+    """Text between magics, written once: file, split, `at` (a number that grows within a split), value, its bytes `n` and
+    the bytes `span` that a record starting there takes by its own header.
+
+    Numbers of splits depend on how Spark lays out a scan, so whatever refers to a chunk is worked out from this table."""
+    value = F.col("value")
+    header = _header(value)
+    length = F.try_to_number(_field(header, "Content-Length", "([0-9]{1,15})"), F.lit("9" * 15)).cast("bigint")
+    chunks = (spark.read.option("lineSep", MAGIC).text(path)
+              .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                      F.octet_length(value).cast("bigint").alias("n"), (F.octet_length(header) + 4 + length + 4).alias("span"))
+              .withColumn("at", F.monotonically_increasing_id()))
+    target = f"{work_dir(spark)}/chunks-{uuid.uuid4().hex}"
+    chunks.write.option("compression", "zstd").parquet(target)   # as large as the archive without it
+    return spark.read.parquet(target)
 
 
 def _header(value: Column) -> Column:
@@ -68,48 +78,53 @@ def _field(header: Column, name: str, pattern: str) -> Column:
     return F.regexp_extract(header, rf"(?i)(?:^|\r\n){name}:[ \t]*{pattern}", 1)
 
 
-def boundaries(spark: SparkSession, path: str) -> DataFrame:
-    """(file, at, offset, owner, parts) of every chunk: the offset of the record it belongs to and how many chunks that has."""
-    value = F.col("value")
-    header = _header(value)
-    length = F.try_to_number(_field(header, "Content-Length", "([0-9]{1,15})"), F.lit("9" * 15)).cast("bigint")
-    slim = _chunks(spark, path).select("file", "block", "at", F.octet_length(value).cast("bigint").alias("n"),
-                                       (F.octet_length(header) + 4 + length + 4).alias("span"))
-    slim = materialize(slim, "chunks")
-    before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    blocks = slim.groupBy("file", "block").agg(F.sum(F.col("n") + len(MAGIC)).alias("size")).withColumn("base", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    inside = W.partitionBy("file", "block").orderBy("at").rowsBetween(W.unboundedPreceding, -1)
-    start = F.col("base") + F.coalesce(F.sum(F.col("n") + len(MAGIC)).over(inside), F.lit(0)) - len(MAGIC)
-    c = (slim.join(blocks.select("file", "block", "base"), ["file", "block"]).withColumn("offset", start)
-         .where("offset >= 0").select("file", "at", "offset", (F.col("offset") + len(MAGIC) + F.col("span")).alias("next")))
-    c = materialize(c, "candidates")
-    order = W.partitionBy("file").orderBy("offset")
-    c = c.withColumn("follows", F.coalesce(F.col("next") == F.lead("offset").over(order), F.lit(False)))
+def boundaries(chunks: DataFrame) -> DataFrame:
+    """(file, at, offset, owner, whole) of every chunk: the offset of the record it belongs to (null if none), and whether it is
+    that record's only chunk.
+
+    Windows run over the chunks of one split; a file's splits are linked by their sizes and last records, one row a split."""
+    slim = chunks.select("file", "block", "at", "n", "span")
+    before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)   # splits of a file
+    blocks = slim.groupBy("file", "block").agg(F.sum(F.col("n") + len(MAGIC)).alias("size"))
+    blocks = blocks.withColumn("base", F.coalesce(F.sum("size").over(before), F.lit(0))).withColumn("file_end", F.sum("size").over(W.partitionBy("file")) - len(MAGIC))
+    inside = W.partitionBy("file", "block").orderBy("at")
+    start = F.col("base") + F.coalesce(F.sum(F.col("n") + len(MAGIC)).over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) - len(MAGIC)
+    c = slim.join(materialize(blocks.drop("size"), "splits"), ["file", "block"]).withColumn("offset", start)
+    nothing_before = F.col("offset") >= 0   # what lies before a file's first magic links to nothing
+    c = c.withColumns({"end": F.col("offset") + len(MAGIC) + F.col("n"), "next": F.when(nothing_before, F.col("offset") + len(MAGIC) + F.col("span"))})
+    c = c.withColumn("last", F.col("end") >= F.col("file_end"))
+    c = c.withColumn("follows", F.coalesce((F.col("next") == F.col("end")) & ~F.col("last"), F.lit(False)))
+    c = materialize(c.select("file", "block", "at", "offset", "end", "next", "last", "follows"), "candidates")
+    # runs of chunks that follow each other, cut at splits and where a link from elsewhere arrives
     targets = c.where("not follows and next is not null").select("file", F.col("next").alias("offset")).distinct().withColumn("target", F.lit(True))
-    c = c.join(targets, ["file", "offset"], "left")
-    head = F.coalesce(~F.lag("follows").over(order), F.lit(True)) | F.coalesce("target", F.lit(False))
-    c = c.withColumn("head", F.when(head, F.col("offset"))).withColumn("head", F.last("head", True).over(order.rowsBetween(W.unboundedPreceding, 0)))
-    c = materialize(c.select("file", "at", "offset", "next", "head"), "runs")
-    jump = c.groupBy("file", "head").agg(F.max_by("next", "offset").alias("next"))
+    r = c.join(targets, ["file", "offset"], "left")
+    head = F.coalesce(~F.lag("follows").over(inside), F.lit(True)) | F.coalesce("target", F.lit(False))
+    r = r.withColumn("head", F.when(head, F.col("offset")))
+    r = materialize(r.withColumn("head", F.last("head", True).over(inside.rowsBetween(W.unboundedPreceding, 0))).drop("target"), "runs")
+    jump = r.groupBy("file", "head").agg(F.max_by("next", "offset").alias("next"))
     reached = jump.where("head = 0").select("file", "head")
     jump = materialize(jump.where("next is not null").join(jump.select("file", F.col("head").alias("next")), ["file", "next"], "left_semi").select("file", "head", "next"), "jumps")
     while not jump.isEmpty():
         reached = materialize(reached.union(reached.join(jump, ["file", "head"]).select("file", F.col("next").alias("head"))).distinct(), "reached")
         jump = materialize(jump.join(jump.select("file", F.col("head").alias("next"), F.col("next").alias("far")), ["file", "next"]).select("file", "head", F.col("far").alias("next")), "jumps")
-    c = c.join(reached.withColumn("true", F.lit(True)), ["file", "head"], "left")
-    c = c.withColumn("owner", F.last(F.when(F.col("true"), F.col("offset")), True).over(order.rowsBetween(W.unboundedPreceding, 0))).where("owner is not null")
-    return c.withColumn("parts", F.count("*").over(W.partitionBy("file", "owner"))).select("file", "at", "offset", "owner", "parts")
+    r = r.join(reached.withColumn("true", F.lit(True)), ["file", "head"], "left").withColumn("true", F.coalesce("true", F.lit(False)))
+    r = r.withColumn("record", F.when(F.col("true"), F.col("offset")))
+    carried = r.groupBy("file", "block").agg(F.max("record").alias("latest"))
+    carried = carried.select("file", "block", F.max("latest").over(before).alias("carried"))
+    owner = F.coalesce(F.last("record", True).over(inside.rowsBetween(W.unboundedPreceding, 0)), F.col("carried"))
+    whole = F.col("true") & (F.col("last") | F.coalesce(F.col("next") == F.col("end"), F.lit(False)))
+    return r.join(carried, ["file", "block"]).select("file", "at", "offset", owner.alias("owner"), whole.alias("whole"))
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(page_id, record_type, refers_to, url, digest, payload string) of every record; null payload for revisits.
 
     Bytes that no chain from the start of a file reaches are no records; a file without magic at its start has none."""
-    place = materialize(boundaries(spark, path), "boundaries")
-    rows = _chunks(spark, path).join(place, ["file", "at"]).select("file", "offset", "owner", "parts", "value")
-    whole = rows.where("parts = 1").select("value")
-    pieced = (rows.where("parts > 1").groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("offset", "value"))).alias("v"))
-              .select(F.array_join(F.col("v.value"), MAGIC).alias("value")))
+    chunks = _chunks(spark, path)
+    odd = materialize(boundaries(chunks).where("not whole"), "boundaries")   # the few that are no record of their own
+    whole = chunks.select("at", "value").join(odd.select("at"), "at", "left_anti").select("value")
+    pieced = (chunks.select("at", "value").join(odd.where("owner is not null"), "at").groupBy("file", "owner")
+              .agg(F.sort_array(F.collect_list(F.struct("offset", "value"))).alias("v")).select(F.array_join(F.col("v.value"), MAGIC).alias("value")))
     r = whole.union(pieced)
     header = _header(F.col("value"))
     r = r.withColumn("header", header)

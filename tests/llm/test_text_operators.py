@@ -214,6 +214,32 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_warc_split_layout_may_change(spark, tmp_path, monkeypatch):
+    """One archive file over many splits, whose layout is another one after every table that the reader writes."""
+    trap = "y WARC/1.0\r\nContent-Length: 7\r\n\r\n" + "z" * 50
+    html = [f"<p>{i}</p>" * (i % 40 + 1) + (trap if i % 9 == 0 else "") for i in range(1500)]
+    df = spark.createDataFrame(list(enumerate(html)), "page_id bigint, html string").selectExpr("page_id", "'http://x' as url", "html")
+    warc.write(df.coalesce(1), str(tmp_path / "a"))
+    sizes, plain, layouts = iter([7_000, 100_000, 3_000, 50_000] * 20), warc.materialize, set()
+
+    def changed(table, name):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(next(sizes)))
+        if name == "candidates":
+            layouts.add(table.select("block").distinct().count())
+        return plain(table, name)
+
+    monkeypatch.setattr(warc, "materialize", changed)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = {r["page_id"]: r["payload"] for r in warc.read(spark, str(tmp_path / "a")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == dict(enumerate(html)) and min(layouts) > 10
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "x.txt").write_text("no magic at the start WARC/1.0\r\nContent-Length: 2\r\n\r\nab\r\n\r\n")
+    assert warc.read(spark, str(tmp_path / "b")).count() == 0
+
+
 def test_language(spark):
     words = {"aa": ["kavo", "lumi", "sater"], "bb": ["qwix", "zorp", "fnel"]}
     rng = random.Random(1)
