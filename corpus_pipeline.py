@@ -2,8 +2,8 @@
 
 1. toxicity: a text whose worst window scores 0.5 or more goes.
 2. line_dedup: lines on more than a twentieth of their source's texts are taken out of them.
-3. near_dedup: of texts that five-word shingles link at 0.8 or more the one with the smallest id stays. Texts without an
-   id stay; of rows that repeat an id one stays.
+3. near_dedup: of texts that five-word shingles link at 0.8 or more the one with the smallest id stays (one without an id only
+   where no other has one). Different texts under one id are different documents; rows that repeat id and text are one.
 4. pii: found spans become [KIND].
 5. packing: pieces in sequences of 2048 tokens.
 
@@ -35,8 +35,13 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = near_dedup.near_duplicates(docs, size=5, percent=80).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).union(docs.where("doc_id is null"))
+    # a text under an id is a node of its own, so texts that share an id are not taken for one
+    keyed = docs.withColumn("_node", F.xxhash64("doc_id", "text"))
+    groups = near_dedup.near_duplicates(keyed.select("_node", "text"), key="_node", size=5, percent=80).select("_node", "component_id")
+    nodes = keyed.select("_node", "doc_id").join(groups.distinct(), "_node")
+    first = nodes.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_node")).alias("first"))
+    kept = materialize(first.select("first._node"), "kept-nodes")
+    return keyed.join(kept, "_node", "left_semi").dropDuplicates(["_node"]).select(*docs.columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
