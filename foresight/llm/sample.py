@@ -2,16 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import ctypes
+import gc
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def per_class(rows: DataFrame, label: str, key: str, bound: int) -> list:
     """About `bound` rows of every class at most, by hash of the key: the same rows for the same table.
 
     A class with fewer rows is taken whole. What reaches the driver is bounded by classes * bound rows."""
-    sizes = rows.groupBy(label).count().collect()
+    return _chosen(rows, label, key, bound).orderBy(key).collect()
+
+
+def texts_per_class(rows: DataFrame, label: str, key: str, text: str, bound: int, bound_bytes: int) -> Iterator:
+    """As `per_class`, and about `bound_bytes` bytes of text of every class at most; the rows come one by one, in order of the key
+    and the text, and need not be held together. Every class that has rows has some: its share is of the class, not of the table."""
+    return _chosen(rows, label, key, bound, F.octet_length(text), bound_bytes).orderBy(key, text).toLocalIterator()
+
+
+def _chosen(rows: DataFrame, label: str, key: str, bound: int, size: Column | None = None, bound_size: int = 1) -> DataFrame:
+    sizes = rows.groupBy(label).agg(F.count("*").alias("n"), (F.lit(0) if size is None else F.sum(size)).alias("size")).collect()
     wanted = F.lit(False)
     for r in sizes:
-        share = min(1.0, bound / r["count"])
+        share = min(1.0, bound / r["n"], bound_size / max(r["size"] or 0, 1) if size is not None else 1.0)
         wanted = wanted | (F.col(label).eqNullSafe(F.lit(r[label])) & (F.pmod(F.xxhash64(key, F.lit(17)), F.lit(1 << 30)) < int(share * (1 << 30))))
-    return rows.where(wanted).orderBy(key).collect()
+    return rows.where(wanted)
+
+
+def release_memory() -> None:
+    """Hands freed memory of a finished fit back to the system, where the C library can; the driver runs on for hours."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

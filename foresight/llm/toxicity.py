@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from foresight.llm.arrow import map_texts
 from foresight.llm.bpe_job import _narrow, _quoted
-from foresight.llm.sample import per_class
+from foresight.llm.sample import release_memory, texts_per_class
 from foresight.llm.text import _BYTE_VALUE, _LOWER, mix, slices, span_hashes
 
 WINDOW, STRIDE = 32, 24
@@ -22,6 +22,7 @@ BUCKETS = 1 << 14
 INPUT, HIDDEN = 6, 6
 TABLE_RATE = 0.3    # the hashed tables learn more slowly than the network: most of their rows are rare
 DROP = 0.2          # share of words that a training window loses
+SCORED_GRAMS = 1 << 18  # trigrams of the sample that are scored at once
 PRIOR = 20          # pseudo-texts that pull the log odds of rare words and trigrams to 0
 _EDGE = np.zeros(256, bool)
 _EDGE[:] = True
@@ -180,18 +181,27 @@ class Network:
     @classmethod
     def fit(cls, texts: list[str], label: np.ndarray, epochs: int = 12, seed: int = 11) -> "Network":
         """Every epoch takes each text's worst window (and one other window of texts with label 0) as an example."""
-        self, rng = cls(seed), np.random.default_rng(seed)
-        label = np.asarray(label, np.float32)
-        if not len(texts) or label.min() == label.max():
-            self.scale, self.shift = 0.0, (-3.0 if not len(texts) or label.max() == 0 else 3.0)
-            return self
+        return cls._fitted(cls._inputs(texts), label, epochs, seed)
+
+    @staticmethod
+    def _inputs(texts) -> list[tuple]:
+        """Word buckets, trigram buckets and trigrams per word of each text: all that training keeps of it."""
         docs = []
         for _, _, data, offsets in slices(pa.array(texts, pa.string())):
             low, start, end, first = words(data, offsets)
             bucket, grams, n = features(low, start, end)
             at = np.concatenate([[0], np.cumsum(n)])
-            bucket, grams, n = bucket.astype(np.int32), grams.astype(np.int32), n.astype(np.int32)  # the sample stays in memory
+            bucket, grams, n = bucket.astype(np.int16), grams.astype(np.int16), n.astype(np.int32)  # bucket numbers are below 2^14
             docs += [(bucket[a:b], grams[at[a]:at[b]], n[a:b]) for a, b in zip(first[:-1], first[1:])]
+        return docs
+
+    @classmethod
+    def _fitted(cls, docs: list[tuple], label: np.ndarray, epochs: int = 12, seed: int = 11) -> "Network":
+        self, rng = cls(seed), np.random.default_rng(seed)
+        label = np.asarray(label, np.float32)
+        if not len(docs) or label.min() == label.max():
+            self.scale, self.shift = 0.0, (-3.0 if not len(docs) or label.max() == 0 else 3.0)
+            return self
         used = [i for i, d in enumerate(docs) if len(d[0])]
         docs, label = [docs[i] for i in used], label[used]
         self._log_odds(docs, label)
@@ -245,13 +255,17 @@ class Network:
         return bucket[keep], grams[np.repeat(keep, n)], n[keep]
 
     def _score(self, docs):
-        out = []
-        for a in range(0, len(docs), 256):
-            part = docs[a:a + 256]
+        """Logits of the windows of each document, on parts of bounded size."""
+        out, a = [], 0
+        size = np.concatenate([[0], np.cumsum([len(d[1]) for d in docs])])
+        while a < len(docs):
+            b = max(a + 1, int(np.searchsorted(size, size[a] + SCORED_GRAMS, side="right")) - 1)
+            part = docs[a:b]
             first = np.concatenate([[0], np.cumsum([len(d[2]) for d in part])]).astype(np.int64)
             x = self.vectors(*(np.concatenate([d[j] for d in part]) for j in range(3)))
             s, doc = self.window_scores(x, first)
             out += np.split(s, np.searchsorted(doc, np.arange(1, len(part))))
+            a = b
         return out
 
     def window_scores(self, vectors, first) -> tuple[np.ndarray, np.ndarray]:
@@ -280,11 +294,24 @@ def _stacked(batch):
     return (*(np.concatenate([b[j] for b in batch]) for j in range(3)), np.where(mask, first[:-1] + t, first[:-1]), mask)
 
 
-def learn(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", bound: int = 2000) -> Network:
-    """Fits the network on at most about `bound` labelled texts of each class; null labels and texts are left out."""
+def learn(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", bound: int = 2000, bound_bytes: int = 8 << 20) -> Network:
+    """Fits the network on at most about `bound` labelled texts and `bound_bytes` bytes of text of each class; null labels and
+    texts are left out. A text is dropped as soon as its inputs are made."""
     rows = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).cast("int").alias("label")).where("label in (0, 1) and text is not null")
-    sample = per_class(rows, "label", "key", bound)
-    return Network.fit([r["text"] for r in sample], np.array([r["label"] for r in sample], np.float32))
+    docs, labels, held, size = [], [], [], 0
+    for r in texts_per_class(rows, "label", "key", "text", bound, bound_bytes):
+        held.append(r["text"])
+        labels.append(r["label"])
+        size += len(r["text"])
+        if size >= 1 << 19:
+            docs += Network._inputs(held)
+            held, size = [], 0
+    docs += Network._inputs(held)
+    del held
+    model = Network._fitted(docs, np.array(labels, np.float32))
+    del docs
+    release_memory()
+    return model
 
 
 def _worst(m: Network, data, offsets) -> np.ndarray:

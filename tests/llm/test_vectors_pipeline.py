@@ -102,3 +102,21 @@ def test_pipeline_stages(spark, tmp_path):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_texts_under_one_id_are_kept_apart(spark, tmp_path):
+    long = lambda k: " ".join(f"{k}{i}" for i in range(60))
+    a, b = long("a"), long("b")
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (4, long("c")), (4, long("d")), (4, long("d")), (None, a), (None, long("e")), (5, None), (5, None), (6, ""), (7, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    out = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, str(tmp_path))
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    assert got == sorted([(1, a), (1, b), (4, long("c")), (4, long("d")), (None, long("e")), (5, None), (6, ""), (7, "")], key=str)
+
+
+def test_sample_is_bounded_in_rows_and_bytes(spark):
+    from foresight.llm.sample import texts_per_class
+    rows = spark.range(4000).selectExpr("id as key", "repeat('x', cast(id % 2 * 1000 as int)) as text", "cast(id % 2 as int) as label")
+    got = list(texts_per_class(rows, "label", "key", "text", 500, 100_000))
+    sizes = [sum(r["label"] == y for r in got) for y in (0, 1)]
+    assert 400 < sizes[0] < 600 and 70 < sizes[1] < 130 and [r["key"] for r in got] == sorted(r["key"] for r in got)
