@@ -221,6 +221,7 @@ def issues_sql(checks) -> str:
     """UNION of issue rows; a check is (table, column, name, relation, value, weight, predicate)."""
     parts = []
     for table, column, name, relation, value, predicate in checks:
+        name = name.replace("'", "''")
         parts.append(f"""
 SELECT '{table}' AS "table", '{column}' AS "column", '{name}' AS "check", CAST(sum(n) AS BIGINT) AS "count",
        coalesce(array_to_string(list_sort(list(v) FILTER (v IS NOT NULL AND rn <= 5)), ','), '') AS examples
@@ -352,6 +353,34 @@ SELECT event_id, number, least(greatest(coalesce(number, 50), 20), 80) AS clippe
         f"SELECT 'telemetry' AS \"table\", '{s}' AS \"column\", 'sensor null fraction > 5%' AS \"check\", CAST(1 AS BIGINT) AS \"count\", "
         f"'' AS examples FROM telemetry HAVING avg(CAST({s} IS NULL AS INTEGER)) > 0.05" for s in SENSORS)
     q["validate_plant"] = f"{plant}\n{issues_sql(plant_issue_checks())}\nUNION ALL\n{missing_share}"
+    k = f"({M} * 7 + hour(datetime) + day(datetime) * 24)"
+    corrupted = f"""{plant},
+tel AS (
+  SELECT CASE WHEN {k} % 233 <> 0 THEN datetime END AS datetime, CASE WHEN {k} % 229 = 0 THEN 999 ELSE {M} END AS {M},
+         CASE WHEN {k} % 211 = 0 THEN 'sensor_error' ELSE CAST(volt AS VARCHAR) END AS volt, CASE WHEN {k} % 227 = 0 THEN 5000 ELSE rotate END AS rotate,
+         CASE WHEN {k} % 9 <> 0 THEN pressure END AS pressure, CASE WHEN {k} % 223 = 0 THEN -5 ELSE vibration END AS vibration FROM telemetry),
+mach AS (SELECT {M}, CASE WHEN {M} % 17 <> 0 THEN model END AS model, CASE WHEN {M} % 13 = 0 THEN 31 ELSE age END AS age FROM machines),
+plants AS (SELECT * FROM mach UNION ALL SELECT * FROM mach WHERE {M} % 10 = 0)"""
+    broken = [("telemetry", "machineID", "in_range(1, 100)", "tel", M, f"{M} NOT BETWEEN 1 AND 100"),
+              ("telemetry", "datetime", "not_nullable", "tel", "datetime", "datetime IS NULL"),
+              ("telemetry", "volt", "dtype('double')", "tel", "volt", "volt IS NOT NULL AND TRY_CAST(volt AS DOUBLE) IS NULL")]
+    broken += [("telemetry", s, f"in_range({int(lo)}, {int(hi)})", "tel", s, f"TRY_CAST({s} AS DOUBLE) NOT BETWEEN {lo} AND {hi}") for s, (lo, hi) in S.HARD_BOUNDS.items()]
+    twice = f"(SELECT *, count(*) OVER (PARTITION BY {M}, datetime) AS k FROM tel)"
+    broken += [("telemetry", c, "multiple_fields_uniqueness", twice, v, "k > 1") for c, v in (("machineID", M), ("datetime", "datetime"))]
+    broken += [c for c in plant_issue_checks() if c[0] == "errors"]
+    broken += [("machines", "machineID", "in_range(1, 100)", "plants", M, f"{M} NOT BETWEEN 1 AND 100"), ("machines", "age", "in_range(0, 30)", "plants", "age", "age NOT BETWEEN 0 AND 30"),
+               ("machines", "model", "not_nullable", "plants", "model", "model IS NULL"),
+               ("machines", "machineID", "field_uniqueness", f"(SELECT *, count(*) OVER (PARTITION BY {M}) AS k FROM plants)", M, "k > 1"),
+               ("telemetry", "machineID", "unknown machine (not in machines table)", f"(SELECT DISTINCT {M} FROM tel WHERE {M} NOT IN (SELECT {M} FROM plants))", M, "true")]
+    shares = "\nUNION ALL\n".join(
+        f"SELECT 'telemetry' AS \"table\", '{s}' AS \"column\", 'sensor null fraction > 5%' AS \"check\", CAST(1 AS BIGINT) AS \"count\", "
+        f"'' AS examples FROM tel HAVING avg(CAST({s} IS NULL AS INTEGER)) > 0.05" for s in SENSORS)
+    q["validate_corrupted"] = f"""{corrupted}
+{issues_sql(broken)}
+UNION ALL {shares}
+UNION ALL SELECT 'maint', 'comp', 'column missing', 1, 'comp'
+UNION ALL SELECT 'failures', NULL, 'table missing', 1, ''"""
+    q["validation_report"] = f'SELECT "table", "column", "check", "count" FROM ({q["validate_corrupted"]})'
     q["null_fractions"] = f"{plant}\n" + "\nUNION ALL\n".join(
         f"SELECT '{s}' AS \"column\", round(avg(CAST({s} IS NULL AS INTEGER)), 6) AS fraction FROM telemetry" for s in SENSORS)
     q["duplicate_groups"] = f"{plant} SELECT {M}, datetime, count(*) AS n FROM telemetry GROUP BY 1, 2 HAVING count(*) > 1"
@@ -523,7 +552,8 @@ SELECT id AS request_id, {M}, CASE WHEN NOT shared THEN probability END AS proba
 FROM (SELECT * FROM clash UNION ALL SELECT * FROM clash WHERE {M} % 3 = 0)"""
     q["log_without_feedback"] = f"""{plant}, {latest_features(now)}
 SELECT {M} AS machine_id, CAST({score} >= 0.5 AS INTEGER) AS prediction, round({score}, 4) AS probability,
-       CAST(NULL AS INTEGER) AS will_fail_24h FROM features WHERE datetime = {now}"""
+       CAST(NULL AS INTEGER) AS will_fail_24h FROM features WHERE datetime = {now}
+ORDER BY CAST({M} AS VARCHAR) DESC LIMIT 20"""
     q["grouped_areas"] = """WITH o AS (
   SELECT o_totalprice / 600000 AS p, CAST(o_orderkey % 3 = 0 AS INTEGER) AS y, CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS a,
          CASE WHEN o_orderkey % 2 = 0 THEN 'x' END AS b FROM orders),
@@ -564,4 +594,5 @@ GROUP BY ALL"""
         q[f"stream_{name}"] = q[name]
     q["stream_held_alerts"] = q["held_breaches"]
     q["stream_dedup"] = "SELECT event_id, user_id, event_type FROM events"
+    q["stream_dedup_repeats"] = "SELECT DISTINCT user_id, date_trunc('hour', ts) AS hour FROM events"
     return q

@@ -53,7 +53,7 @@ def plant_tables(spark: SparkSession, sf_dir: str) -> PlantTables:
     base = events.withColumnsRenamed({"ts": "datetime", "user_id": "machineID"})
     errors = base.where("event_type = 'error'").selectExpr("datetime", "machineID", coded.format("error", 6, "errorID"))
     maint = base.where("event_type = 'signup'").selectExpr("datetime", "machineID", coded.format("comp", 4, "comp"))
-    failures = base.where("event_type = 'purchase' AND event_id % 5 = 0").selectExpr(
+    failures = base.where("event_type = 'purchase'").selectExpr(
         "datetime", "machineID", coded.format("comp", 4, "failure"))
     return PlantTables(grid.unionByName(repeats), errors, maint, failures, machines)
 
@@ -83,5 +83,5 @@ maint AS (
   FROM events WHERE event_type = 'signup'),
 failures AS (
   SELECT ts AS datetime, user_id AS "machineID", 'comp' || (event_id % 4 + 1) AS failure
-  FROM events WHERE event_type = 'purchase' AND event_id % 5 = 0)
+  FROM events WHERE event_type = 'purchase')
 """

@@ -288,6 +288,39 @@ def validate_plant(spark, sf_dir):
     return flat_issues(validate.validate_tables(plant_tables(spark, sf_dir).as_dict(), contract))
 
 
+def corrupted_plant(spark, sf_dir) -> dict[str, DataFrame]:
+    """The plant's tables with every kind of fault: the rows are told by their machine and hour."""
+    t = plant_tables(spark, sf_dir)
+    k = F.col(KEY) * 7 + F.hour(TS) + F.dayofmonth(TS) * 24
+    bad = lambda n, value, other: F.when(k % n == 0, value).otherwise(other)
+    telemetry = t.telemetry.select(
+        bad(233, F.lit(None), F.col(TS)).alias(TS), bad(229, F.lit(999), F.col(KEY)).alias(KEY), "seq",
+        bad(211, F.lit("sensor_error"), F.col("volt").cast("string")).alias("volt"), bad(227, F.lit(5000.0), F.col("rotate")).alias("rotate"),
+        bad(9, F.lit(None), F.col("pressure")).alias("pressure"), bad(223, F.lit(-5.0), F.col("vibration")).alias("vibration"))
+    machines = t.machines.withColumns({"age": F.when(F.col(KEY) % 13 == 0, 31).otherwise(F.col("age")),
+                                       "model": F.when(F.col(KEY) % 17 == 0, F.lit(None)).otherwise(F.col("model"))})
+    return {"telemetry": telemetry, "errors": t.errors, "maint": t.maint.drop("comp"),
+            "machines": machines.unionByName(machines.where(f"{KEY} % 10 = 0"))}
+
+
+@query
+def validate_corrupted(spark, sf_dir):
+    """Every rule kind broken: types, nulls, ranges, lists, keys, null shares, unknown machines, a lost column and a lost table."""
+    contract = S.raw_contract(machine_ids=S.MACHINE_ID_RANGE)
+    return flat_issues(validate.validate_tables(corrupted_plant(spark, sf_dir), contract))
+
+
+@query
+def validation_report(spark, sf_dir):
+    """The stop of the line: the issue table as written before the job is ended."""
+    folder = f"{work_dir(spark)}/issues-{uuid.uuid4().hex}"
+    try:
+        validate.validate_or_raise(corrupted_plant(spark, sf_dir), S.raw_contract(machine_ids=S.MACHINE_ID_RANGE), folder)
+    except validate.DataValidationError:
+        return spark.read.parquet(folder).select("table", "column", "check", "count")
+    raise AssertionError("corrupted tables passed")
+
+
 @query
 def null_fractions(spark, sf_dir):
     df = validate.null_fractions(plant_tables(spark, sf_dir).telemetry, S.SENSORS)
@@ -594,7 +627,7 @@ def log_without_feedback(spark, sf_dir):
     """The newest 20 predictions of a log before any feedback: every outcome is unknown."""
     folder = f"{work_dir(spark)}/log-{uuid.uuid4().hex}"
     logs.append_log(logs.prediction_records(latest_scores(spark, sf_dir)).withColumn("logged_at", F.col("machine_id").cast("string")), folder, "predictions")
-    df = logs.load_prediction_log(spark, folder)
+    df = logs.load_prediction_log(spark, folder, last=20)
     return df.select("machine_id", "prediction", "probability", LABEL)
 
 
@@ -742,6 +775,13 @@ def stream_dedup(spark, sf_dir):
         "event_id", "user_id", "event_type")
 
 
+@query
+def stream_dedup_repeats(spark, sf_dir):
+    """Users and hours with events: a key comes many times and passes once."""
+    hours = stream_events(spark, sf_dir).withColumn("hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    return run_stream(stream_windows.dedup_stream(hours, ["user_id", "hour"], "ts", "1 hour"), "dedup").select("user_id", "hour")
+
+
 # ---- models ---------------------------------------------------------------------------------------------------
 
 

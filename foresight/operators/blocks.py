@@ -7,6 +7,7 @@ at it, and what lies further back reaches a block as a small carried row. Result
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foresight.functions.columns import HOUR_US, block_of
+from foresight.operators.radix import ranked_values
 
 BLOCK_HOURS = 168
 US, BLOCK, OWN = "_us", "_blk", "_own"
@@ -144,9 +146,13 @@ def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), as_
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Linear-interpolated quantiles, one row per (by, feature) with an array in the order of `probs`.
 
-    Counts per distinct value and running counts replace a per-group value buffer, so no group has to fit a task.
+    Without groups the values at the ranks are selected by histograms (see `radix.py`), which runs at once and moves no
+    distinct values. With groups, counts per distinct value and running counts replace a per-group value buffer, so no group has
+    to fit a task. A column without known values has no row.
     """
     by = list(by)
+    if not by:
+        return _selected_quantiles(df, list(columns), [float(p) for p in probs])
     long = unpivot(df, columns, by).where(F.col("value").isNotNull() & ~F.isnan("value"))
     counts = long.groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
     ranked = running_totals(counts, "value", ["n"], [*by, "feature"], few_groups=not by)
@@ -164,3 +170,19 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     wide = ranked.groupBy(*by, "feature").agg(*picks)
     values = [F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"f{i}") for i in range(len(probs))]
     return wide.select(*by, "feature", F.array(*values).alias("quantiles"))
+
+
+def _selected_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
+    def ranks(n: int) -> list[int]:
+        low = [math.floor(p * (n - 1)) for p in probs]
+        return [*low, *(min(r + 1, n - 1) for r in low), n - 1]
+
+    rows = []
+    for name, found in zip(columns, ranked_values(df, columns, ranks)):
+        if found:
+            n = max(found) + 1
+            at = [p * (n - 1) for p in probs]
+            low = [found[math.floor(x)] for x in at]
+            high = [found[min(math.floor(x) + 1, n - 1)] for x in at]
+            rows.append((name, [a + (b - a) * (x - math.floor(x)) for a, b, x in zip(low, high, at)]))
+    return df.sparkSession.createDataFrame(rows, "feature string, quantiles array<double>")

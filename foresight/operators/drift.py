@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foresight import schema as S
-from foresight.operators.blocks import exact_quantiles, running_totals, unpivot
+from foresight.operators.blocks import exact_quantiles, unpivot
+from foresight.operators.radix import largest_gaps
 
 SHARE_FLOOR = 1e-4
 
@@ -93,14 +94,13 @@ def value_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def ks(ref: DataFrame, cur: DataFrame, numeric: Sequence[str]) -> DataFrame:
-    """(feature, ks, ks_pvalue): largest distance of the two distribution functions, asymptotic p-value."""
-    long = unpivot(_both(ref, cur, numeric), numeric, ["is_ref"]).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counts = long.groupBy("feature", "value").agg(
-        F.count_if("is_ref").alias("r"), F.count_if(~F.col("is_ref")).alias("c"))
-    run = running_totals(counts, "value", ["r", "c"], ["feature"], few_groups=True)
-    gap = F.abs(F.col("r_run") / F.col("r_all") - F.col("c_run") / F.col("c_all"))
-    both = run.where((F.col("r_all") > 0) & (F.col("c_all") > 0))
-    out = both.groupBy("feature").agg(F.max(gap).alias("ks"), F.max("r_all").alias("n"), F.max("c_all").alias("m"))
+    """(feature, ks, ks_pvalue): largest distance of the two distribution functions, asymptotic p-value.
+
+    The distance is exact and found by histograms (see `radix.py`), which runs at once. A feature without known values on
+    either side has no row."""
+    gaps = largest_gaps(_both(ref, cur, numeric), list(numeric), F.col("is_ref"))
+    rows = [(name, d, n, m) for name, (d, n, m) in zip(numeric, gaps) if d is not None]
+    out = ref.sparkSession.createDataFrame(rows, "feature string, ks double, n bigint, m bigint")
     lam2 = F.col("ks") * F.col("ks") * (F.col("n").cast("double") * F.col("m") / (F.col("n") + F.col("m")))
     terms = F.sequence(F.lit(1), F.lit(200))
     series = F.aggregate(terms, F.lit(0.0), lambda s, k: s + F.when(k % 2 == 1, 2.0).otherwise(-2.0)
