@@ -12,6 +12,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from foresight.llm.bpe_job import _quoted
+
 # Base kinds in order and their patterns. Possessive loops and the run-start condition give the same
 # leftmost matches as the plain patterns without quadratic scans.
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -43,18 +45,38 @@ def matches(text: Column, pattern: str, needs: str | None = None) -> tuple[Colum
     return found, pieces
 
 
+_SPANS = "array<struct<kind:int,generator:int,start:bigint,stop:bigint,body:string,before:string,after:string>>"
+
+
 def _placed(kind: int, found: str, pieces: str, generator: int) -> Column:
-    """Candidates array<struct> with code-point positions, from the columns of one pattern."""
-    return F.expr(f"""
-      aggregate(
-        zip_with(zip_with(slice({pieces}, 1, size({found})), {found}, (a, m) -> struct(a as gap, m as body)), slice({pieces}, 2, size({found})),
-                 (x, z) -> struct(x.gap as gap, x.body as body, left(z, {CONTEXT}) as after)),
-        struct(0L as at, cast(array() as array<struct<kind:int,generator:int,start:bigint,stop:bigint,body:string,before:string,after:string>>) as out),
-        (s, x) -> struct(
-          s.at + length(x.gap) + length(x.body) as at,
-          array_append(s.out, struct({kind} as kind, {generator} as generator, s.at + length(x.gap) as start, s.at + length(x.gap) + length(x.body) as stop,
-                                     x.body as body, right(x.gap, {CONTEXT}) as before, x.after as after)) as out),
-        s -> s.out)""")
+    """Candidates array<struct> with code-point positions, from the columns of one pattern.
+
+    Positions are running sums in two levels: about sqrt(n) blocks of sqrt(n) matches, so that growing an array by one costs
+    its block, not the text."""
+    items = f"""zip_with(zip_with(slice({pieces}, 1, size({found})), {found}, (a, m) -> named_struct('gap', a, 'body', m)), slice({pieces}, 2, size({found})),
+                 (x, z) -> named_struct('gap', x.gap, 'body', x.body, 'after', left(z, {CONTEXT})))"""
+    width = f"greatest(16, cast(ceil(sqrt(size({found}))) as int))"
+    blocks = f"transform(sequence(0, (size({found}) - 1) div {width}), k -> slice(its, k * {width} + 1, {width}))"
+    ends = "aggregate(transform(bs, b -> aggregate(b, 0L, (n, x) -> n + length(x.gap) + length(x.body))), array(0L), (a, n) -> array_append(a, element_at(a, -1) + n))"
+    step = f"""(s, x) -> named_struct(
+        'at', s.at + length(x.gap) + length(x.body),
+        'out', array_append(s.out, named_struct('kind', {kind}, 'generator', {generator}, 'start', s.at + length(x.gap), 'stop', s.at + length(x.gap) + length(x.body),
+                                                'body', x.body, 'before', right(x.gap, {CONTEXT}), 'after', x.after)))"""
+    # an array of one binds matches and blocks to a name, so they are made once
+    return F.expr(f"""case when size({found}) > 0 then flatten(transform(transform(array({items}), its -> {blocks}), bs ->
+        flatten(zip_with(bs, slice({ends}, 1, size(bs)), (b, at) -> aggregate(b, named_struct('at', at, 'out', cast(array() as {_SPANS})), {step}, s -> s.out))))) end""")
+
+
+def _below(sorted_: str, value: str) -> str:
+    """SQL: how many numbers of a sorted array are below a value, by binary search."""
+    steps = ", ".join(str(1 << i) for i in reversed(range(26)))
+    return f"aggregate(array({steps}), 0, (lo_, by_) -> case when lo_ + by_ <= size({sorted_}) and {sorted_}[lo_ + by_ - 1] < {value} then lo_ + by_ else lo_ end)"
+
+
+def _touches(kind: int, c: str) -> str:
+    """SQL: a candidate overlaps a base span of the kind. These are disjoint and in order, so the last one that starts before
+    the candidate's end tells."""
+    return f"coalesce(get(_g{kind}, {_below(f'_s{kind}', f'{c}.stop')} - 1).stop > {c}.start, false)"
 
 
 def _digits(c: str) -> str:
@@ -75,8 +97,16 @@ def valid_expr(kind: str, c: str) -> str:
         when cast(ch as int) >= 5 then cast(ch as int) * 2 - 9 else cast(ch as int) * 2 end), 0, (a, b) -> a + coalesce(b, 0)) % 10 = 0 else false end)"""
 
 
+def _held(df: DataFrame, keep: list[str], names: list[str]) -> DataFrame:
+    """Values that lambdas refer to, worked out once a row: an expression that is named once would be put into the lambda and
+    evaluated for every element. A generator of one row keeps the optimizer from that."""
+    return df.select(*keep, F.explode(F.array(F.struct(*names))).alias("_z")).select(*keep, *[F.col("_z")[n].alias(n) for n in names])
+
+
 def candidates(df: DataFrame, text: str) -> DataFrame:
-    """Adds `_base` (valid base spans) and `_more` (what the generators and the failed base matches propose)."""
+    """Adds the valid base spans by kind `_g0`.. with their starts `_s0`.., and `_more` (what the
+    generators and the failed base matches propose)."""
+    keep = df.columns
     df = df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
     for i, kind in enumerate(KINDS[:4]):
         found, pieces = matches(F.col("_text"), BASE_PATTERNS[kind], "@" if kind == "email" else "[0-9]" if kind != "phone" else r"\+[0-9]")
@@ -84,13 +114,14 @@ def candidates(df: DataFrame, text: str) -> DataFrame:
     for g, (kind, pattern, needs) in enumerate(GENERATORS):
         found, pieces = matches(F.col("_text"), pattern, needs)
         df = df.withColumns({f"_n{g}": found, f"_q{g}": pieces})
-    empty = "cast(array() as array<struct<kind:int,generator:int,start:bigint,stop:bigint,body:string,before:string,after:string>>)"
+    empty = f"cast(array() as {_SPANS})"
     df = df.withColumns({f"_c{i}": F.coalesce(_placed(i, f"_m{i}", f"_p{i}", -1), F.expr(empty)) for i in range(4)})
     df = df.withColumns({f"_d{g}": F.coalesce(_placed(KINDS.index(kind), f"_n{g}", f"_q{g}", g), F.expr(empty)) for g, (kind, _, _) in enumerate(GENERATORS)})
-    good = [F.expr(f"filter(_c{i}, c -> {valid_expr(KINDS[i], 'c.body')})") for i in range(4)]
+    df = df.withColumns({f"_g{i}": F.expr(f"filter(_c{i}, c -> {valid_expr(KINDS[i], 'c.body')})") for i in range(4)})
     bad = [F.expr(f"filter(_c{i}, c -> not {valid_expr(KINDS[i], 'c.body')} and length({_digits('c.body')}) >= 7)") for i in (1, 2, 3)]
-    df = df.withColumn("_base", F.concat(*good)).withColumn("_more", F.concat(*bad, *[F.col(f"_d{g}") for g in range(len(GENERATORS))]))
-    return df.drop("_text", *[c for c in df.columns if c[:2] in ("_m", "_p", "_n", "_q", "_c", "_d") and c[2:].isdigit()])
+    df = df.withColumn("_more", F.concat(*bad, *[F.col(f"_d{g}") for g in range(len(GENERATORS))]))
+    df = df.withColumns({f"_s{i}": F.expr(f"transform(_g{i}, b -> b.start)") for i in range(4)})
+    return _held(df, keep, [*[f"_{c}{i}" for c in "gs" for i in range(4)], "_more"])
 
 
 def _side(c: str) -> str:
@@ -118,8 +149,8 @@ def feature_exprs(c: str) -> dict[str, str]:
 def _label(c: str) -> str:
     """Weak label: overlaps a base span of its kind, or is a secret by its own prefix or by the word before it."""
     f = feature_exprs(c)
-    return (f"exists(_base, b -> b.kind = {c}.kind and b.start < {c}.stop and {c}.start < b.stop) or "
-            f"({c}.kind = 4 and ({f['word']} = 1 or {c}.body rlike '^AKIA[0-9A-Z]{{16}}$'))")
+    base = " ".join(f"when {k} then {_touches(k, c)}" for k in range(4))
+    return f"(case {c}.kind {base} else {f['word']} = 1 or {c}.body rlike '^AKIA[0-9A-Z]{{16}}$' end)"
 
 
 class Trees:
@@ -185,14 +216,15 @@ class Trees:
         return f"(1D / (1D + exp(-({self.start:.10e}D + {' + '.join(map(node, self.trees)) or '0D'}))))"
 
 
-def fit(cands: DataFrame, key: str, precision: float = 0.95) -> tuple[Trees, dict[int, float]]:
+def fit(cands: DataFrame, precision: float = 0.95) -> tuple[Trees, dict[int, float]]:
     """Trees and, by kind, the least score whose held-out precision reaches `precision` (2: adds none).
 
     Candidates of all documents count. They reach the driver as counts per feature vector: their number is bounded by
     the features' few values, not by the documents."""
-    x = F.expr("named_struct(" + ", ".join(f"'{k}', {v}" for k, v in feature_exprs("c").items()) + ")")
-    counted = (cands.select(F.col(key).alias("id"), "_base", F.explode("_more").alias("c"))
-               .select(x.alias("x"), F.expr(f"cast(({_label('c')}) as int)").alias("y"), F.expr("crc32(cast(coalesce(id, 0) as string)) % 2").alias("held"))
+    x = "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in feature_exprs("c").items()) + ")"
+    told = F.expr(f"transform(_more, c -> named_struct('x', {x}, 'y', cast({_label('c')} as int)))")   # before exploding: spans are not copied
+    counted = (cands.select("_id", told.alias("told")).select("_id", F.explode("told").alias("t"))
+               .select("t.x", "t.y", F.expr("crc32(cast(coalesce(_id, 0) as string)) % 2").alias("held"))
                .groupBy("x", "held").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n")).collect())
     rows = sorted((int(r.held), tuple(int(r.x[f]) for f in FEATURES), float(r.p), float(r.n)) for r in counted)
     model = Trees().fit([r[1:] for r in rows if r[0] == 0])
@@ -213,46 +245,74 @@ def _joined(spans: str) -> str:
     return f"array_join(transform({spans}, s -> concat(element_at(array({names}), s.kind + 1), ':', s.start, ':', s.stop)), ',')"
 
 
-def find(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Adds array columns `base` and `spans` (all) of (kind, start, stop), sorted by kind, then start.
+FAMILIES = len(GENERATORS) + 3   # generators, and failed base matches of three kinds: spans of one family do not overlap
 
-    Positions count code points, the end is exclusive; kinds are numbers into KINDS. Null and empty texts have no spans.
-    Repeated rows stay. Every row is worked on alone, whatever other columns it has; names that begin with an underscore
-    and a letter, `base` and `spans` are taken."""
-    cands = candidates(df, text)
-    model, limits = fit(cands, key)
+
+def _found(df: DataFrame) -> DataFrame:
+    """Adds `_base` and `_spans` to a table with `_id` and `_doc`; every step is about linear in the matches of a text."""
+    keep = df.columns
+    cands = candidates(df, "_doc")
+    model, limits = fit(cands)
     limit = "element_at(array(" + ", ".join(f"{limits[k]:.12f}D" for k in range(len(KINDS))) + "), s.kind + 1)"
     x = "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in feature_exprs("c").items()) + ")"
+    free = " and ".join(f"not {_touches(k, 'c')}" for k in range(4))
+    family = f"if(c.generator >= 0, c.generator, {len(GENERATORS)} + c.kind - 1)"
+    scored = cands.withColumn("_more", F.expr(f"filter(_more, c -> {free})"))
+    scored = scored.withColumn("_more", F.expr(f"transform(_more, c -> named_struct('start', c.start, 'stop', c.stop, 'kind', c.kind, 'family', {family}, 'x', {x}))"))
+    scored = scored.withColumn("_more", F.expr(f"transform(_more, s -> named_struct('start', s.start, 'stop', s.stop, 'kind', s.kind, 'family', s.family, 'score', {model.sql('s.x')}))"))
+    scored = scored.withColumn("_more", F.expr(f"filter(_more, s -> s.score >= {limit})"))
+    # of overlapping accepted candidates the better one stays, then the earlier, longer, first kind: those of one family that
+    # overlap a candidate are neighbours, and all such pairs are no more than spans times families
+    scored = scored.withColumns({f"_f{f}": F.expr(f"filter(_more, s -> s.family = {f})") for f in range(FAMILIES)})
+    scored = scored.withColumns({f"_{n}{f}": F.expr(f"transform(_f{f}, s -> s.{v})") for f in range(FAMILIES) for n, v in (("b", "start"), ("e", "stop"))})
+    scored = _held(scored, [*keep, *[f"_g{i}" for i in range(4)]], ["_more", *[f"_{n}{f}" for f in range(FAMILIES) for n in "fbe"]])
+    order = "struct(-{0}.score as a, {0}.start as b, -{0}.stop as c, {0}.kind as d)"
+    better = " or ".join(
+        f"exists(slice(_f{f}, {_below(f'_e{f}', 's.start + 1')} + 1, greatest({_below(f'_b{f}', 's.stop')} - {_below(f'_e{f}', 's.start + 1')}, 0)), "
+        f"o -> {order.format('o')} < {order.format('s')})" for f in range(FAMILIES))
+    scored = scored.withColumn("_more", F.expr(f"filter(_more, s -> not ({better}))"))
     simple = "named_struct('kind', {0}.kind, 'start', {0}.start, 'stop', {0}.stop)"
-    cands = cands.withColumn("_more", F.expr("filter(_more, c -> not exists(_base, b -> b.start < c.stop and c.start < b.stop))"))
-    scored = cands.withColumn("_more", F.expr(f"transform(_more, c -> named_struct('start', c.start, 'stop', c.stop, 'kind', c.kind, 'x', {x}))"))
-    scored = scored.withColumn("_more", F.expr(f"transform(_more, s -> named_struct('start', s.start, 'stop', s.stop, 'kind', s.kind, 'score', {model.sql('s.x')}))"))
-    scored = scored.withColumn("_more", F.expr(f"array_sort(array_distinct(filter(_more, s -> s.score >= {limit})))"))
-    # of overlapping accepted candidates the better one stays, then the earlier, longer, first kind
-    scored = scored.withColumn("_more", F.expr(
-        "filter(_more, s -> not exists(_more, o -> o.start < s.stop and s.start < o.stop and "
-        "struct(-o.score as a, o.start as b, -o.stop as c, o.kind as d) < struct(-s.score as a, s.start as b, -s.stop as c, s.kind as d)))"))
-    out = scored.withColumn("base", F.expr(f"array_sort(transform(_base, b -> {simple.format('b')}))"))
-    out = out.withColumn("spans", F.expr(f"array_sort(array_union(base, transform(_more, m -> {simple.format('m')})))"))
-    return out.drop("_base", "_more")
+    out = scored.withColumn("_base", F.expr(f"transform(concat(_g0, _g1, _g2, _g3), b -> {simple.format('b')})"))
+    out = _held(out, keep, ["_base", "_more"])
+    out = out.withColumn("_spans", F.expr(f"array_sort(concat(_base, transform(_more, m -> {simple.format('m')})))"))
+    out = _held(out, [*keep, "_base"], ["_spans"])
+    out = out.withColumn("_spans", F.expr("filter(_spans, (s, i) -> i = 0 or s <> _spans[i - 1])"))
+    return out.select(*keep, "_base", "_spans")
+
+
+def _packed(df: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows as one column, so that no name of theirs meets one of the operator's."""
+    return df.select(F.struct(*[F.col(_quoted(c)) for c in df.columns]).alias("_row"), F.col(_quoted(key)).alias("_id"), F.col(_quoted(text)).alias("_doc"))
+
+
+def find(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Adds array columns `base` and `spans` (all) of (kind, start, stop), sorted by kind, then start; they replace columns of
+    these names.
+
+    Positions count code points, the end is exclusive; kinds are numbers into KINDS. Null and empty texts have no spans.
+    Repeated rows stay. Every row is worked on alone; other columns stay as they are, whatever their names."""
+    keep = [c for c in df.columns if c not in ("base", "spans")]
+    out = _found(_packed(df, key, text))
+    return out.select(*[F.col("_row")[c].alias(c) for c in keep], F.col("_base").alias("base"), F.col("_spans").alias("spans"))
 
 
 def report(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: counts of base kinds, digest of the base spans and all spans as text."""
-    out = find(df.select(key, text), key, text)
-    counts = [F.expr(f"cast(size(filter(base, b -> b.kind = {i})) as bigint)").alias(f"n_{k}") for i, k in enumerate(KINDS[:4])]
-    return out.select(key, *counts, F.sha2(F.expr(_joined("base")), 256).alias("base_sha256"), F.expr(_joined("spans")).alias("spans"))
+    out = _found(_packed(df.select(key, text), key, text))
+    counts = [F.expr(f"cast(size(filter(_base, b -> b.kind = {i})) as bigint)").alias(f"n_{k}") for i, k in enumerate(KINDS[:4])]
+    return out.select(F.col("_id").alias(key), *counts, F.sha2(F.expr(_joined("_base")), 256).alias("base_sha256"), F.expr(_joined("_spans")).alias("spans"))
 
 
 def redact(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The table with every found span of its text replaced by [KIND]; a null text stays null, other columns stay."""
-    columns = df.columns
-    out = find(df, key, text)
+    """The table with every found span of its text replaced by [KIND]; a null text stays null, other columns stay, whatever
+    their names."""
+    out = _found(_packed(df, key, text))
     names = ", ".join(f"'[{k.upper()}]'" for k in KINDS)
     # cut points in text order; spans that overlap an earlier one are swallowed by it
-    ordered = "array_sort(transform(spans, s -> named_struct('start', s.start, 'stop', s.stop, 'kind', s.kind)))"
+    ordered = "array_sort(transform(_spans, s -> named_struct('start', s.start, 'stop', s.stop, 'kind', s.kind)))"
     rebuilt = F.expr(f"""aggregate({ordered}, named_struct('at', 0L, 'text', ''), (a, s) -> named_struct(
         'at', greatest(a.at, s.stop),
-        'text', if(s.start < a.at, a.text, concat(a.text, substring(`{text}`, cast(a.at + 1 as int), cast(s.start - a.at as int)), element_at(array({names}), s.kind + 1)))),
-        a -> concat(a.text, substring(`{text}`, cast(a.at + 1 as int))))""")
-    return out.withColumn(text, F.when(F.size("spans") > 0, rebuilt).otherwise(F.col(text))).select(*columns)
+        'text', if(s.start < a.at, a.text, concat(a.text, substring(_doc, cast(a.at + 1 as int), cast(s.start - a.at as int)), element_at(array({names}), s.kind + 1)))),
+        a -> concat(a.text, substring(_doc, cast(a.at + 1 as int))))""")
+    clean = F.when(F.size("_spans") > 0, rebuilt).otherwise(F.col("_doc"))
+    return out.withColumn("_clean", clean).select(*[(F.col("_clean") if c == text else F.col("_row")[c]).alias(c) for c in df.columns])
