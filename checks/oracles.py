@@ -253,6 +253,7 @@ def oracle_sql() -> dict[str, str]:
     # features
     q["training_table"] = f"""{plant}, {features_sql()}
 SELECT {M}, datetime, {rounded(NUMERIC)}, model, will_fail_24h FROM features WHERE hour(datetime) % 3 = 0"""
+    q["refreshed_features"] = q["training_table"]
     q["serving_features"] = f"""{plant}, {features_sql(label=False)}
 SELECT {M}, datetime, {rounded(NUMERIC)}, model FROM features"""
     q["clean_telemetry"] = f"""{plant}, {cleaned_sql()}

@@ -14,7 +14,7 @@ from foresight.functions import columns as fx
 from foresight.operators import asof, drift, metrics, split, validate, windows
 from foresight.operators.blocks import exact_quantiles
 from foresight.plans import features as feat
-from foresight.plans import models, monitoring, scoring
+from foresight.plans import models, monitoring, refresh, scoring
 from foresight.schema import KEY, LABEL, TS
 from foresight.session import materialize, work_dir
 from foresight.sources import logs, requests, tables
@@ -89,6 +89,25 @@ def serving_features(spark, sf_dir):
     return feat.build_features(t).select(KEY, TS, *rounded(NUMERIC), *CATEGORICAL)
 
 
+@query
+def refreshed_features(spark, sf_dir):
+    """The training table from a stored feature table that late rows have refreshed: the repeated readings, errors, services
+    and failures of the last two days of readings come after the table was built."""
+    t = plant_tables(spark, sf_dir)
+    since = t.telemetry.agg((F.max(TS) - F.expr("INTERVAL 2 DAYS")).alias("since")).first()[0]
+    is_late = {"telemetry": (F.col(TS) >= F.lit(since)) & (F.col("seq") > 0), "machines": F.lit(False)}
+
+    def side(late: bool) -> S.PlantTables:
+        rows = {k: is_late.get(k, F.col(TS) >= F.lit(since)) for k in t.as_dict()}
+        return S.PlantTables(**{k: df.where(rows[k] if late else ~rows[k]) for k, df in t.as_dict().items()})
+
+    path = f"{work_dir(spark)}/features-{uuid.uuid4().hex}"
+    refresh.write_features(side(False), path, parts=8)
+    refresh.refresh_features(path, side(False), side(True), parts=8)
+    df = refresh.read_features(spark, path).where(F.hour(TS) % S.SAMPLE_EVERY_HOURS == 0)
+    return df.select(KEY, TS, *rounded(NUMERIC), *CATEGORICAL, LABEL)
+
+
 @query
 def clean_telemetry(spark, sf_dir):
     return feat.clean_telemetry(plant_tables(spark, sf_dir).telemetry).select(KEY, TS, *S.SENSORS)

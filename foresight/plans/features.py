@@ -97,13 +97,14 @@ def _clean_expression(sensor: str) -> str:
 
 def build_features(
     t: PlantTables, sample_every: int | None = None, horizon_hours: int | None = None,
-    windows=S.WINDOW_HOURS, block_hours: int = BLOCK_HOURS, floor_errors: bool = True,
+    windows=S.WINDOW_HOURS, block_hours: int = BLOCK_HOURS, floor_errors: bool = True, only: DataFrame | None = None,
 ) -> DataFrame:
     """Features of every (machine, hour) with a full look-back; with a horizon also the failure label.
 
     Readings, errors, services and failures share one window partitioning by (machine, time block), so a
     machine with a very long or dense history is split over many tasks. Failures, where given, count as services.
     An error is counted at the start of its hour; `floor_errors=False` keeps only errors at the exact reading time.
+    `only` names the distinct (machine, block) to build; the others go before the windows.
     """
     back = max(*windows, S.ERROR_WINDOW_HOURS) * HOUR_US
     ahead = (horizon_hours or 0) * HOUR_US
@@ -116,6 +117,8 @@ def build_features(
     )
     earlier = previous_rows(obs.where("readings > 0"), KEY, size, S.FFILL_ROWS, back)
     rows = blocks.unionByName(earlier).unionByName(_machine_state(t, size, back), allowMissingColumns=True)
+    if only is not None:
+        rows = rows.join(only, [KEY, BLOCK], "left_semi")
 
     numbered = with_expressions(rows, {"_rn": f"sum(CASE WHEN readings > 0 THEN 1 ELSE 0 END) {over(KEY, ROWS_UP_TO)}"})
     known = {f"_at_{s}": f"max(CASE WHEN {s} IS NOT NULL THEN _rn END) {over(KEY, ROWS_UP_TO)}" for s in S.SENSORS}
