@@ -381,6 +381,7 @@ plants AS (SELECT * FROM mach UNION ALL SELECT * FROM mach WHERE {M} % 10 = 0)""
 UNION ALL {shares}
 UNION ALL SELECT 'maint', 'comp', 'column missing', 1, 'comp'
 UNION ALL SELECT 'failures', NULL, 'table missing', 1, ''"""
+    q["staged_validation"] = q["validate_corrupted"]
     q["validation_report"] = f'SELECT "table", "column", "check", "count" FROM ({q["validate_corrupted"]})'
     q["null_fractions"] = f"{plant}\n" + "\nUNION ALL\n".join(
         f"SELECT '{s}' AS \"column\", round(avg(CAST({s} IS NULL AS INTEGER)), 6) AS fraction FROM telemetry" for s in SENSORS)

@@ -17,7 +17,7 @@ from foresight.plans import features as feat
 from foresight.plans import models, monitoring, refresh, scoring
 from foresight.schema import KEY, LABEL, TS
 from foresight.session import materialize, work_dir
-from foresight.sources import logs, requests, tables
+from foresight.sources import logs, requests, stages, tables
 from foresight.streaming import holds
 from foresight.streaming import jobs as stream_jobs
 from foresight.streaming import windows as stream_windows
@@ -329,6 +329,13 @@ def validate_corrupted(spark, sf_dir):
     return flat_issues(validate.validate_tables(corrupted_plant(spark, sf_dir), contract))
 
 
+@query
+def staged_validation(spark, sf_dir):
+    """The same issues from the write of the stage tables, which are then in the shared folder."""
+    folder = f"{work_dir(spark)}/stages-{uuid.uuid4().hex}"
+    return flat_issues(stages.stage_plant(corrupted_plant(spark, sf_dir), folder, S.raw_contract(machine_ids=S.MACHINE_ID_RANGE))[1])
+
+
 @query
 def validation_report(spark, sf_dir):
     """The stop of the line: the issue table as written before the job is ended."""

@@ -13,7 +13,7 @@ from foresight.operators.asof import unknown_keys
 from foresight.schema import KEY, ColumnRule, TableRule
 
 _LONG = "`table` string, `column` string, `check` string, value string, n bigint"
-_ISSUES = "`table` string, `column` string, `check` string, `count` bigint, examples array<string>"
+ISSUES = "`table` string, `column` string, `check` string, `count` bigint, examples array<string>"
 EXAMPLES = 5
 
 
@@ -35,16 +35,29 @@ def _typed(rule: ColumnRule) -> Column:
     return F.when(~F.isnan(typed), typed) if rule.dtype == "double" else typed
 
 
+def missing(name: str) -> Column:
+    """Null, or a number that is none."""
+    return F.col(name).isNull() | F.isnan(F.col(name).try_cast("double"))
+
+
+def share_check(limit: float) -> str:
+    return f"sensor null fraction > {int(limit * 100)}%"
+
+
+def table_missing(spark: SparkSession, name: str) -> DataFrame:
+    return spark.createDataFrame([(name, None, "table missing", 1, [])], ISSUES)
+
+
 def row_rules(rule: TableRule) -> list[tuple[str, str, Column]]:
     """(column, check, violated) of every rule that one row can break on its own."""
     out = []
     for c in rule.columns:
         raw, typed = F.col(c.name), _typed(c)
-        missing = raw.isNull() | (F.isnan(raw.try_cast("double")) if c.dtype == "double" else F.lit(False))
+        absent = missing(c.name) if c.dtype == "double" else raw.isNull()
         if c.dtype != "string":
-            out.append((c.name, f"dtype('{c.dtype}')", ~missing & typed.isNull()))
+            out.append((c.name, f"dtype('{c.dtype}')", ~absent & typed.isNull()))
         if not c.nullable:
-            out.append((c.name, "not_nullable", missing))
+            out.append((c.name, "not_nullable", absent))
         if c.between:
             lo, hi = c.between
             out.append((c.name, f"in_range({_number(lo)}, {_number(hi)})", ~typed.between(lo, hi)))
@@ -85,8 +98,7 @@ def duplicates(df: DataFrame, table: str, keys) -> DataFrame:
 
 def null_fractions(df: DataFrame, columns) -> DataFrame:
     """(column, fraction) of missing values, one pass."""
-    missing = {c: F.col(c).isNull() | F.isnan(F.col(c).try_cast("double")) for c in columns}
-    row = df.agg(*[F.avg(m.cast("double")).alias(c) for c, m in missing.items()])
+    row = df.agg(*[F.avg(missing(c).cast("double")).alias(c) for c in columns])
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("fraction")) for c in columns])
     return row.select(F.inline(pairs))
 
@@ -109,10 +121,10 @@ def issue_summary(long: DataFrame) -> DataFrame:
 def validate_table(df: DataFrame, table: str, rule: TableRule) -> DataFrame:
     """Issues of one table; if columns are missing, that is its only issue."""
     spark = df.sparkSession
-    missing = [c.name for c in rule.columns if c.name not in df.columns]
-    if missing:
-        return spark.createDataFrame([(table, ",".join(missing), "column missing", len(missing), missing[:EXAMPLES])],
-                                     _ISSUES)
+    lost = [c.name for c in rule.columns if c.name not in df.columns]
+    if lost:
+        return spark.createDataFrame([(table, ",".join(lost), "column missing", len(lost), lost[:EXAMPLES])],
+                                     ISSUES)
     long = violations(df, table, row_rules(rule))
     if rule.unique:
         long = long.unionByName(duplicates(df, table, rule.unique))
@@ -120,7 +132,8 @@ def validate_table(df: DataFrame, table: str, rule: TableRule) -> DataFrame:
     if rule.null_fraction:
         limits = F.create_map(*[x for c, v in rule.null_fraction.items() for x in (F.lit(c), F.lit(v))])
         over = null_fractions(df, list(rule.null_fraction)).where(F.col("fraction") > limits[F.col("column")])
-        check = F.concat(F.lit("sensor null fraction > "), (limits[F.col("column")] * 100).cast("int"), F.lit("%"))
+        names = F.create_map(*[F.lit(x) for c, v in rule.null_fraction.items() for x in (c, share_check(v))])
+        check = names[F.col("column")]
         issues = issues.unionByName(over.select(
             F.lit(table).alias("table"), "column", check.alias("check"), F.lit(1).cast("bigint").alias("count"),
             F.array().cast("array<string>").alias("examples")))
@@ -145,7 +158,7 @@ def validate_tables(tables: dict[str, DataFrame], contract: dict[str, TableRule]
         if name in tables:
             parts.append(validate_table(tables[name], name, rule))
         else:
-            parts.append(spark.createDataFrame([(name, None, "table missing", 1, [])], _ISSUES))
+            parts.append(table_missing(spark, name))
     pair = tables.get("telemetry"), tables.get("machines")
     if all(t is not None and KEY in t.columns for t in pair):
         parts.append(unknown_machines(*pair))
@@ -155,7 +168,11 @@ def validate_tables(tables: dict[str, DataFrame], contract: dict[str, TableRule]
 def validate_or_raise(tables: dict[str, DataFrame], contract: dict[str, TableRule] | None = None,
                       report_dir: str | None = None) -> DataFrame:
     """Stop the line on any issue; the issue table is written first when a folder is given."""
-    issues = validate_tables(tables, contract)
+    return write_or_raise(validate_tables(tables, contract), report_dir)
+
+
+def write_or_raise(issues: DataFrame, report_dir: str | None = None) -> DataFrame:
+    """Writes the issue table where a folder is given, and raises if it has rows."""
     if report_dir:
         issues.write.mode("overwrite").parquet(report_dir)
         issues = issues.sparkSession.read.parquet(report_dir)

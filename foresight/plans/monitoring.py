@@ -16,6 +16,7 @@ from foresight.plans.features import build_training_table
 from foresight.plans.models import Scorer, compare_on_test, train_experiments
 from foresight.schema import TS, PlantTables
 from foresight.session import materialize
+from foresight.sources.stages import stage_or_raise
 
 
 def reference_sample(train: DataFrame, n: int | None = None) -> DataFrame:
@@ -85,12 +86,17 @@ def judge(candidate: Scorer, champion: Scorer | None, test: DataFrame, gate: dic
 
 def train_and_judge(
     spark: SparkSession, t: PlantTables, ranges: dict | None = None, specs=S.EXPERIMENTS, champion: Scorer | None = None,
-    contract: dict | None = None, version: str = "candidate",
+    contract: dict | None = None, version: str = "candidate", stage_dir: str | None = None,
 ) -> dict:
-    """Validate, build features, split by time, keep a reference sample, train and judge the candidate."""
+    """Validate, build features, split by time, keep a reference sample, train and judge the candidate.
+
+    With `stage_dir` the tables are checked while they are written there, and the job goes on from what is stored."""
     from dataclasses import replace
 
-    validate_or_raise(t.as_dict(), contract)
+    if stage_dir:
+        t = PlantTables(**stage_or_raise(t, stage_dir, contract))
+    else:
+        validate_or_raise(t.as_dict(), contract)
     features = materialize(build_training_table(t), "features")
     numeric, _ = S.feature_columns()
     broken = validate_features(features, numeric).collect()  # at most a row per column and rule

@@ -43,12 +43,14 @@ def _write(features: DataFrame, path: str, size: int, parts: int, mode: str) ->
 def write_features(t: PlantTables, path: str, horizon_hours: int | None = S.HORIZON_HOURS, block_hours: int = BLOCK_HOURS,
                    parts: int = 64) -> DataFrame:
     """Builds the whole stored table. A refresh must be given the same horizon, block length and parts."""
-    _write(build_features(t, None, horizon_hours, block_hours=block_hours), path, _size(horizon_hours, block_hours), parts, "static")
-    return read_features(t.telemetry.sparkSession, path)
+    features = build_features(t, None, horizon_hours, block_hours=block_hours)
+    _write(features, path, _size(horizon_hours, block_hours), parts, "static")
+    return read_features(t.telemetry.sparkSession, path, features.schema)
 
 
-def read_features(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(BLOCK, PART)
+def read_features(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """The stored table; a table without rows has no file, so it is read with the `schema` of its features."""
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path).drop(BLOCK, PART)
 
 
 def merged(old: PlantTables, late: PlantTables) -> PlantTables:

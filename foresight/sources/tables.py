@@ -59,7 +59,7 @@ def write_stage(df: DataFrame, path: str, by_date: str | None = None) -> DataFra
     out = df.withColumn("date", F.to_date(by_date)) if by_date else df
     writer = out.write.mode("overwrite")
     (writer.partitionBy("date") if by_date else writer).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(out.schema).parquet(path)  # an empty table may have no file to tell its columns
 
 
 def write_scores_csv(df: DataFrame, folder: str, as_of) -> str:

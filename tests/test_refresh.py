@@ -46,7 +46,7 @@ CASES = {
     "first readings": lambda p: {"telemetry": (p["telemetry"].machineID == 1) & (p["telemetry"].datetime < day(0, 30))},
     "corrected reading": lambda p: {"telemetry": p["telemetry"].duplicated(["machineID", "datetime"])},
     "new machine": lambda p: {"telemetry": p["telemetry"].machineID == 3, "machines": p["machines"].machineID == 3},
-    "errors": lambda p: {"errors": p["errors"].datetime > day(14)},
+    "errors": lambda p: {"errors": p["errors"].datetime > day(7)},
     "services": lambda p: {"maint": p["maint"].datetime.between(day(4), day(6))},
     "failures": lambda p: {"failures": p["failures"].machineID == 2},
     "scattered": lambda p: {k: pd.Series(np.random.default_rng(5).random(len(p[k])) < 0.02, index=p[k].index) for k in ("telemetry", "errors", "maint", "failures")},
@@ -87,3 +87,13 @@ def test_touched_blocks_hold_every_changed_row(spark, case):
     assert differ.any()
     for m, at in a.index[differ]:
         assert (m, (at - pd.Timestamp(dt.datetime(1970, 1, 1))) // pd.Timedelta(hours=HOURS)) in touched
+
+
+def test_a_table_that_starts_empty(spark, tmp_path):
+    pdf = plant_pandas(machines=2, hours=60)
+    all_late = {k: pd.Series(True, index=v.index) for k, v in pdf.items()}
+    old, late = (tables(spark, p) for p in cut(pdf, all_late))
+    path = str(tmp_path / "features")
+    assert write_features(old, path, block_hours=HOURS, parts=2).isEmpty()
+    refresh_features(path, old, late, block_hours=HOURS, parts=2)
+    check(rows_of(read_features(spark, path)), rows_of(build_features(late, None, S.HORIZON_HOURS, block_hours=HOURS)))
