@@ -26,9 +26,11 @@ BLOCK_TOKENS = 1 << 21
 
 @dataclass(frozen=True)
 class Limits:
-    """What one sequence may hold. A piece bears loss on every token but the first of its document."""
+    """What one sequence may hold. A piece bears loss on every token but the first of its document.
+
+    1,024 segments close a sequence early only where its pieces average under two tokens, that is, texts without a token."""
     tokens: int = 2048
-    segments: int = 64
+    segments: int = 1024
     loss_tokens: int = 2048
 
 

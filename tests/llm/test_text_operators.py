@@ -85,6 +85,20 @@ def test_packing_is_exact(spark):
     assert packing.pack_documents(docs(spark, []), PACK).count() == 0
 
 
+@pytest.mark.parametrize("size, count", [(5, 2000), (2, 9000), (6, 4097), (31, 3000)])
+def test_packing_fills_sequences_with_short_documents(size, count):
+    p = packing.Packer(packing.Limits())
+    rest = p.pack(np.arange(count), np.zeros(count, np.int64), np.full(count, size), True)
+    assert rest == []
+    used, segments = {}, {}
+    for _, _, n, seq, offset in p.out:
+        assert offset == used.get(seq, 0)
+        used[seq], segments[seq] = offset + n, segments.get(seq, 0) + 1
+    assert sum(used.values()) == size * count and max(segments.values()) <= 1024
+    padded = sum(u if u & (u - 1) == 0 else 2048 for u in used.values())
+    assert size * count / padded >= 0.95
+
+
 def test_packing_limits_on_loss():
     p = packing.Packer(packing.Limits(64, 4, 40))
     assert p.pack(np.arange(9), np.zeros(9, np.int64), np.full(9, 50), True) == []
