@@ -46,7 +46,7 @@ def _remainder(k: int):
 def op5_toxicity(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").where(_remainder(5) != 0)
-    model = toxicity.learn(docs.select("doc_id", "text").join(labels, "doc_id"))
+    model = toxicity.learn_from(docs, labels)
     return (toxicity.score(docs, model).select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
 
 

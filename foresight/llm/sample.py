@@ -9,6 +9,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from foresight.session import materialize
+
 
 def per_class(rows: DataFrame, label: str, key: str, bound: int) -> list:
     """About `bound` rows of every class at most, by hash of the key: the same rows for the same table.
@@ -23,6 +25,14 @@ def texts_per_class(rows: DataFrame, label: str, key: str, text: str, bound: int
     return _chosen(rows, label, key, bound, F.octet_length(text), bound_bytes).orderBy(key, text).toLocalIterator()
 
 
+def texts_of_labels(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str, bound: int, bound_bytes: int) -> Iterator:
+    """As `texts_per_class` for the join of `docs` and `labels` by the key. Keys and text sizes are joined and sampled; texts
+    are read for the sample only, which is stored first, so Spark broadcasts it only as far as its size allows."""
+    sized = docs.where(F.col(text).isNotNull()).select(key, F.octet_length(text).alias("_size")).join(labels.select(key, label), key)
+    chosen = materialize(_chosen(sized, label, key, bound, F.col("_size"), bound_bytes).select(key, label).distinct(), "label-sample")
+    return docs.where(F.col(text).isNotNull()).select(key, text).join(chosen, key).orderBy(key, text).toLocalIterator()
+
+
 def _chosen(rows: DataFrame, label: str, key: str, bound: int, size: Column | None = None, bound_size: int = 1) -> DataFrame:
     sizes = rows.groupBy(label).agg(F.count("*").alias("n"), (F.lit(0) if size is None else F.sum(size)).alias("size")).collect()
     wanted = F.lit(False)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from foresight.llm.arrow import map_texts
 from foresight.llm.bpe_job import _narrow, _quoted
-from foresight.llm.sample import release_memory, texts_per_class
+from foresight.llm.sample import release_memory, texts_of_labels, texts_per_class
 from foresight.llm.text import _BYTE_VALUE, _LOWER, mix, slices, span_hashes
 
 WINDOW, STRIDE = 32, 24
@@ -298,8 +298,20 @@ def learn(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: s
     """Fits the network on at most about `bound` labelled texts and `bound_bytes` bytes of text of each class; null labels and
     texts are left out. A text is dropped as soon as its inputs are made."""
     rows = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).cast("int").alias("label")).where("label in (0, 1) and text is not null")
+    return _trained(texts_per_class(rows, "label", "key", "text", bound, bound_bytes))
+
+
+def learn_from(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", bound: int = 2000,
+               bound_bytes: int = 8 << 20) -> Network:
+    """As `learn` with the labels in a table of their own; texts outside the sample are not moved."""
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    marks = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where("label in (0, 1)")
+    return _trained(texts_of_labels(texts, marks, "label", "key", "text", bound, bound_bytes))
+
+
+def _trained(sample) -> Network:
     docs, labels, held, size = [], [], [], 0
-    for r in texts_per_class(rows, "label", "key", "text", bound, bound_bytes):
+    for r in sample:
         held.append(r["text"])
         labels.append(r["label"])
         size += len(r["text"])
