@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from checks import plant
 from foresight import schema as S
 from foresight.operators import asof, windows
 from foresight.plans.features import build_features, build_training_table, clean_telemetry, maint_with_failures
@@ -133,3 +134,11 @@ def test_dedup_keeps_the_last_and_other_windows(spark):
     cut = windows.time_cuts(kept, "datetime", [0.5, 0.75]).first()
     times = sorted(pdf["datetime"].unique())
     assert cut["cut0"] == times[int(len(times) * 0.5)] and cut["cut1"] == times[int(len(times) * 0.75)]
+
+
+def test_the_grid_of_readings_is_made_by_many_tasks(spark, monkeypatch):
+    """The machines' ids fit one small partition, which must not unfold the hours of all of them."""
+    monkeypatch.setattr(plant, "GRID_ROWS", 1000, raising=False)
+    readings = plant.plant_tables(spark, "/root/testdata/sf0.001").telemetry.where("seq = 0")
+    per_task = [r["count"] for r in readings.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert sum(per_task) > 8000 and max(per_task) < sum(per_task) / 3
