@@ -142,3 +142,14 @@ def test_the_grid_of_readings_is_made_by_many_tasks(spark, monkeypatch):
     readings = plant.plant_tables(spark, "/root/testdata/sf0.001").telemetry.where("seq = 0")
     per_task = [r["count"] for r in readings.groupBy(F.spark_partition_id().alias("task")).count().collect()]
     assert sum(per_task) > 8000 and max(per_task) < sum(per_task) / 3
+
+
+def test_features_run_compiled_on_a_plain_session(spark, small_plant):
+    """A session that `get_session` did not make still gets methods that the JIT compiler takes."""
+    own = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    try:
+        build_features(small_plant)
+        assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) == 8000
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", own)
