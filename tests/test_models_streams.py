@@ -249,3 +249,18 @@ def test_drift_per_window(spark, tmp_path):
     a = {(r["window_start"], r["feature"]): r["psi"] for r in streamed.collect()}
     b = {(r["window_start"], r["feature"]): r["psi"] for r in got.collect()}
     assert len(a) >= 10 and all(b[k] == pytest.approx(v) for k, v in a.items())
+
+
+def test_forest_keeps_the_node_of_each_row(spark):
+    """Passes go on from the node a row reached, and give the forest that walks from the root."""
+    numeric, _ = S.feature_columns()
+    rows = spark.range(300).select(
+        *[F.expr(f"(id * {7 + i}) % 31 / 31D").alias(c) for i, c in enumerate(numeric)], F.lit("model1").alias("model"),
+        F.expr("CAST(id % 5 = 0 AS INT)").alias(LABEL)).withColumn(models.WEIGHT, F.lit(1.0))
+    pipeline = models.make_pipeline("random_forest", {"n_estimators": 5, "max_depth": 6, "min_samples_leaf": 2}, numeric, 300.0)
+    forest = pipeline.getStages()[-1]
+    assert forest.getCacheNodeIds()
+    trees = lambda: [t.toDebugString.split("\n", 1)[1] for t in pipeline.fit(rows).stages[-1].trees]
+    kept = trees()
+    forest.setCacheNodeIds(False)
+    assert kept == trees() and any("If" in t for t in kept)
