@@ -89,3 +89,18 @@ def test_split_and_sample(clean):
     up = scale_columns_in_window(tel, {"volt": 1.1}, "2015-01-03", "2015-01-04")
     changed = up.join(tel.select("seq", F.col("volt").alias("v")), "seq").where("abs(volt - v * 1.1) < 1e-9")
     assert changed.count() == 4 * 48
+
+
+def test_violations_are_made_once_for_counts_and_examples(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return None if x % 4 == 0 else f"v{x % 4}"
+
+    found = spark.range(0, 40, 1, 2).select(
+        F.lit("t").alias("table"), F.concat(F.lit("c"), F.col("id") % 2).alias("column"), F.lit("k").alias("check"), counted("id").alias("value"))
+    long = found.groupBy("table", "column", "check", "value").agg(F.count(F.lit(1)).alias("n"))
+    rows = {r["column"]: (r["count"], r["examples"]) for r in validate.issue_summary(long).collect()}
+    assert rows == {"c0": (20, ["v2"]), "c1": (20, ["v1", "v3"])} and seen.value == 40
