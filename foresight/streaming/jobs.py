@@ -27,13 +27,15 @@ def start_scoring(requests: DataFrame, scorer: Scorer, out: str, checkpoint: str
     """Score valid requests to `out`/predictions and set refused ones aside in `out`/quarantine.
 
     Each micro-batch owns its folder, so a retried batch replaces its own output. Its requests are written to
-    `out`/requests first; scoring and refusing read that.
+    `out`/requests first; scoring and refusing read that, and keep their steps in `out`/judged and `out`/scored.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/requests/batch={batch_id}")
-        batch = batch.sparkSession.read.parquet(f"{out}/requests/batch={batch_id}")
-        scored, rejected = score_requests(batch, scorer, body, limits=limits)
+        def store(df: DataFrame, name: str) -> DataFrame:
+            df.write.mode("overwrite").parquet(f"{out}/{name}/batch={batch_id}")
+            return df.sparkSession.read.parquet(f"{out}/{name}/batch={batch_id}")
+
+        scored, rejected = score_requests(store(batch, "requests"), scorer, body, limits=limits, store=store)
         prediction_records(scored).write.mode("overwrite").json(f"{out}/predictions/batch={batch_id}")
         rejected.write.mode("overwrite").json(f"{out}/quarantine/batch={batch_id}")
 

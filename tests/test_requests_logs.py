@@ -191,3 +191,19 @@ def test_scores_csv_is_in_rank_order(spark, tmp_path):
     tables.write_report(df, str(tmp_path / "report"))
     tables.write_experiment_tables(df, df, str(tmp_path / "experiments"))
     assert spark.read.json(str(tmp_path / "report")).count() == 50
+
+
+def test_requests_are_read_and_parsed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    rows = [body(machine_id=i) for i in (1, 2, 3)] + [body(machine_id=4, telemetry=body()["telemetry"][:5])]
+    df = as_table(spark, rows)
+    valid, _ = requests.check_requests(df, limits=S.SERVICE_REQUESTS)
+    assert valid.select("request_id")._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+    scored, refused = score_requests(df.withColumn("body", counted("body")), RULE)
+    assert scored.count() == 3 and [r["reasons"] for r in refused.collect()] == [["no_complete_history"]] and seen.value == 4
