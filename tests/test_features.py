@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import numpy as np
 import pandas as pd
@@ -144,6 +145,25 @@ def test_the_grid_of_readings_is_made_by_many_tasks(spark, monkeypatch):
     assert sum(per_task) > 8000 and max(per_task) < sum(per_task) / 3
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_shuffles_of_the_plant_have_partitions_by_its_rows(spark, monkeypatch, adaptive):
+    """A session that asks for few partitions must not give each task a share that grows with the input."""
+    monkeypatch.setattr(plant, "GRID_ROWS", 250)
+    name, initial = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    own = spark.conf.get(name)
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set(name, "2")
+        spark.conf.unset(initial)
+        df = build_features(plant.plant_tables(spark, "/root/testdata/sf0.001"))
+        found = re.findall(r"hashpartitioning\(machineID#\d+L, (?:datetime|_blk)#\d+L?, (\d+)\)", df._jdf.queryExecution().executedPlan().toString())
+        assert found and min(int(n) for n in found) > 30
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set(name, own)
+        spark.conf.unset(initial)
+
+
 def test_features_run_compiled_on_a_plain_session(spark, small_plant):
     """A session that `get_session` did not make still gets methods that the JIT compiler takes."""
     own = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
