@@ -284,7 +284,7 @@ def align(df: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: st
                 lists(pa.StructArray.from_arrays(links, ["a", "b", "bytes"]), s.link_first), lists(pa.StructArray.from_arrays(ends, ["a", "b"]), s.g_first)]
 
     schema = f"_key {dict(df.dtypes)[key]}, a array<int>, b array<int>, links array<struct<a: int, b: int, bytes: int>>, groups array<struct<a: int, b: int>>"
-    return map_texts(_with_blank(df, key, text), "_text", run, schema).withColumnRenamed("_key", key)
+    return map_texts(_with_blank(df, key, text), "_text", run, schema, cached=True).withColumnRenamed("_key", key)
 
 
 def _blocks(df: DataFrame, a_path: str, b_path: str, key: str, text: str) -> DataFrame:

@@ -8,10 +8,10 @@ different one is encoded once and kept in a bounded cache of the Python worker.
 from __future__ import annotations
 
 import base64
-import functools
 
 import numpy as np
 
+from foresight.llm.arrow import worker_cache
 from foresight.llm.text import pre_tokens, span_hashes
 
 NONE = np.iinfo(np.int64).max
@@ -240,7 +240,7 @@ class WordCache:
         return self.ids[index], length
 
 
-@functools.lru_cache(maxsize=2)
+@worker_cache
 def rank_vocabulary(path: str) -> tuple[RankTable, WordCache]:
     """Rank table and word cache of this Python worker."""
     table = RankTable(load_ranks(path))

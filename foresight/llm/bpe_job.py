@@ -22,7 +22,7 @@ def encode(df: DataFrame, ranks_path: str, key: str = "doc_id", text: str = "tex
         ids, first = encode_documents(cache, data, offsets)
         return [rows.column(0), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int32()))]
 
-    return map_texts(_narrow(df, key, text), "_text", run, f"{_quoted(key)} {dict(df.dtypes)[key]}, ids array<int>")
+    return map_texts(_narrow(df, key, text), "_text", run, f"{_quoted(key)} {dict(df.dtypes)[key]}, ids array<int>", cached=True)
 
 
 def decode(df: DataFrame, ranks_path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -52,7 +52,7 @@ def digests(df: DataFrame, ranks_path: str, key: str = "doc_id", text: str = "te
                 [hashlib.sha256(decoded[a:b]).hexdigest() for a, b in zip(at[:-1], at[1:])]]
 
     return map_texts(_narrow(df, key, text), "_text", run,
-                     f"{_quoted(key)} {dict(df.dtypes)[key]}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+                     f"{_quoted(key)} {dict(df.dtypes)[key]}, n_tokens bigint, ids_sha256 string, decoded_sha256 string", cached=True)
 
 
 def _narrow(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -9,7 +9,6 @@ two, which need no padding.
 
 from __future__ import annotations
 
-import functools
 import zlib
 from dataclasses import dataclass
 
@@ -17,8 +16,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from foresight.llm.arrow import worker_cache
 from foresight.llm.bpe import WordCache, encode_documents
+from foresight.llm.sample import release_memory
 from foresight.llm.text import slices
+from foresight.session import small_batches
 
 BLOCK_PIECES = 4096
 BLOCK_TOKENS = 1 << 21
@@ -97,7 +99,7 @@ class Packer:
         return [(int(a), int(b), int(c)) for a, b, c in zip(d[open_], s[open_], n[open_])]
 
 
-@functools.lru_cache(maxsize=2)
+@worker_cache
 def _tokenizer_cache(path: str) -> WordCache:
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -123,6 +125,8 @@ def pack_documents(df: DataFrame, tokenizer_path: str, key: str = "doc_id", text
     task gives the same rows."""
     from foresight.llm.bpe_job import _narrow, _quoted
 
+    small_batches(df.sparkSession)
+
     def run(batches):
         from pyspark import TaskContext
         cache, packer = _tokenizer_cache(tokenizer_path), Packer(limits)
@@ -163,6 +167,7 @@ def pack_documents(df: DataFrame, tokenizer_path: str, key: str = "doc_id", text
                         yield flush(False)
         if held:
             yield flush(True)
+        release_memory()
 
     out_names = [key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     kind = dict(df.dtypes)[key]

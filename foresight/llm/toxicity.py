@@ -12,10 +12,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from foresight.llm.arrow import map_texts
+from foresight.llm.arrow import drop_caches, map_texts
 from foresight.llm.bpe_job import _narrow, _quoted
 from foresight.llm.sample import release_memory, texts_of_labels, texts_per_class
 from foresight.llm.text import _BYTE_VALUE, _LOWER, mix, slices, span_hashes
+from foresight.session import small_batches
 
 WINDOW, STRIDE = 32, 24
 BUCKETS = 1 << 14
@@ -352,11 +353,14 @@ def score(df: DataFrame, model: Network, key: str = "doc_id", text: str = "text"
 def reject(df: DataFrame, model: Network, limit: float = 0.5, text: str = "text") -> DataFrame:
     """The rows of the table, all columns, whose text scores below `limit`. Texts are not shuffled."""
     held = df.sparkSession.sparkContext.broadcast(model)
+    small_batches(df.sparkSession)
 
     def run(batches):
+        drop_caches()
         for batch in batches:
             for a, b, data, offsets in slices(batch.column(batch.schema.get_field_index(text))):
                 s = _worst(held.value, data, offsets)
                 yield batch.slice(a, b - a).filter(pa.array(s < limit))
+        release_memory()
 
     return df.mapInArrow(run, df.schema)

@@ -120,3 +120,28 @@ def test_sample_is_bounded_in_rows_and_bytes(spark):
     got = list(texts_per_class(rows, "label", "key", "text", 500, 100_000))
     sizes = [sum(r["label"] == y for r in got) for y in (0, 1)]
     assert 400 < sizes[0] < 600 and 70 < sizes[1] < 130 and [r["key"] for r in got] == sorted(r["key"] for r in got)
+
+
+def test_record_batches_of_long_texts_are_bounded(spark):
+    from foresight.llm.arrow import map_texts
+    held = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
+        docs = spark.range(0, 3000, 1, 1).selectExpr("id as doc_id", "repeat('word ', 2000) as text")  # 30 MB in one task
+        run = lambda rows, data, offsets: [rows.column(0), [sum(b.size for b in rows.column(1).buffers() if b)] * rows.num_rows]
+        got = map_texts(docs, "text", run, "doc_id bigint, bytes bigint").collect()
+        assert [r["doc_id"] for r in got] == list(range(3000)) and max(r["bytes"] for r in got) < 9 << 20  # buffers double as they grow
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "100k")
+        assert map_texts(docs.limit(10), "text", run, "doc_id bigint, bytes bigint").count() == 10
+        assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "100k"  # a lower limit stays
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", held)
+
+
+def test_workers_drop_the_tokenizer_of_an_earlier_stage(spark, tmp_path):
+    from foresight.llm import packing
+    from foresight.llm.arrow import map_texts
+    docs = spark.range(0, 64, 1, 8).selectExpr("id as doc_id", "concat('text ', id) as text")
+    assert dict(corpus_pipeline.STAGES)["packing"](spark, docs, str(tmp_path)).select("doc_id").distinct().count() == 64
+    run = lambda rows, data, offsets: [rows.column(0), [packing._tokenizer_cache.cache_info().currsize] * rows.num_rows]
+    assert {r["held"] for r in map_texts(docs, "text", run, "doc_id bigint, held int").collect()} == {0}
