@@ -7,6 +7,7 @@ shuffles of a refresh see readings of these blocks and the few blocks before tha
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,7 +19,7 @@ from foresight.operators.asof import DAY_US
 from foresight.operators.blocks import BLOCK, BLOCK_HOURS, US, block_size
 from foresight.plans.features import build_features, with_seq
 from foresight.schema import KEY, TS, PlantTables
-from foresight.session import materialize
+from foresight.session import materialize, shuffle_parts, shuffles_removed
 
 PART = "part"
 _BACK = max(*S.WINDOW_HOURS, S.ERROR_WINDOW_HOURS) * HOUR_US
@@ -33,19 +34,26 @@ def _part(parts: int):
     return F.pmod(F.xxhash64(KEY), F.lit(parts)).cast("int").alias(PART)
 
 
-def _write(features: DataFrame, path: str, size: int, parts: int, mode: str) -> None:
-    """Days of a folder are files of their own, so one machine with most rows does not end in one task."""
+def _write(features: DataFrame, path: str, size: int, mode: str, parts: int) -> None:
     placed = features.select("*", block_of(micros(TS), size).alias(BLOCK), _part(parts))
-    (placed.repartition(BLOCK, PART, F.to_date(TS)).write.mode("overwrite").option("partitionOverwriteMode", mode)
-     .partitionBy(BLOCK, PART).parquet(path))
+    with shuffles_removed(placed.sparkSession):
+        placed.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(BLOCK, PART).parquet(path)
+
+
+def _place(spark: SparkSession, parts: int) -> str:
+    """Shares of the machines, each inside one part and about as many as a shuffle has partitions. The build puts rows of a share and
+    block into one task, so that they go from there to few folders, in files of about a task each, without another exchange."""
+    shares = parts * math.ceil(shuffle_parts(spark) / parts)
+    return f"pmod(xxhash64({KEY}), {shares}L)"
 
 
 def write_features(t: PlantTables, path: str, horizon_hours: int | None = S.HORIZON_HOURS, block_hours: int = BLOCK_HOURS,
                    parts: int = 64) -> DataFrame:
     """Builds the whole stored table. A refresh must be given the same horizon, block length and parts."""
-    features = build_features(t, None, horizon_hours, block_hours=block_hours)
-    _write(features, path, _size(horizon_hours, block_hours), parts, "static")
-    return read_features(t.telemetry.sparkSession, path, features.schema)
+    spark = t.telemetry.sparkSession
+    features = build_features(t, None, horizon_hours, block_hours=block_hours, place=_place(spark, parts))
+    _write(features, path, _size(horizon_hours, block_hours), "static", parts)
+    return read_features(spark, path, features.schema)
 
 
 def read_features(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -146,5 +154,7 @@ def refresh_features(path: str, old: PlantTables, late: PlantTables, horizon_hou
 
     part = PlantTables(placed.join(needed, [KEY, BLOCK], "left_semi").drop(BLOCK), of_machines(now.errors), of_machines(now.maint),
                        of_machines(now.failures), of_machines(now.machines))
-    _write(build_features(part, None, horizon_hours, block_hours=block_hours, only=own), path, size, parts, "dynamic")
+    place = _place(own.sparkSession, parts)
+    features = build_features(part, None, horizon_hours, block_hours=block_hours, only=own, place=place)
+    _write(features, path, size, "dynamic", parts)
     return folders
