@@ -79,33 +79,30 @@ class _Tree:
         child[cells] = np.arange(len(cells))
         last["child"] = child
 
-    def _columns(self, level: dict, single: bool) -> tuple[Column, Column, Column | None]:
-        """The arrays of a level: a one-row subquery, or literals, where lambdas use them, which take no subquery."""
+    def _columns(self, level: dict) -> tuple[Column, Column, Column | None]:
+        """The arrays of a level, from a one-row subquery."""
         kinds = {"low": "array<double>", "scale": "array<double>", "child": "array<int>"}
         lists = {k: None if level[k] is None else level[k].tolist() for k in kinds}
-        if single:
-            table = self.spark.createDataFrame([tuple(lists.values())], ", ".join(f"{k} {t}" for k, t in kinds.items()))
-            t = table.select(F.struct(*kinds)).scalar()
-            return tuple(None if lists[k] is None else t[k] for k in kinds)
-        return tuple(None if v is None else F.split(F.lit(",".join(map(repr, v))), ",").cast(kinds[k]) for k, v in lists.items())
+        table = self.spark.createDataFrame([tuple(lists.values())], ", ".join(f"{k} {t}" for k, t in kinds.items()))
+        t = table.select(F.struct(*kinds)).scalar()
+        return tuple(None if lists[k] is None else t[k] for k in kinds)
 
     def locate(self, long: DataFrame) -> DataFrame:
         """Adds `cell`, the value's cell of the last level, or `open`, its number among the open cells if these are chosen; values
         in no open cell go."""
-        x, node, name = F.col("x"), F.col("pos"), "cell"
-        for number, level in enumerate(self.levels):
-            low, scale, child = self._columns(level, len(self.levels) == 1)
-
-            def cell_of(v: Column) -> Column:   # used at once
-                place = (x - F.get(low, v)) * F.get(scale, v)
-                inside = F.least(F.greatest(place, F.lit(0.0)), F.lit(level["width"] - 1.0)).cast("int")
-                inside = F.when(x == float("-inf"), 0).otherwise(inside)   # a scale of 0 makes it no number
-                return v * level["width"] + inside
-
-            # the array binds the node once, so that expressions do not double with every level
-            node = cell_of(node) if number == 0 else F.get(F.transform(F.array(node), cell_of), F.lit(0))
-            node, name = (node, "cell") if child is None else (F.get(child, node), "open")
-        return long.withColumn(name, node).where(F.col(name) >= 0)
+        x, node, columns = F.col("x"), F.col("pos"), long.columns
+        for level in self.levels:
+            low, scale, child = self._columns(level)
+            place = (x - F.get(low, node)) * F.get(scale, node)
+            inside = F.least(F.greatest(place, F.lit(0.0)), F.lit(level["width"] - 1.0)).cast("int")
+            inside = F.when(x == float("-inf"), 0).otherwise(inside)   # a scale of 0 makes it no number
+            cell, name = node * level["width"] + inside, "cell"
+            if child is not None:
+                cell, name = F.get(child, cell), "open"
+            # exploding an array of one binds the place, so that it is worked out once a level, in compiled code
+            long = long.select(*columns, F.explode(F.array(cell)).alias(name)).where(F.col(name) >= 0)
+            node = F.col(name)
+        return long
 
 
 Choice = Callable[[Cells], np.ndarray]
