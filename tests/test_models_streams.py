@@ -46,6 +46,47 @@ def test_every_kind_fits_saves_and_scores(spark, table, tmp_path):
             assert len(importance) == 30 and importance[0][1] >= importance[-1][1]
 
 
+def test_forest_grown_in_groups_is_one_forest(spark, table, tmp_path, monkeypatch):
+    spec = {"name": "forest", "model": "random_forest", "params": {"n_estimators": 7, "max_depth": 3, "min_samples_leaf": 2}}
+    monkeypatch.setattr(models, "FOREST_CELLS", 3 * table.count())
+    scorer = models.fit(table, spec)
+    groups = models.forests_of(scorer.model)
+    assert [g.getNumTrees for g in groups] == [3, 2, 2] and {g.getOrDefault("cacheNodeIds") for g in groups} == {True}
+    trees = [t for g in groups for t in g.trees]
+    assert len({t.toDebugString.split("\n", 1)[1] for t in trees}) > 1
+    want = sum(t.featureImportances.toArray() for t in trees)
+    got = dict(models.feature_importance(scorer))
+    assert sum(got.values()) == pytest.approx(1.0)
+    assert list(got.values()) == pytest.approx(sorted(want / want.sum(), reverse=True))
+    # the probability is the mean of the trees' leaf shares
+    vectors = scorer.model.transform(table.limit(40)).select("features", "probability_0").collect()
+    scores = [r[0] for r in scorer.probability(table.limit(40)).select("failure_probability").collect()]
+    for row, p in zip(vectors, scores):
+        assert p == pytest.approx(sum(t.predictProbability(row[0])[1] for t in trees) / 7)
+    scorer.save(spark, str(tmp_path / "forest"))
+    again = models.Scorer.load(spark, str(tmp_path / "forest"))
+    assert [r[0] for r in again.probability(table.limit(40)).select("failure_probability").collect()] == pytest.approx(scores)
+
+
+def test_group_sizes():
+    assert models.grown_together(200, models.FOREST_CELLS // 200) == [200]
+    assert models.grown_together(200, 22_000_000) == [25] * 8
+    assert models.grown_together(5, 10**12) == [3, 2] and models.grown_together(1, 10**12) == [1] and models.grown_together(3, 0) == [3]
+
+
+def test_fits_share_preprocessing_and_equal_single_ones(table, monkeypatch):
+    calls, real = [], models.preprocessing
+    monkeypatch.setattr(models, "preprocessing", lambda numeric: calls.append(1) or real(numeric))
+    together = models.fit_all(table, SPECS)
+    assert len(calls) == 1 and [s.name for s in together] == [s["name"] for s in SPECS]
+    for scorer, spec in zip(together, SPECS):
+        alone = models.fit(table, spec)
+        if scorer.model is None:
+            assert scorer == alone
+        else:
+            assert dict(models.feature_importance(scorer)) == pytest.approx(dict(models.feature_importance(alone)), abs=1e-6)
+
+
 def test_unknown_model_is_all_zero(spark, table):
     fitted = models.fit(table, SPECS[1]).model
     row = fitted.transform(table.limit(1).withColumn("model", F.lit("model9"))).select("_onehot").first()[0]
