@@ -164,6 +164,34 @@ def test_shuffles_of_the_plant_have_partitions_by_its_rows(spark, monkeypatch, a
         spark.conf.unset(initial)
 
 
+@pytest.mark.parametrize("place", [None, "machineID % 3"])
+def test_readings_are_exchanged_once(spark, small_plant, place):
+    """The aggregation and all windows work where one exchange has put the readings; only a few small rows travel besides."""
+    plan = build_features(small_plant, None, 24, place=place)._jdf.queryExecution().executedPlan().toString()
+    inside = plan[plan.rindex("Window [", 0, plan.index("Union")):plan.index("HashAggregate", plan.index("Union"))]
+    assert "Exchange" not in plan[:plan.index("Union")] and "Exchange" not in inside
+    by = "_place" if place else "machineID"
+    aggregated = plan[plan.index("HashAggregate", plan.index("Union")):]
+    assert re.search(r"Exchange (\w+)\(", aggregated).group(0) == "Exchange hashpartitioning("
+    assert re.search(r"hashpartitioning\((\w+)#\d+L?, (\w+)#", aggregated).groups() == (by, "_blk")
+
+
+def test_readings_of_machines_without_number_and_long_gaps(spark):
+    """Rows of a null machine are a machine's like any other; its gaps are filled from far back."""
+    t = plant_pandas(machines=2, hours=500, nulls=0.6, repeats=20)
+    tel = t["telemetry"]
+    t["telemetry"] = tel[~((tel.machineID == 2) & tel.datetime.between(pd.Timestamp("2015-01-04"), pd.Timestamp("2015-01-14 20:00")))].reset_index(drop=True)
+    plain = PlantTables(**{k: frame(spark, k, v) for k, v in t.items()})
+    nobody = PlantTables(**{k: df.withColumn("machineID", F.when(F.col("machineID") != 2, F.col("machineID"))) for k, df in plain.as_dict().items()})
+    numeric = S.feature_columns()[0]
+    for place in (None, "pmod(xxhash64(machineID), 4L)"):
+        want = build_features(plain, None, 24, block_hours=48, place=place).where("machineID = 2").orderBy("datetime").toPandas()
+        got = build_features(nobody, None, 24, block_hours=48, place=place).where("machineID IS NULL").orderBy("datetime").toPandas()
+        assert len(got) == len(want) > 100 and (got["datetime"] == want["datetime"]).all()
+        known = [c for c in numeric if c != "age"]   # attributes are joined, which null does not
+        assert np.allclose(got[known], want[known], rtol=1e-9, atol=1e-9) and (got[LABEL] == want[LABEL]).all()
+
+
 def test_features_run_compiled_on_a_plain_session(spark, small_plant):
     """A session that `get_session` did not make still gets methods that the JIT compiler takes."""
     own = spark.conf.get("spark.sql.codegen.hugeMethodLimit")

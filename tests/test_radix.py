@@ -77,3 +77,15 @@ def test_no_distinct_values_are_shuffled(spark):
     cells, values = radix.narrow(df, ["x"], choose)
     assert seen[0] <= radix.CELLS and values.count() < 200 and cells.r.sum() == 200_000
     assert radix.ranked_values(df.limit(0), ["x"], lambda n: [0]) == [{}]
+
+
+def test_places_are_found_in_compiled_code(spark):
+    """With several levels no lambda, which Spark interprets, and no filter that works the place out again."""
+    tree = radix._Tree(spark, np.array([0.0, 0.0]), np.array([1.0, 2.0]), 16)
+    tree.open(np.array([3, 20]))
+    tree.add(np.array([0.2, 0.5]), np.array([0.25, 0.625]), 16)
+    long = spark.createDataFrame([(0, 0.21), (0, 0.9), (1, 0.6), (1, 2.0)], "pos int, x double")
+    out = tree.locate(long)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and plan.count("Generate explode") == 2
+    assert sorted((r["pos"], r["x"], r["cell"]) for r in out.collect()) == [(0, 0.21, 3), (1, 0.6, 28)]

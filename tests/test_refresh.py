@@ -8,6 +8,7 @@ from foresight import schema as S
 from foresight.plans.features import build_features
 from foresight.plans.refresh import merged, read_features, reading_blocks, refresh_features, touched_blocks, write_features
 from foresight.schema import PlantTables
+from foresight.session import shuffle_parts
 from tests.fixtures import SCHEMAS, frame, plant_pandas
 
 PARTS, HOURS = 4, 48
@@ -89,6 +90,18 @@ def test_touched_blocks_hold_every_changed_row(spark, case):
         assert (m, (at - pd.Timestamp(dt.datetime(1970, 1, 1))) // pd.Timedelta(hours=HOURS)) in touched
 
 
+def test_table_is_written_where_it_is_built(spark, tmp_path):
+    """No exchange between the build and the folders, whose files still number a few, and no shuffle files are left behind."""
+    path = str(tmp_path / "features")
+    built = write_features(tables(spark, plant_pandas(machines=12, hours=200)), path, block_hours=HOURS, parts=PARTS)
+    folders = [f for f in (tmp_path / "features").glob("_blk=*/part=*")]
+    assert len(folders) > PARTS and built.count() == sum(1 for _ in built.toLocalIterator())
+    files = [len(list(f.glob("*.parquet"))) for f in folders]
+    shares = PARTS * -(-shuffle_parts(spark) // PARTS)
+    assert max(files) <= shares // PARTS
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_a_table_that_starts_empty(spark, tmp_path):
     pdf = plant_pandas(machines=2, hours=60)
     all_late = {k: pd.Series(True, index=v.index) for k, v in pdf.items()}
